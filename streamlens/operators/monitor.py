@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamlens.functions.scalar import risk_tier
 from streamlens.operators.joins import rules_asof_join
-from streamlens.operators.ordered import MAX_ROWS, cut, fold, nearby, running
+from streamlens.operators.ordered import MAX_ROWS, Machine, cut, fold, nearby, running
 from streamlens.operators.ranking import top_n
 from streamlens.operators.transform import is_large
 
@@ -57,23 +56,22 @@ def rising_amount_alert(df: DataFrame, key: str, amount: str, ts: str, order: Se
     state = T.StructType([T.StructField("amount", T.DoubleType()), T.StructField("deadline", T.LongType())])
     out = T.StructType([T.StructField("_deadline", T.LongType())])
 
-    def step(rows: pd.DataFrame, start: dict, last: bool) -> tuple[pd.DataFrame, dict]:
-        x = rows["_x"].to_numpy(float)
-        at = rows["_at"].to_numpy("int64")
-        rise = x > np.concatenate([[start["amount"]], x[:-1]])
-        deadline = None if start["deadline"] is None else int(start["deadline"])
-        fired, deadline = rise_timers(at, rise, deadline, wait)
-        if last and deadline is not None:
-            fired, deadline = [*fired, deadline], None
-        return pd.DataFrame({"_deadline": np.array(fired, "int64")}), {
-            "amount": float(x[-1]), "deadline": deadline}
+    def step(columns: dict[str, np.ndarray], state: dict) -> tuple[dict[str, np.ndarray], dict]:
+        x, at = columns["_x"], columns["_at"]
+        rise = x > np.concatenate([[state["amount"]], x[:-1]])
+        fired, deadline = rise_timers(at, rise, state["deadline"], wait)
+        return {"_deadline": np.array(fired, "int64")}, {"amount": float(x[-1]), "deadline": deadline}
 
+    def finish(state: dict) -> dict[str, np.ndarray]:
+        left = [] if state["deadline"] is None else [state["deadline"]]
+        return {"_deadline": np.array(left, "int64")}
+
+    machine = Machine(("_x", "_at"), out, state, {"amount": 0.0, "deadline": None}, step, finish)
     rows = df.select(
         key, *[c for c in order], F.col(amount).cast("double").alias("_x"),
         F.unix_micros(F.col(ts).cast("timestamp")).alias("_at"),
     )
-    alerts = fold(cut(rows, [key], order, max_rows), step, state,
-                  {"amount": 0.0, "deadline": None}, out)
+    alerts = fold(cut(rows, [key], order, max_rows), machine)
     fire = F.timestamp_micros("_deadline").cast("timestamp_ntz")
     return alerts.select(
         key,

@@ -16,7 +16,8 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -209,94 +210,170 @@ def nearby(
     return replace(o, df=out.where(F.col("_own") == F.col("_piece")).select(*columns, *values))
 
 
-Step = Callable[[pd.DataFrame, dict, bool], tuple[pd.DataFrame, dict]]
+Columns = dict[str, np.ndarray]
 
 
-def fold(o: Ordered, step: Step, state: T.StructType, initial: dict, out: T.StructType) -> DataFrame:
-    """Run a state machine over the rows of each key and return what it emits.
+@dataclass(frozen=True)
+class Machine:
+    """A state machine over the ordered rows of a key.
 
-    ``step(rows, state, last)`` gets the ordered rows of one chunk and the state at its start, and
-    returns emitted rows (with columns ``out``) and the state at its end. ``last`` marks the end of
-    the key. Without large keys this is one pass. With them, all chunks start at once from the
-    initial state; a chunk runs again while the state its predecessor ended in differs from the one
-    it started from. Machines that forget their past, as those here do, settle after few rounds,
-    and the end result is exact in any case: each chunk was last run from its true start state.
+    ``step(columns, state)`` gets some consecutive rows as arrays and returns the emitted columns
+    and the next state; ``finish(state)`` returns what the end of the key emits.
     """
-    if not o.split:
-        keys, order = [*o.keys], [*o.order]
 
-        def whole(rows: pd.DataFrame) -> pd.DataFrame:
-            rows = rows.sort_values(order, kind="stable")
-            emitted, _ = step(rows, dict(initial), True)
-            for k in keys:
-                emitted[k] = rows[k].iloc[0]
-            return emitted[[*keys, *out.names]]
+    inputs: tuple[str, ...]
+    out: T.StructType
+    state: T.StructType
+    initial: dict
+    step: Callable[[Columns, dict], tuple[Columns, dict]]
+    finish: Callable[[dict], Columns]
+
+
+ARROW = {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.DoubleType(): pa.float64(),
+         T.BooleanType(): pa.bool_()}
+
+
+def _runner(m: Machine, group: list[str], chunked: bool):
+    """Arrow function over rows sorted by group and order; state passes from batch to batch.
+
+    A task holds one Arrow batch at a time, whatever the size of a key. In chunks, the start state
+    is read from the rows, and each chunk also emits a closing row with its start and end state.
+    """
+    emits, names = m.out.names, m.state.names
+    types = {f.name: ARROW[f.dataType] for f in m.out}
+    types |= {p + f.name: ARROW[f.dataType] for f in m.state for p in ("_s_", "_e_")}
+    types["_end"] = pa.bool_()
+    inputs, step, finish, initial = m.inputs, m.step, m.finish, m.initial
+
+    def run(batches):
+        name = state = start = None
+        ends_key = False
+        key_types = None
+
+        def row_columns():
+            columns = [*group, *emits]
+            if chunked:
+                columns += ["_s_" + n for n in names] + ["_e_" + n for n in names] + ["_end"]
+            return {c: [] for c in columns}
+
+        def put(rows, emitted, closing=False):
+            count = 1 if closing else len(emitted[emits[0]])
+            for c, v in zip(group, name):
+                rows[c].extend([v] * count)
+            for c in emits:
+                rows[c].extend([None] if closing else emitted[c].tolist())
+            if chunked:
+                for n in names:
+                    rows["_s_" + n].extend([start[n]] * count)
+                    rows["_e_" + n].extend([state[n] if closing else None] * count)
+                rows["_end"].extend([closing] * count)
+
+        def close(rows):
+            if name is not None:
+                if ends_key:
+                    put(rows, finish(state))
+                if chunked:
+                    put(rows, None, closing=True)
+
+        def record(rows):
+            return pa.RecordBatch.from_pydict(
+                {c: pa.array(v, key_types.get(c) or types[c]) for c, v in rows.items()}
+            )
+
+        for batch in batches:
+            size = batch.num_rows
+            if size == 0:
+                continue
+            key_types = {k: batch.schema.field(k).type for k in group}
+            new = np.ones(size, bool)
+            codes = [
+                batch.column(k).dictionary_encode(null_encoding="encode").indices.to_numpy()
+                for k in group
+            ]
+            new[1:] = np.any([c[1:] != c[:-1] for c in codes], axis=0) if codes else False
+            heads = np.flatnonzero(new)
+            columns = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in inputs}
+            rows = row_columns()
+            for head, tail in zip(heads, [*heads[1:], size]):
+                here = tuple(batch.column(k)[int(head)].as_py() for k in group)
+                if here != name:
+                    close(rows)
+                    name, ends_key = here, True
+                    state = dict(initial)
+                    if chunked:
+                        state = {n: batch.column("_s_" + n)[int(head)].as_py() for n in names}
+                        ends_key = batch.column("_last")[int(head)].as_py()
+                    start = dict(state)
+                emitted, state = step({c: v[head:tail] for c, v in columns.items()}, state)
+                put(rows, emitted)
+            yield record(rows)
+        if name is not None:
+            rows = row_columns()
+            close(rows)
+            yield record(rows)
+
+    return run
+
+
+def fold(o: Ordered, m: Machine) -> DataFrame:
+    """Run a state machine over the rows of each key and return what it emits.
 
-        schema = T.StructType([o.df.schema[k] for k in keys] + out.fields)
-        return o.df.drop(CHUNK).groupBy(*keys).applyInPandas(whole, schema)
-    return _fold_chunks(o, step, state, initial, out)
+    Without large keys this is one pass. With them, all chunks start at once from the initial
+    state; a chunk runs again while the state its predecessor ended in differs from the one it
+    started from. Machines that forget their past, as those here do, settle after few rounds, and
+    the end result is exact in any case: each chunk was last run from its true start state.
+    """
+    if o.split:
+        return _fold_chunks(o, m)
+    keys = [*o.keys]
+    rows = o.df.select(*keys, *[c for c in o.order if c not in keys], *m.inputs)
+    ordered = rows.repartition(*keys).sortWithinPartitions(*keys, *o.order)
+    schema = T.StructType([o.df.schema[k] for k in keys] + m.out.fields)
+    return ordered.select(*keys, *m.inputs).mapInArrow(_runner(m, keys, False), schema)
 
 
-def _fold_chunks(o: Ordered, step: Step, state: T.StructType, initial: dict,
-                 out: T.StructType) -> DataFrame:
-    keys, order, names = [*o.keys], [*o.order], state.names
+def _fold_chunks(o: Ordered, m: Machine) -> DataFrame:
+    keys, names = [*o.keys], m.state.names
     group = [*keys, CHUNK]
-    key_fields = [o.df.schema[k] for k in keys]
-    chunk_field = T.StructField(CHUNK, T.IntegerType())
-    last_field = T.StructField("_last", T.BooleanType())
-    start_fields = [T.StructField("_s_" + f.name, f.dataType) for f in state]
-    end_fields = [T.StructField("_e_" + f.name, f.dataType) for f in state]
+    starts_as = ["_s_" + n for n in names]
     schema = T.StructType(
-        [*key_fields, chunk_field, *start_fields, *end_fields, T.StructField("_end", T.BooleanType())]
-        + [T.StructField(f.name, f.dataType) for f in out]
+        [o.df.schema[k] for k in keys]
+        + [T.StructField(CHUNK, T.IntegerType())]
+        + m.out.fields
+        + [T.StructField(p + f.name, f.dataType) for p in ("_s_", "_e_") for f in m.state]
+        + [T.StructField("_end", T.BooleanType())]
     )
 
-    def plain(value):
-        return None if pd.isna(value) else value
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="stable")
-        first = rows.iloc[0]
-        start = {n: plain(first["_s_" + n]) for n in names}
-        emitted, end = step(rows, dict(start), bool(first["_last"]))
-        emitted = emitted.reindex(columns=out.names).assign(_end=False)
-        closing = pd.DataFrame([{"_end": True}])
-        result = pd.concat([emitted, closing], ignore_index=True) if len(emitted) else closing
-        result = result.reindex(columns=schema.names)
-        for k in group:
-            result[k] = first[k]
-        for n in names:
-            result["_s_" + n] = start[n]
-            result["_e_" + n] = end[n]
-        return result
-
     def key_and_chunk(left: DataFrame, right: DataFrame) -> Column:
         return _same_key(left, right, keys) & (left[CHUNK] == right["_in"])
 
     def renamed(df: DataFrame, *more: str) -> DataFrame:
         return df.select(*[F.col(k).alias("_" + k) for k in keys], F.col(CHUNK).alias("_in"), *more)
 
+    source = o.df.select(*group, *[c for c in o.order if c not in group],
+                         *[c for c in m.inputs if c not in o.order])
     ahead = Window.partitionBy(*keys).orderBy(CHUNK)
-    chunks = o.df.groupBy(*group).agg(F.count("*").alias("_rows"))
-    starts = chunks.select(
-        *group,
-        F.lead(CHUNK).over(ahead).isNull().alias(last_field.name),
-        *[F.lit(initial[f.name]).cast(f.dataType).alias("_s_" + f.name) for f in state],
+    starts = (
+        o.df.select(*group).distinct().select(
+            *group,
+            F.lead(CHUNK).over(ahead).isNull().alias("_last"),
+            *[F.lit(m.initial[f.name]).cast(f.dataType).alias("_s_" + f.name) for f in m.state],
+        )
     )
     settled = None
     while True:
-        todo = renamed(starts, "_last", *[f.name for f in start_fields])
-        rows = o.df.join(todo, key_and_chunk(o.df, todo), "inner")
-        rows = rows.select(*o.df.columns, "_last", *[f.name for f in start_fields])
-        ran = pin(rows.groupBy(*group).applyInPandas(run, schema), "fold")
+        todo = renamed(starts, "_last", *starts_as)
+        rows = source.join(todo, key_and_chunk(source, todo), "inner")
+        ordered = rows.repartition(*group).sortWithinPartitions(*group, *o.order)
+        given = ordered.select(*group, "_last", *starts_as, *m.inputs)
+        ran = pin(given.mapInArrow(_runner(m, group, True), schema), "fold")
         if settled is not None:
             redone = renamed(starts)
             kept = settled.join(redone, key_and_chunk(settled, redone), "left_anti")
             ran = pin(kept.unionByName(ran), "fold")
         settled = ran
 
-        ends = settled.where("_end")
-        wanted = ends.select(
+        ends = settled.where("_end").select(
             *group,
             F.lead(CHUNK).over(ahead).isNull().alias("_last"),
             F.lag(F.lit(True)).over(ahead).isNotNull().alias("_follows"),
@@ -304,11 +381,8 @@ def _fold_chunks(o: Ordered, step: Step, state: T.StructType, initial: dict,
             *[F.lag("_e_" + n).over(ahead).alias("_s_" + n) for n in names],
         )
         differs = reduce(
-            lambda a, b: a | b,
-            [~F.col("_s_" + n).eqNullSafe(F.col("_was_" + n)) for n in names],
-        )
-        starts = wanted.where(F.col("_follows") & differs).select(
-            *group, "_last", *[f.name for f in start_fields]
+            lambda a, b: a | b, [~F.col("_s_" + n).eqNullSafe(F.col("_was_" + n)) for n in names]
         )
+        starts = ends.where(F.col("_follows") & differs).select(*group, "_last", *starts_as)
         if starts.isEmpty():
-            return settled.where(~F.col("_end")).select(*keys, *out.names)
+            return settled.where(~F.col("_end")).select(*keys, *m.out.names)

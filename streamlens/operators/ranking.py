@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from streamlens.operators.ordered import MAX_ROWS, cut, fold, nearby
+from streamlens.operators.ordered import MAX_ROWS, Machine, cut, fold, nearby
 
 
 def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
@@ -74,30 +73,36 @@ def baseline_jump(df: DataFrame, key: str, value: str, row_id: str, order: Seque
 
     Only an alert moves the baseline, which starts at 0.
     """
-    state = T.StructType([T.StructField("base", T.DoubleType())])
-    out = T.StructType([T.StructField(row_id, T.LongType()), T.StructField("baseline", T.DoubleType()),
-                        T.StructField(value, T.DoubleType())])
+    out = T.StructType([T.StructField("_id", T.LongType()), T.StructField("baseline", T.DoubleType()),
+                        T.StructField("_hit", T.DoubleType())])
 
-    def step(rows: pd.DataFrame, start: dict, last: bool) -> tuple[pd.DataFrame, dict]:
-        x = rows[value].to_numpy(float)
-        base, at, hits, bases = start["base"], 0, [], []
+    def step(columns: dict[str, np.ndarray], state: dict) -> tuple[dict[str, np.ndarray], dict]:
+        x, base = columns["_x"], state["base"]
+        at, hits, bases = 0, [], []
         while at < len(x):
             # search in growing blocks, so that a long quiet stretch is scanned once
-            size = 64
+            size = 16
             while at < len(x):
                 far = np.abs(x[at:at + size] - base) > threshold
                 if far.any():
+                    at += int(far.argmax())
+                    hits.append(at)
+                    bases.append(base)
+                    base, at = float(x[at]), at + 1
                     break
                 at, size = at + size, size * 2
-            if at >= len(x):
-                break
-            at += int(far.argmax())
-            hits.append(at)
-            bases.append(base)
-            base, at = float(x[at]), at + 1
-        emitted = pd.DataFrame({row_id: rows[row_id].to_numpy()[hits].astype("int64"),
-                                "baseline": np.array(bases, float), value: x[hits]})
-        return emitted, {"base": base}
-
-    o = cut(df.select(key, row_id, value, *[c for c in order if c != row_id]), [key], order, max_rows)
-    return fold(o, step, state, {"base": 0.0}, out)
+        found = np.array(hits, int)
+        return {"_id": columns["_row"][found], "baseline": np.array(bases, float), "_hit": x[found]}, {
+            "base": base}
+
+    def finish(state: dict) -> dict[str, np.ndarray]:
+        return {c: np.array([]) for c in out.names}
+
+    machine = Machine(
+        ("_row", "_x"), out, T.StructType([T.StructField("base", T.DoubleType())]), {"base": 0.0},
+        step, finish,
+    )
+    rows = df.select(key, *order, F.col(row_id).cast("bigint").alias("_row"),
+                     F.col(value).cast("double").alias("_x"))
+    hits = fold(cut(rows, [key], order, max_rows), machine)
+    return hits.select(key, F.col("_id").alias(row_id), "baseline", F.col("_hit").alias(value))

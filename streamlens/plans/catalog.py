@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from streamlens.plans import basic, metrics, relations, risk  # noqa: F401
+from streamlens.plans import basic, metrics, relations, risk, twins  # noqa: F401
 from streamlens.plans.registry import QUERIES, SQL, Query
 
 

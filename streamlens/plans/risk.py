@@ -199,15 +199,15 @@ def pattern_skip_past_last(spark, folder):
 
 RISING_SQL = f"""
 WITH RECURSIVE o AS (
-  SELECT user_id, c, epoch_us(ts) AS at, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn,
+  SELECT user_id, c, epoch_us(ts) AS us, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn,
          c > lag(c, 1, 0) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rise FROM ({E})),
 walk AS (
-  SELECT user_id, rn, NULL::BIGINT AS fired, CASE WHEN rise THEN at + 43200000000 END AS deadline
+  SELECT user_id, rn, NULL::BIGINT AS fired, CASE WHEN rise THEN us + 43200000000 END AS deadline
   FROM o WHERE rn = 1
   UNION ALL
-  SELECT o.user_id, o.rn, CASE WHEN w.deadline < o.at THEN w.deadline END,
-         CASE WHEN w.deadline >= o.at THEN CASE WHEN o.rise THEN w.deadline END
-              WHEN o.rise THEN o.at + 43200000000 END
+  SELECT o.user_id, o.rn, CASE WHEN w.deadline < o.us THEN w.deadline END,
+         CASE WHEN w.deadline >= o.us THEN CASE WHEN o.rise THEN w.deadline END
+              WHEN o.rise THEN o.us + 43200000000 END
   FROM walk w JOIN o ON o.user_id = w.user_id AND o.rn = w.rn + 1),
 ends AS (SELECT user_id, deadline FROM walk QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY rn DESC) = 1),
 fires AS (SELECT user_id, fired FROM walk WHERE fired IS NOT NULL

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from streamlens.session import ROCKSDB, scratch
@@ -70,18 +71,23 @@ def plain_time(df: DataFrame) -> DataFrame:
     )
 
 
-def with_flush(stream: DataFrame, ts: str = "ts") -> DataFrame:
-    """Append one row far in the future, empty but for its time, so that a replay closes all windows.
+def flush_row(spark: SparkSession, schema: T.StructType, ts: str, **values) -> DataFrame:
+    """One row far in the future, null but for its time and the given values."""
+    known = {ts: FLUSH_TIME, **values}
+    return spark.range(1).select(
+        *[F.lit(known.get(f.name)).cast(f.dataType).alias(f.name) for f in schema]
+    )
+
+
+def with_flush(stream: DataFrame, ts: str = "ts", **values) -> DataFrame:
+    """Append a flush row, so that a replay in one micro-batch closes all windows.
 
     The row passes the watermark but its own window never closes; keys and joins see nulls.
-    Apply filters before, not after.
+    Apply filters before; ``values`` fills columns which a later filter looks at.
     """
     spark = stream.sparkSession
     path = scratch(spark, "flush")
-    spark.range(1).select(
-        *[F.lit(FLUSH_TIME if f.name == ts else None).cast(f.dataType).alias(f.name)
-          for f in stream.schema]
-    ).write.parquet(path)
+    flush_row(spark, stream.schema, ts, **values).write.parquet(path)
     return stream.unionByName(spark.readStream.schema(stream.schema).parquet(path))
 
 
