@@ -17,7 +17,8 @@ from streamlens.sources import sinks
 from streamlens.sources.files import json_number, stream_files
 from streamlens.streaming import live, state
 from streamlens.streaming.jobs import (
-    event_time, flush_row, plain_time, replay, replay_changes, with_flush,
+    FLUSH_TIME, event_time, flush_row, newest_changes, plain_time, replay, replay_changes,
+    replay_slices, with_flush,
 )
 
 DELAY = "1 hour"
@@ -47,21 +48,23 @@ def timed(stream, delay=DELAY, **flush):
     return late.with_event_time(with_flush(stream, "ts", **flush), "ts", delay)
 
 
-def staged(spark, folder, slices=4, flush=False):
-    """Events in files by arrival, one slice after the other, as a stream of one file per batch."""
-    path = scratch(spark, "arrivals")
+def arriving(spark, folder, slices=4):
+    """Events by arrival, cut into a few slices of time, then a flush row."""
     rows = risk.arrivals(spark, folder)
     ends = rows.agg(F.min("arrival").alias("a"), F.max("arrival").alias("z")).first()
     step = (ends.z - ends.a) / slices
+    at = [F.lit(ends.a + i * step).cast("timestamp_ntz") for i in range(slices)]
     for i in range(slices):
-        part = rows.where(F.col("arrival") >= F.lit(ends.a + i * step).cast("timestamp_ntz"))
-        if i < slices - 1:
-            part = part.where(F.col("arrival") < F.lit(ends.a + (i + 1) * step).cast("timestamp_ntz"))
-        part.coalesce(1).write.mode("append").parquet(path)
-    if flush:
-        flush_row(spark, rows.schema, "ts").coalesce(1).write.mode("append").parquet(path)
-    schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes)
-    return stream_files(spark, path, schema, maxFilesPerTrigger="1")
+        part = rows.where(F.col("arrival") >= at[i])
+        yield part if i == slices - 1 else part.where(F.col("arrival") < at[i + 1])
+    yield flush_row(spark, rows.schema, "ts", arrival=FLUSH_TIME)
+
+
+ARRIVING = f"{schemas.CENT_EVENT}, arrival TIMESTAMP_NTZ"
+
+
+def arrived(spark, path):
+    return event_time(stream_files(spark, path, ARRIVING).drop("arrival"))
 
 
 # ---- sinks
@@ -183,9 +186,17 @@ def tumbling_count_stream(spark, folder):
 @query(TUMBLING_SQL)
 def out_of_order_count_stream(spark, folder):
     """Rows arrive up to an hour late, over several micro-batches; the watermark waits for them."""
-    rows = event_time(staged(spark, folder, flush=True).drop("arrival"))
-    counted = windows.windowed_count(late.with_event_time(rows, "ts", DELAY), "ts", "1 hour")
-    return plain_time(replay(counted, "disorder"))
+    path, out = scratch(spark, "arriving"), scratch(spark, "disorder")
+
+    def counted():
+        rows = late.with_event_time(arrived(spark, path), "ts", DELAY)
+        return windows.windowed_count(rows, "ts", "1 hour")
+
+    def start():
+        return sinks.write_exactly_once(counted(), out, out + "-checkpoint")
+
+    replay_slices(arriving(spark, folder), path, start)
+    return plain_time(spark.read.schema(counted().schema).parquet(out))
 
 
 @query(TUMBLING_SQL)
@@ -346,17 +357,30 @@ def flagged_clients_stream(spark, folder):
 @query(TUMBLING_SQL)
 def late_refire_stream(spark, folder):
     """Each late row gives its window again; the newest row per window is the final count."""
-    rows = late.with_event_time(event_time(staged(spark, folder).drop("arrival")), "ts", DELAY)
-    counted = windows.windowed_count(rows, "ts", "1 hour")
-    return plain_time(replay_changes(counted, "refire", ["window_start", "window_end"]))
+    path, out = scratch(spark, "arriving"), scratch(spark, "refire")
+
+    def counted():
+        rows = late.with_event_time(arrived(spark, path), "ts", DELAY)
+        return windows.windowed_count(rows, "ts", "1 hour")
+
+    def start():
+        return sinks.write_batches(counted(), sinks.batch_files(out), out + "-checkpoint", "update")
+
+    replay_slices(arriving(spark, folder), path, start)
+    newest = newest_changes(spark, out, counted(), ["window_start", "window_end"])
+    return plain_time(newest.where(F.col("window_start") < F.lit(FLUSH_TIME)))
 
 
 @query(f"SELECT event_id, window_start, window_end, late_class FROM ({risk.CLASS_SQL})")
 def late_classes_stream(spark, folder):
-    out = scratch(spark, "late")
-    rows = staged(spark, folder).select("event_id", "user_id", "ts", "arrival")
+    path, out = scratch(spark, "arriving"), scratch(spark, "late")
     write = live.route_late(out, "ts", risk.ARRIVAL, "1 hour", "10 MINUTES", "10 MINUTES")
-    sinks.write_batches(rows, write, out + "-checkpoint").awaitTermination()
+
+    def start():
+        rows = stream_files(spark, path, ARRIVING).select("event_id", "user_id", "ts", "arrival")
+        return sinks.write_batches(rows.where("event_id IS NOT NULL"), write, out + "-checkpoint")
+
+    replay_slices(arriving(spark, folder), path, start)
     return spark.read.parquet(f"{out}/rows").select(
         "event_id", "window_start", "window_end", "late_class"
     )

@@ -19,3 +19,7 @@ EVENT = (
     "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
     "props STRING"
 )
+# an event with its value in cents and the number of its properties
+CENT_EVENT = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, c BIGINT, k BIGINT"
+)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,6 +99,14 @@ def replay(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def replay_slices(slices: Iterable[DataFrame], path: str, start: Callable[[], StreamingQuery]) -> None:
+    """Let stored data arrive in slices: after each one the query is started again from its
+    checkpoint and takes what is new as one micro-batch."""
+    for part in slices:
+        part.write.mode("append").parquet(path)
+        start().awaitTermination()
+
+
 def replay_changes(stream: DataFrame, label: str, keys: Sequence[str]) -> DataFrame:
     """Run an update-mode stream over all stored input and return the newest row per key.
 
