@@ -58,7 +58,7 @@ class Ordered:
 
 
 def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    parts = [left[k].eqNullSafe(right["_" + k]) for k in keys]
+    parts = [left[k].eqNullSafe(right["_key_" + k]) for k in keys]
     return reduce(lambda a, b: a & b, parts, F.lit(True))
 
 
@@ -80,7 +80,7 @@ def cut(
     found = large.agg(F.sum("_rows").alias("rows"), F.count("*").alias("keys")).first()
     chunks = min(max(2, math.ceil(found.rows / max_rows)), MAX_CHUNKS)
     if keys:
-        names = large.select(*[F.col(k).alias("_" + k) for k in keys])
+        names = large.select(*[F.col(k).alias("_key_" + k) for k in keys])
         if found.keys <= BROADCAST_KEYS:
             names = F.broadcast(names)
         hot = df.join(names, _same_key(df, names, keys), "left_semi")
@@ -107,9 +107,9 @@ def _carry(o: Ordered, totals: Sequence[Column], before: Callable[[WindowSpec],
         F.col(CHUNK).desc() if reverse else F.col(CHUNK).asc()
     )
     per_chunk = o.df.where(F.col(CHUNK) > 0).groupBy(*o.keys, CHUNK).agg(*totals)
-    names = [F.col(k).alias("_" + k) for k in o.keys]
+    names = [F.col(k).alias("_key_" + k) for k in o.keys]
     return per_chunk.select(
-        *names, F.col(CHUNK).alias("_in"), *before(w.rowsBetween(Window.unboundedPreceding, -1))
+        *names, F.col(CHUNK).alias("_of_chunk"), *before(w.rowsBetween(Window.unboundedPreceding, -1))
     )
 
 
@@ -164,7 +164,7 @@ def running(
         lambda w: [ahead(k, n, w).alias("_c_" + n) for n, (k, _) in values.items()],
         reverse,
     )
-    out = rows.join(carry, _same_key(rows, carry, o.keys) & (rows[CHUNK] == carry["_in"]), "left")
+    out = rows.join(carry, _same_key(rows, carry, o.keys) & (rows[CHUNK] == carry["_of_chunk"]), "left")
     done = out.withColumns(
         {n: joined(k, F.col(n), F.col("_c_" + n)) for n, (k, _) in values.items()}
     )
@@ -345,10 +345,10 @@ def _fold_chunks(o: Ordered, m: Machine) -> DataFrame:
     )
 
     def key_and_chunk(left: DataFrame, right: DataFrame) -> Column:
-        return _same_key(left, right, keys) & (left[CHUNK] == right["_in"])
+        return _same_key(left, right, keys) & (left[CHUNK] == right["_of_chunk"])
 
     def renamed(df: DataFrame, *more: str) -> DataFrame:
-        return df.select(*[F.col(k).alias("_" + k) for k in keys], F.col(CHUNK).alias("_in"), *more)
+        return df.select(*[F.col(k).alias("_key_" + k) for k in keys], F.col(CHUNK).alias("_of_chunk"), *more)
 
     source = o.df.select(*group, *[c for c in o.order if c not in group],
                          *[c for c in m.inputs if c not in o.order])

@@ -39,11 +39,16 @@ def sliding_count(df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[
 
     A sliding window copies each row into size / slide windows. Here rows are first counted per
     pane of length ``slide``; only the pane counts are copied and added up. ``size`` must be a
-    multiple of ``slide``.
+    multiple of ``slide``. For streams, use ``windowed_count``.
     """
-    panes = df.groupBy(F.window(ts, slide).alias("pane"), *keys).agg(F.count("*").alias("_n"))
-    starts = panes.select(F.col("pane.start").alias("_at"), *keys, "_n")
-    return windowed(starts, "_at", size, {out: F.sum("_n")}, keys, slide)
+    pane = F.window(ts, slide)["start"].alias("_pane")
+    panes = df.groupBy(pane, *keys).agg(F.count("*").alias("_n"))
+    earliest = F.expr(f"_pane - INTERVAL {size} + INTERVAL {slide}")
+    starts = F.sequence(earliest, F.col("_pane"), F.expr(f"INTERVAL {slide}"))
+    copies = panes.select(F.explode(starts).alias("window_start"), *keys, "_n")
+    counted = copies.groupBy("window_start", *keys).agg(F.sum("_n").alias(out))
+    end = F.expr(f"window_start + INTERVAL {size}")
+    return counted.select("window_start", end.alias("window_end"), *keys, out)
 
 
 def first_and_count(df: DataFrame, ts: str, size: str, key: str, columns: Sequence[str],
