@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlens.functions.scalar import byte_length, human_bytes
-from streamlens.operators.ordered import MAX_ROWS, cut, running
+from streamlens.operators.ordered import MAX_ROWS, cut, running, running_overall
 
 
 def reduce_by_key(df: DataFrame, keys: Sequence[str], value: str, out: str = "total") -> DataFrame:
@@ -21,6 +21,12 @@ def aggregate_by(df: DataFrame, keys: Sequence[str | Column], aggs: dict[str, Co
     return df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])
 
 
+def words(df: DataFrame, text: str, pattern: str = r"\W+", out: str = "word") -> DataFrame:
+    """One row per non-empty part of the text."""
+    parts = df.select(F.explode(F.split(text, pattern)).alias(out))
+    return parts.where(F.col(out) != "")
+
+
 def running_sum_by_key(df: DataFrame, key: str, value: str, order: Sequence[str],
                        out: str = "running", max_rows: int = MAX_ROWS) -> DataFrame:
     """Each row with the sum of its key up to and including it."""
@@ -30,7 +36,7 @@ def running_sum_by_key(df: DataFrame, key: str, value: str, order: Sequence[str]
 def running_pv(df: DataFrame, order: Sequence[str], out: str = "pv",
                max_rows: int = MAX_ROWS) -> DataFrame:
     """Each row with the number of rows so far."""
-    return running(cut(df, [], order, max_rows), {out: ("count", F.lit(1))}).result()
+    return running_overall(df, order, {out: ("count", F.lit(1))}, max_rows=max_rows)
 
 
 def first_seen(df: DataFrame, key: str, order: Sequence[str], out: str = "is_first") -> DataFrame:
@@ -49,18 +55,17 @@ def running_uv(df: DataFrame, user: str, order: Sequence[str], out: str = "uv",
                max_rows: int = MAX_ROWS) -> DataFrame:
     """Each row with the number of distinct users so far."""
     marked = first_seen(df, user, order, "_new")
-    return (
-        running(cut(marked, [], order, max_rows), {out: ("sum", F.col("_new"))})
-        .result()
-        .drop("_new")
+    counted = running_overall(
+        marked, order, {out: ("sum", F.col("_new"))}, max_rows=max_rows, sized_by=df
     )
+    return counted.drop("_new")
 
 
 def running_volume(df: DataFrame, text: str, order: Sequence[str],
                    max_rows: int = MAX_ROWS) -> DataFrame:
     """Each row with the records and bytes so far, the bytes also as readable text."""
     values = {"records": ("count", F.lit(1)), "bytes": ("sum", byte_length(F.col(text)))}
-    out = running(cut(df, [], order, max_rows), values).result()
+    out = running_overall(df, order, values, max_rows=max_rows)
     return out.withColumn("volume", human_bytes(F.col("bytes")))
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from streamlens.operators.ordered import MAX_ROWS, cut, running
 
-BROADCAST_RULES = 1_000
+RULES_PER_DAY = 100
+BROADCAST_RULES = 100_000
 
 
 def window_join(left: DataFrame, right: DataFrame, key: str, ts: str, size: str,
@@ -49,31 +50,48 @@ def connect_first(connected: DataFrame) -> DataFrame:
 
 def rules_asof_join(events: DataFrame, rules: DataFrame, tier: str, ts: str, rule: str,
                     order: Sequence[str], missing: str | None = "",
-                    max_rows: int = MAX_ROWS, broadcast_rules: int = BROADCAST_RULES) -> DataFrame:
+                    max_rows: int = MAX_ROWS, rules_per_day: int = RULES_PER_DAY) -> DataFrame:
     """Add the newest rule of the event's tier which was set at or before the event.
 
-    A few rules are turned into validity spans and broadcast, so events are not moved. Beyond
-    ``broadcast_rules`` both are put in one time order per tier and the rule is carried forward;
-    tiers, though few, may then be of any size. Of rules set at one time the largest text counts.
+    Each tier and day gets the rule it starts with and those set during it, so an event is
+    compared with a handful of rules and needs no ordering. If some tier sets more than
+    ``rules_per_day`` rules on a day, events and rules are put in one time order per tier instead
+    and the rule is carried forward. Of rules set at one time the largest text counts.
     """
     rules = rules.where(F.col(rule).isNotNull()).groupBy(tier, ts).agg(F.max(rule).alias(rule))
-    if rules.limit(broadcast_rules + 1).count() <= broadcast_rules:
-        return _by_spans(events, rules, tier, ts, rule, missing)
+    day = F.to_date(ts).alias("_day")
+    busy = rules.groupBy(tier, day).agg(F.count("*").alias("_n")).where(F.col("_n") > rules_per_day)
+    if busy.isEmpty():
+        return _by_day(events, rules, tier, ts, rule, missing)
     return _by_order(events, rules, tier, ts, rule, order, missing, max_rows)
 
 
-def _by_spans(events, rules, tier, ts, rule, missing):
+def _by_day(events, rules, tier, ts, rule, missing):
+    """Equi-join on tier and day; which of the day's rules holds is decided by their spans.
+
+    The rule table has one row per rule and one per tier and day, whatever the number of events.
+    It is broadcast if it has at most ``BROADCAST_RULES`` rows; otherwise Spark joins by shuffle
+    and splits large tiers and days.
+    """
+    newest = events.agg(F.max(ts).cast("string").alias("at")).first().at
+    newest = F.lit(newest).cast(events.schema[ts].dataType)
     ahead = Window.partitionBy(tier).orderBy(ts)
     spans = rules.select(
-        F.col(tier).alias("_tier"), F.col(ts).alias("_from"),
-        F.lead(ts).over(ahead).alias("_until"), F.col(rule).alias(rule),
-    )
+        F.col(tier).alias("_tier"), F.col(ts).alias("_from"), F.lead(ts).over(ahead).alias("_until"),
+        F.col(rule).alias(rule),
+    ).where(F.col("_from") <= newest)
+    until = F.least(F.coalesce("_until", newest), newest)
+    days = F.sequence(F.to_date("_from"), F.to_date(until))
+    daily = spans.withColumn("_day", F.explode(days))
+    if daily.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES:
+        daily = F.broadcast(daily)
     valid = (
         (F.col(tier) == F.col("_tier"))
+        & (F.to_date(ts) == F.col("_day"))
         & (F.col(ts) >= F.col("_from"))
         & (F.col("_until").isNull() | (F.col(ts) < F.col("_until")))
     )
-    out = events.join(F.broadcast(spans), valid, "left").drop("_tier", "_from", "_until")
+    out = events.join(daily, valid, "left").drop("_tier", "_from", "_until", "_day")
     return out if missing is None else out.withColumn(rule, F.coalesce(rule, F.lit(missing)))
 
 

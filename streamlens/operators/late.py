@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamlens.operators.ordered import MAX_ROWS, cut, running
+from streamlens.operators.ordered import MAX_ROWS, cut, running, running_overall
+from streamlens.session import pin
 
 ON_TIME, LATE_REFIRE, SIDE_OUTPUT = "on_time", "late_refire", "side_output"
 
@@ -32,11 +33,12 @@ def row_watermark(df: DataFrame, ts: str, arrival: Sequence[str], delay: str,
                   max_rows: int = MAX_ROWS) -> DataFrame:
     """Add the watermark each row meets, or with ``after`` the one it leaves behind.
 
-    Null where no row came before.
+    ``arrival`` starts with the time of arrival. Null where no row came before.
     """
-    o = running(cut(df, [], arrival, max_rows), {out: ("max", F.col(ts))}, strict=not after)
-    moved = F.expr(f"{out} - INTERVAL {delay} - INTERVAL 1 MILLISECOND")
-    return o.result().withColumn(out, moved)
+    newest = running_overall(
+        df, arrival, {out: ("max", F.col(ts))}, strict=not after, max_rows=max_rows
+    )
+    return newest.withColumn(out, F.expr(f"{out} - INTERVAL {delay} - INTERVAL 1 MILLISECOND"))
 
 
 def classify_late(df: DataFrame, ts: str, arrival: Sequence[str], size: str, delay: str,
@@ -73,6 +75,8 @@ def late_refire(classified: DataFrame, keys: Sequence[str], arrival: Sequence[st
     """
     group = ["window_start", "window_end", *keys]
     accepted = classified.where(F.col("late_class") != SIDE_OUTPUT)
+    # read three times below; the classification is not repeated
+    accepted = pin(accepted.select(*group, *[c for c in arrival if c not in group], "late_class"), "late")
     counted = running(cut(accepted, group, arrival, max_rows), {out: ("count", F.lit(1))}).result()
     first = (
         accepted.where(F.col("late_class") == ON_TIME)

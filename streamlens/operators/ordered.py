@@ -7,6 +7,7 @@ the rows of the large keys are range-partitioned by (key, order), so that such a
 evenly sized chunks, and what must pass from chunk to chunk travels in a small carry table.
 
 ``cut`` decides and returns an ``Ordered``; ``running``, ``nearby`` and ``fold`` consume it.
+``running_overall`` does the same for one order over all rows.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from streamlens.session import pin
 MAX_ROWS = 1_000_000
 MAX_CHUNKS = 20_000
 BROADCAST_KEYS = 100_000
+MIN_SLOTS, MAX_SLOTS = 64, 1_000_000
 CHUNK = "_chunk"
 
 
@@ -63,15 +65,21 @@ def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def cut(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int = MAX_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    max_rows: int = MAX_ROWS,
+    sized_by: DataFrame | None = None,
 ) -> Ordered:
     """Prepare ``df`` for ordered work; ``order`` must be a total order within a key.
 
     One aggregation counts rows per key. If no key exceeds ``max_rows`` nothing is moved.
+    ``sized_by`` is a cheaper relation with the same keys and rows to count instead.
     """
     keys, order = tuple(keys), tuple(order)
     whole = Ordered(df.withColumn(CHUNK, F.lit(0)), keys, order, False, max_rows)
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    counted = df if sized_by is None else sized_by
+    sizes = counted.groupBy(*keys).agg(F.count("*").alias("_rows"))
     large = sizes.where(F.col("_rows") > max_rows)
     if large.isEmpty():
         return whole
@@ -113,13 +121,33 @@ def _carry(o: Ordered, totals: Sequence[Column], before: Callable[[WindowSpec],
     )
 
 
-def running(
-    o: Ordered,
-    values: dict[str, tuple[str, Column]],
-    *,
-    strict: bool = False,
-    reverse: bool = False,
-) -> Ordered:
+Values = dict[str, tuple[str, Column]]
+
+
+def _total(kind: str, value: Column, position: Column, reverse: bool = False) -> Column:
+    """Aggregate of a group of rows which stands for them in a running value."""
+    if kind == "last":
+        return (F.min_by if reverse else F.max_by)(value, F.when(value.isNotNull(), position))
+    return getattr(F, kind)(value)
+
+
+def _over_totals(kind: str, value: Column, w: WindowSpec) -> Column:
+    """The same over totals instead of rows."""
+    if kind == "last":
+        return F.last(value, ignorenulls=True).over(w)
+    return getattr(F, "sum" if kind == "count" else kind)(value).over(w)
+
+
+def _joined(kind: str, here: Column, there: Column) -> Column:
+    """Running value within a group, continued from what came before the group."""
+    if kind in ("sum", "count"):
+        return here + F.coalesce(there, F.lit(0))
+    if kind == "last":
+        return F.coalesce(here, there)
+    return (F.greatest if kind == "max" else F.least)(here, there)
+
+
+def running(o: Ordered, values: Values, *, strict: bool = False, reverse: bool = False) -> Ordered:
     """Add running values per key: ``{"name": (kind, column)}``.
 
     Kinds are ``sum``, ``count``, ``max``, ``min`` and ``last`` (newest non-null value).
@@ -127,8 +155,6 @@ def running(
     ``last`` is the next non-null value.
     """
     frame = o.window(reverse).rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
-    position = F.struct(*o.order)
-    newest = F.min_by if reverse else F.max_by
 
     def local(kind: str, value: Column) -> Column:
         if kind == "last":
@@ -136,41 +162,72 @@ def running(
         result = getattr(F, kind)(value).over(frame)
         return F.coalesce(result, F.lit(0)) if kind == "sum" else result
 
-    def total(kind: str, value: Column) -> Column:
-        if kind == "last":
-            return newest(value, F.when(value.isNotNull(), position))
-        return getattr(F, kind)(value)
-
-    def ahead(kind: str, name: str, w: WindowSpec) -> Column:
-        value = F.col("_t_" + name)
-        if kind == "last":
-            return F.last(value, ignorenulls=True).over(w)
-        return getattr(F, "sum" if kind == "count" else kind)(value).over(w)
-
-    def joined(kind: str, here: Column, there: Column) -> Column:
-        if kind in ("sum", "count"):
-            return here + F.coalesce(there, F.lit(0))
-        if kind == "last":
-            return F.coalesce(here, there)
-        return (F.greatest if kind == "max" else F.least)(here, there)
-
     rows = o.df.withColumns({n: local(k, v) for n, (k, v) in values.items()})
     if not o.split:
         return replace(o, df=rows)
 
+    position = F.struct(*o.order)
     carry = _carry(
         o,
-        [total(k, v).alias("_t_" + n) for n, (k, v) in values.items()],
-        lambda w: [ahead(k, n, w).alias("_c_" + n) for n, (k, _) in values.items()],
+        [_total(k, v, position, reverse).alias("_t_" + n) for n, (k, v) in values.items()],
+        lambda w: [_over_totals(k, F.col("_t_" + n), w).alias("_c_" + n)
+                   for n, (k, _) in values.items()],
         reverse,
     )
-    out = rows.join(carry, _same_key(rows, carry, o.keys) & (rows[CHUNK] == carry["_of_chunk"]), "left")
+    out = rows.join(
+        carry, _same_key(rows, carry, o.keys) & (rows[CHUNK] == carry["_of_chunk"]), "left"
+    )
     done = out.withColumns(
-        {n: joined(k, F.col(n), F.col("_c_" + n)) for n, (k, _) in values.items()}
+        {n: _joined(k, F.col(n), F.col("_c_" + n)) for n, (k, _) in values.items()}
     )
     return replace(o, df=done.select(*rows.columns))
 
 
+def running_overall(
+    df: DataFrame,
+    order: Sequence[str],
+    values: Values,
+    *,
+    strict: bool = False,
+    max_rows: int = MAX_ROWS,
+    sized_by: DataFrame | None = None,
+) -> DataFrame:
+    """Running values over all rows in one order, whose first column is a timestamp.
+
+    Time is cut into slots of equal length. Rows are scanned per slot in parallel, slot totals are
+    added up in order, and each row continues from the total before its slot. The totals are one
+    row per slot, at most ``MAX_SLOTS``. A slot in which rows crowd is itself cut by ``cut``.
+    """
+    ts = order[0]
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    counted = df if sized_by is None else sized_by
+    seen = counted.agg(
+        F.count("*").alias("rows"), F.min(us).alias("a"), F.max(us).alias("z")
+    ).first()
+    slots = min(max(MIN_SLOTS, math.ceil(4 * seen.rows / max_rows)), MAX_SLOTS)
+    width = max(1, math.ceil(((seen.z or 0) - (seen.a or 0) + 1) / slots))
+    slot = F.floor((us - F.lit(seen.a or 0)) / width)
+    slotted = df.withColumn("_slot", slot)
+    o = cut(slotted, ["_slot"], order, max_rows, counted.select(slot.alias("_slot")))
+    rows = running(o, values, strict=strict).result()
+
+    position = F.struct(*order)
+    totals = slotted.groupBy("_slot").agg(
+        *[_total(k, v, position).alias("_t_" + n) for n, (k, v) in values.items()]
+    )
+    before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(
+        F.col("_slot").alias("_of_slot"),
+        *[_over_totals(k, F.col("_t_" + n), before).alias("_c_" + n)
+          for n, (k, _) in values.items()],
+    )
+    out = rows.join(carry, rows["_slot"].eqNullSafe(carry["_of_slot"]), "left")
+    done = out.withColumns(
+        {n: _joined(k, F.col(n), F.col("_c_" + n)) for n, (k, _) in values.items()}
+    )
+    return done.select(*df.columns, *values)
+
+
 def nearby(
     o: Ordered,
     values: dict[str, Callable[[WindowSpec], Column]],

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlens.operators.dedup import union_streams
-from streamlens.operators.ordered import MAX_ROWS, cut, nearby, running
+from streamlens.operators.ordered import MAX_ROWS, Ordered, cut, nearby, running
 
 
 def single(df: DataFrame, condition: Column) -> DataFrame:
@@ -24,44 +24,53 @@ def chained(*steps: tuple[str, Column]) -> Column:
     return result
 
 
-def times_next(df: DataFrame, key: str, order: Sequence[str], start: Column, following: Column,
-               times: int, event: Sequence[str], max_rows: int = MAX_ROWS) -> DataFrame:
-    """``times`` rows fulfilling ``start`` with anything between, then ``following`` directly after.
-
-    Every start row may open a match. One output row per match: the key, ``first``, ``last`` and
-    ``next``, each a struct of the ``event`` columns.
-    """
-    whole = nearby(
+def _with_next(df: DataFrame, key: str, order: Sequence[str], following: Column,
+               event: Sequence[str], max_rows: int) -> Ordered:
+    """Each row with the one directly after it, and whether that one fulfils ``following``."""
+    return nearby(
         cut(df, [key], order, max_rows),
         {
             "_next": lambda w: F.lead(F.struct(*event)).over(w),
             "_follows": lambda w: F.lead(F.coalesce(following, F.lit(False)), 1, False).over(w),
         },
         after=1,
-    ).result()
-    starts = whole.where(start)
-    if times == 1:
-        last = {"_last": lambda w: F.struct(*event), "_n": lambda w: F.col("_next"),
-                "_f": lambda w: F.col("_follows")}
-    else:
-        last = {
+    )
+
+
+def _times(starts: Ordered, key: str, times: int, event: Sequence[str]) -> DataFrame:
+    """Matches from the start rows, which alone are looked at: the last is ``times - 1`` further."""
+    found = nearby(
+        starts,
+        {
             "_last": lambda w: F.lead(F.struct(*event), times - 1).over(w),
             "_n": lambda w: F.lead("_next", times - 1).over(w),
             "_f": lambda w: F.lead("_follows", times - 1, False).over(w),
-        }
-    found = nearby(cut(starts, [key], order, max_rows), last, after=times - 1).result()
+        },
+        after=times - 1,
+    ).result()
     return found.where("_f").select(
         key, F.struct(*event).alias("first"), F.col("_last").alias("last"), F.col("_n").alias("next")
     )
 
 
+def times_next(df: DataFrame, key: str, order: Sequence[str], start: Column, following: Column,
+               times: int, event: Sequence[str], max_rows: int = MAX_ROWS) -> DataFrame:
+    """``times`` rows fulfilling ``start`` with anything between, then ``following`` directly after.
+
+    Every start row may open a match. One output row per match: the key, ``first``, ``last`` and
+    ``next``, each a struct of the ``event`` columns.
+    """
+    starts = _with_next(df, key, order, following, event, max_rows).where(start)
+    return _times(starts, key, times, event)
+
+
 def times_range_next(df: DataFrame, key: str, order: Sequence[str], start: Column,
                      following: Column, least: int, most: int, event: Sequence[str],
                      max_rows: int = MAX_ROWS) -> DataFrame:
     """Matches of ``times_next`` for each count from ``least`` to ``most``, with the count."""
+    starts = _with_next(df, key, order, following, event, max_rows).where(start)
     return union_streams(*[
-        times_next(df, key, order, start, following, n, event, max_rows).withColumn("times", F.lit(n))
-        for n in range(least, most + 1)
+        _times(starts, key, n, event).withColumn("times", F.lit(n)) for n in range(least, most + 1)
     ])
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from streamlens import schemas
 from streamlens.functions import scalar as S
-from streamlens.operators import dedup, transform
+from streamlens.operators import aggregates, dedup, transform
 from streamlens.plans.registry import query, table
 from streamlens.session import scratch
 from streamlens.sources import connectors, files, sinks
@@ -328,7 +328,7 @@ SELECT word, count(*) AS n FROM (
 WHERE word <> '' GROUP BY word
 """)
 def word_count(spark, folder):
-    words = table(spark, folder, "documents").select(F.explode(S.tokens(F.col("text"))).alias("word"))
+    words = aggregates.words(table(spark, folder, "documents"), "text")
     return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
@@ -338,8 +338,7 @@ SELECT separator, count(*) AS n FROM (
 WHERE separator <> '' GROUP BY separator
 """)
 def separator_count(spark, folder):
-    docs = table(spark, folder, "documents")
-    parts = docs.select(F.explode(S.tokens(F.col("text"), r"\w+")).alias("separator"))
+    parts = aggregates.words(table(spark, folder, "documents"), "text", r"\w+", "separator")
     return parts.groupBy("separator").agg(F.count("*").alias("n"))
 
 

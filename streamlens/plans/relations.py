@@ -160,9 +160,6 @@ def connect_first(spark, folder):
 
 # ---- the daily job, on driver tables: bulletins are orders, funds are parts, holders are customers
 
-RUN_DAY = "19960612"
-
-
 def etl_tables(spark, folder):
     lines, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
     parts, customers = table(spark, folder, "part"), table(spark, folder, "customer")

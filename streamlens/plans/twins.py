@@ -51,9 +51,10 @@ def timed(stream, delay=DELAY, **flush):
 def arriving(spark, folder, slices=4):
     """Events by arrival, cut into a few slices of time, then a flush row."""
     rows = risk.arrivals(spark, folder)
-    ends = rows.agg(F.min("arrival").alias("a"), F.max("arrival").alias("z")).first()
-    step = (ends.z - ends.a) / slices
-    at = [F.lit(ends.a + i * step).cast("timestamp_ntz") for i in range(slices)]
+    us = F.unix_micros(F.col("arrival").cast("timestamp"))
+    ends = rows.agg(F.min(us).alias("a"), F.max(us).alias("z")).first()
+    step = (ends.z - ends.a) // slices
+    at = [F.timestamp_micros(F.lit(ends.a + i * step)).cast("timestamp_ntz") for i in range(slices)]
     for i in range(slices):
         part = rows.where(F.col("arrival") >= at[i])
         yield part if i == slices - 1 else part.where(F.col("arrival") < at[i + 1])

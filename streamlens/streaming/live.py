@@ -43,25 +43,25 @@ def route_late(path: str, ts: str, arrival: Sequence[str], size: str, delay: str
         if batch_id > 0:
             clock = (
                 spark.read.schema("seen TIMESTAMP_NTZ, batch BIGINT").parquet(f"{path}/clock")
-                .where(F.col("batch") < batch_id).agg(F.max("seen").alias("seen")).first().seen
+                .where(F.col("batch") < batch_id).agg(F.max("seen").cast("string").alias("seen"))
+                .first().seen
             )
         else:
             clock = None
         rows = batch.withColumn("_old", F.lit(False))
         if clock is not None:
             # the past as one row which arrived before all others
-            past = rows.limit(0).unionByName(
-                spark.range(1).select(
-                    F.lit(clock).cast("timestamp_ntz").alias(ts), F.lit(True).alias("_old")
-                ),
-                allowMissingColumns=True,
+            first = batch.agg(F.min(arrival[0]).cast("string").alias("at")).first().at
+            past = spark.range(1).select(
+                F.lit(clock).cast("timestamp_ntz").alias(ts),
+                F.lit(first).cast("timestamp_ntz").alias(arrival[0]),
+                F.lit(True).alias("_old"),
             )
-            rows = rows.unionByName(past)
-        order = ["_new", *arrival]
-        marked = classify_late(
-            rows.withColumn("_new", F.when(F.col("_old"), 0).otherwise(1)), ts, order, size, delay,
-            lateness,
-        )
+            rows = rows.unionByName(past, allowMissingColumns=True)
+        # _new keeps the past row first among rows of the same arrival time
+        rows = rows.withColumn("_new", F.when(F.col("_old"), 0).otherwise(1))
+        order = [arrival[0], "_new", *arrival[1:]]
+        marked = classify_late(rows, ts, order, size, delay, lateness)
         out = marked.where(~F.col("_old")).drop("_old", "_new")
         out.write.mode("overwrite").parquet(_folder(f"{path}/rows", batch_id))
         batch.agg(F.max(ts).alias("seen")).write.mode("overwrite").parquet(

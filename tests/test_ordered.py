@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from streamlens.operators.ordered import cut, nearby, running
+from streamlens.operators.ordered import cut, nearby, running, running_overall
 
 
 @pytest.fixture(scope="module")
@@ -64,3 +64,18 @@ def test_no_chunk_is_large(rows):
     largest = o.df.groupBy("k", "_chunk").count().agg(F.max("count")).first()[0]
     assert largest <= 2 * 60
     assert o.df.count() == 900
+
+
+@pytest.mark.parametrize("strict", [False, True])
+@pytest.mark.parametrize("max_rows", [1_000_000, 30])
+def test_overall_equals_one_window(rows, strict, max_rows):
+    crowded = rows.withColumn("at", F.timestamp_seconds(F.when(F.col("ts") < 40, 3).otherwise(F.col("ts"))))
+    values = {"s": ("sum", F.col("x")), "n": ("count", F.lit(1)), "hi": ("max", F.col("x")),
+              "new": ("last", F.struct("id", "x"))}
+    w = Window.orderBy("at", "id").rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
+    want = crowded.withColumns({
+        "s": F.coalesce(F.sum("x").over(w), F.lit(0)), "n": F.count("*").over(w),
+        "hi": F.max("x").over(w), "new": F.last(F.struct("id", "x"), ignorenulls=True).over(w),
+    })
+    got = running_overall(crowded, ["at", "id"], values, strict=strict, max_rows=max_rows)
+    assert sorted_rows(got) == sorted_rows(want)

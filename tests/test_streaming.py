@@ -83,10 +83,12 @@ def test_watermark_drops_what_is_too_late(spark, tmp_path):
 def test_late_rows_are_kept_apart(spark, tmp_path):
     """The watermark goes on across micro-batches, and no row is lost."""
     path, out = str(tmp_path / "in"), str(tmp_path / "out")
-    write = live.route_late(out, "ts", ["id"], "10 seconds", "2 SECONDS", "5 SECONDS")
+    write = live.route_late(out, "ts", ["seen", "id"], "10 seconds", "2 SECONDS", "5 SECONDS")
 
     def start():
-        return sinks.write_batches(stream_files(spark, path, SCHEMA), write, out + "-c")
+        stream = stream_files(spark, path, SCHEMA)
+        seen = F.timestamp_seconds("id").cast("timestamp_ntz")
+        return sinks.write_batches(stream.withColumn("seen", seen), write, out + "-c")
 
     slices = [part(spark, [(1, 1, 1), (13, 1, 2)]), part(spark, [(2, 1, 3), (18, 1, 4), (3, 1, 5)])]
     replay_slices(slices, path, start)

@@ -65,7 +65,8 @@ def test_running_sum_per_key(spark):
 
 def test_empty_input(spark):
     empty = numbers(spark, 1, 0)
-    assert aggregates.running_pv(empty, ["n"]).count() == 0
+    timed = empty.withColumn("ts", F.timestamp_seconds("n"))
+    assert aggregates.running_pv(timed, ["ts", "n"]).count() == 0
     assert aggregates.record_count(empty).first().records == 0
 
 
@@ -76,6 +77,6 @@ def test_extreme_rows_take_the_earliest(spark):
 
 
 def test_running_uv_split(spark):
-    df = spark.range(500).select("id", F.when(F.col("id") < 300, 1).otherwise(F.col("id") % 90).alias("u"))
-    whole = rows(aggregates.running_uv(df, "u", ["id"]))
-    assert rows(aggregates.running_uv(df, "u", ["id"], max_rows=40)) == whole
+    df = spark.range(500).select("id", F.timestamp_seconds(F.least("id", F.lit(350))).alias("ts"), F.when(F.col("id") < 300, 1).otherwise(F.col("id") % 90).alias("u"))
+    whole = rows(aggregates.running_uv(df, "u", ["ts", "id"]))
+    assert rows(aggregates.running_uv(df, "u", ["ts", "id"], max_rows=40)) == whole

@@ -81,7 +81,7 @@ def test_top_products_and_average(spark):
 def test_late_limits(spark):
     """Window [0, 10) s, disorder 2 s, lateness 5 s; the watermark is max - 2 s - 1 ms."""
     def class_after(seen):
-        df = log(spark, [(seen, 0, "x"), (9, 1, "y")], "arrival long, id string")
+        df = log(spark, [(seen, at(0), "x"), (9, at(1), "y")], "arrival timestamp_ntz, id string")
         out = late.classify_late(df, "ts", ["arrival"], "10 seconds", "2 SECONDS", "5 SECONDS")
         return out.where("id = 'y'").first().late_class
 
@@ -94,10 +94,12 @@ def test_late_limits(spark):
 @pytest.mark.parametrize("max_rows", [1_000_000, 30])
 def test_refires_count_up(spark, max_rows):
     df = spark.range(300).select(
-        F.timestamp_seconds(F.col("id") - F.col("id") * 37 % 20).cast("timestamp_ntz").alias("ts"), "id"
+        F.timestamp_seconds(F.col("id") - F.col("id") * 37 % 20).cast("timestamp_ntz").alias("ts"),
+        # arrivals crowd in one instant
+        F.timestamp_seconds(F.when(F.col("id") < 200, 5).otherwise(F.col("id"))).alias("seen"), "id",
     )
-    marked = late.classify_late(df, "ts", ["id"], "10 seconds", "2 SECONDS", "6 SECONDS", max_rows=max_rows)
-    firings = late.late_refire(marked, [], ["id"], max_rows=max_rows).collect()
+    marked = late.classify_late(df, "ts", ["seen", "id"], "10 seconds", "2 SECONDS", "6 SECONDS", max_rows=max_rows)
+    firings = late.late_refire(marked, [], ["seen", "id"], max_rows=max_rows).collect()
     largest, expected = None, {}
     out = []
     for i in range(300):
@@ -189,7 +191,7 @@ def test_chained_conditions_have_no_precedence(spark):
 # ---- joins and sessions
 
 
-@pytest.mark.parametrize("limits", [{}, {"broadcast_rules": 0}, {"broadcast_rules": 0, "max_rows": 40}])
+@pytest.mark.parametrize("limits", [{}, {"rules_per_day": 0}, {"rules_per_day": 0, "max_rows": 40}])
 def test_rule_in_force(spark, limits):
     events = spark.range(200).select(
         F.timestamp_seconds("id").cast("timestamp_ntz").alias("ts"), "id",
