@@ -17,16 +17,20 @@ from streamlens.sources import sinks
 from streamlens.sources.files import json_number, stream_files
 from streamlens.streaming import live, state
 from streamlens.streaming.jobs import (
-    FLUSH_TIME, event_time, flush_row, newest_changes, plain_time, replay, replay_changes,
-    replay_slices, with_flush,
+    FLUSH_TIME, EndOfInput, event_time, flush_row, newest_changes, plain_time, replay, replay_changes,
+    replay_slices, run_to_end,
 )
 
 DELAY = "1 hour"
+# bounds what a task holds of a key in one micro-batch
+FILES_PER_BATCH = "64"
 
 
 def raw(spark, folder):
+    """The stored events as a log: files in the order written, some of them per micro-batch."""
     # a pattern, since a stream takes a single file only by way of one
-    return stream_files(spark, f"{folder}/events.parque[t]", schemas.EVENT)
+    path = f"{folder}/events.parque[t]"
+    return stream_files(spark, path, schemas.EVENT, maxFilesPerTrigger=FILES_PER_BATCH)
 
 
 def events(spark, folder):
@@ -43,9 +47,9 @@ def views(spark, folder):
     return events(spark, folder).where(F.col("event_type") == "view")
 
 
-def timed(stream, delay=DELAY, **flush):
-    """Flushed stream with its watermark."""
-    return late.with_event_time(with_flush(stream, "ts", **flush), "ts", delay)
+def timed(stream, end, **values):
+    """Stream with its watermark, which ``end`` will close."""
+    return late.with_event_time(end.after(stream, "ts", **values), "ts", DELAY)
 
 
 def arriving(spark, folder, slices=4):
@@ -93,11 +97,12 @@ def distinct_set_table_stream(spark, folder):
 
 @query(relations.WINDOW_JOIN_SQL)
 def window_join_stream(spark, folder):
+    end = EndOfInput()
     sides = [
-        timed(events(spark, folder).where(F.col("event_type") == t)) for t in ("click", "purchase")
+        timed(events(spark, folder).where(F.col("event_type") == t), end) for t in ("click", "purchase")
     ]
     joined = joins.window_join(*sides, "user_id", "ts", "1 day", relations.join_columns())
-    return replay(joined, "window-join")
+    return replay(joined, "window-join", end)
 
 
 @query(relations.CONNECT_SQL)
@@ -151,12 +156,13 @@ SELECT user_id, date_trunc('day', ts)::TIMESTAMP AS day, event_id, event_type FR
 QUALIFY row_number() OVER (PARTITION BY user_id, date_trunc('day', ts) ORDER BY ts, event_id) = 1
 """)
 def keep_first_by_key_stream(spark, folder):
-    rows = timed(events(spark, folder))
+    end = EndOfInput()
+    rows = timed(events(spark, folder), end)
     first = windows.first_per_window(
         rows, "ts", "1 day", "user_id", ["event_id", "event_type"], M.ORDER
     )
     out = first.select("user_id", F.col("window_start").alias("day"), "event_id", "event_type")
-    return plain_time(replay(out, "first"))
+    return plain_time(replay(out, "first", end))
 
 
 @query(f"""
@@ -164,8 +170,9 @@ SELECT user_id, date_trunc('day', ts)::TIMESTAMP AS day, CAST(sum(c) AS BIGINT)
        CAST(sum(k) AS BIGINT) AS transfer, max(ts) AS last_ts FROM ({M.E}) GROUP BY ALL
 """)
 def daily_client_totals_stream(spark, folder):
-    totals = aggregates.daily_client_totals(timed(events(spark, folder)), "user_id", "c", "k", "ts")
-    return plain_time(replay(totals, "daily"))
+    end = EndOfInput()
+    totals = aggregates.daily_client_totals(timed(events(spark, folder), end), "user_id", "c", "k", "ts")
+    return plain_time(replay(totals, "daily", end))
 
 
 # ---- windows
@@ -180,8 +187,9 @@ FROM events GROUP BY ALL
 
 @query(TUMBLING_SQL)
 def tumbling_count_stream(spark, folder):
-    counted = windows.windowed_count(timed(events(spark, folder)), "ts", "1 hour")
-    return plain_time(replay(counted, "tumbling"))
+    end = EndOfInput()
+    counted = windows.windowed_count(timed(events(spark, folder), end), "ts", "1 hour")
+    return plain_time(replay(counted, "tumbling", end))
 
 
 @query(TUMBLING_SQL)
@@ -203,14 +211,16 @@ def out_of_order_count_stream(spark, folder):
 @query(TUMBLING_SQL)
 def ordered_time_count_stream(spark, folder):
     """Rows in time order: the watermark follows without delay."""
-    rows = late.with_ordered_time(with_flush(events(spark, folder)), "ts")
-    return plain_time(replay(windows.windowed_count(rows, "ts", "1 hour"), "ordered"))
+    end = EndOfInput()
+    rows = late.with_ordered_time(end.after(events(spark, folder)), "ts")
+    return plain_time(replay(windows.windowed_count(rows, "ts", "1 hour"), "ordered", end))
 
 
 @query(M.sliding_sql(M.E, "1 hour", "10 minutes", "", "n"))
 def sliding_count_stream(spark, folder):
-    counted = windows.windowed_count(timed(events(spark, folder)), "ts", "1 hour", slide="10 minutes")
-    return plain_time(replay(counted, "sliding"))
+    end = EndOfInput()
+    counted = windows.windowed_count(timed(events(spark, folder), end), "ts", "1 hour", slide="10 minutes")
+    return plain_time(replay(counted, "sliding", end))
 
 
 @query(f"""
@@ -220,36 +230,39 @@ SELECT time_bucket(INTERVAL '8 hours', ts) AS window_start,
 FROM ({M.E}) GROUP BY 1, 2, 3
 """)
 def tumbling_event_count_stream(spark, folder):
+    end = EndOfInput()
     counted = windows.first_and_count(
-        timed(events(spark, folder)), "ts", "8 hours", "user_id", ["event_id", "event_type"], ["event_id"]
+        timed(events(spark, folder), end), "ts", "8 hours", "user_id", ["event_id", "event_type"], ["event_id"]
     )
-    return plain_time(replay(counted, "event-count"))
+    return plain_time(replay(counted, "event-count", end))
 
 
 @query(M.PV_SQL)
 def windowed_pv_stream(spark, folder):
-    return plain_time(replay(windows.windowed_pv(timed(views(spark, folder)), "ts"), "pv"))
+    end = EndOfInput()
+    return plain_time(replay(windows.windowed_pv(timed(views(spark, folder), end), "ts"), "pv", end))
 
 
 @query(M.UV_SQL)
 def windowed_uv_stream(spark, folder):
-    hour = timed(views(spark, folder)).select(F.window("ts", "1 hour").alias("window"), "user_id")
+    end = EndOfInput()
+    hour = timed(views(spark, folder), end).select(F.window("ts", "1 hour").alias("window"), "user_id")
     users = hour.dropDuplicates(["window", "user_id"])
     counted = users.groupBy("window").agg(F.count("user_id").alias("uv")).select(
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "uv"
     )
-    return plain_time(replay(counted, "uv"))
+    return plain_time(replay(counted, "uv", end))
 
 
 def hot_stream(spark, folder, size, slide):
-    out = scratch(spark, "hot")
+    end, out = EndOfInput(), scratch(spark, "hot")
     counts = windows.windowed_count(
-        timed(views(spark, folder)), "ts", size, ["k"], slide, "views"
+        timed(views(spark, folder), end), "ts", size, ["k"], slide, "views"
     )
     write = live.rank_batches(
         out, ["window_start", "window_end"], [F.col("views").desc(), F.col("k")], 3
     )
-    sinks.write_batches(counts, write, out + "-checkpoint").awaitTermination()
+    run_to_end(lambda: sinks.write_batches(counts, write, out + "-checkpoint"), end)
     rows = spark.read.parquet(out).drop("batch")
     return plain_time(rows)
 
@@ -266,11 +279,12 @@ def hot_categories_stream(spark, folder):
 
 @query(M.HEAT_SQL)
 def category_heat_stream(spark, folder):
+    end = EndOfInput()
     counted = windows.windowed_count(
-        timed(views(spark, folder)), "ts", "1 hour", ["k"], "5 minutes", "heat"
+        timed(views(spark, folder), end), "ts", "1 hour", ["k"], "5 minutes", "heat"
     )
     out = counted.select("k", "heat", F.col("window_end").alias("windowend"))
-    return plain_time(replay(out, "heat"))
+    return plain_time(replay(out, "heat", end))
 
 
 # ---- keyed state
@@ -326,9 +340,10 @@ def baseline_jump_stream(spark, folder):
 
 @query(risk.RISING_SQL)
 def rising_amount_alert_stream(spark, folder):
-    rows = machine_rows(timed(events(spark, folder)).select("user_id", "event_id", "ts", "c"),
+    end = EndOfInput()
+    rows = machine_rows(timed(events(spark, folder), end).select("user_id", "event_id", "ts", "c"),
                         F.col("c").cast("double"))
-    alerts = replay(state.keyed(rows, state.RisingAmount(12 * 3600), "EventTime"), "rising")
+    alerts = replay(state.keyed(rows, state.RisingAmount(12 * 3600), "EventTime"), "rising", end)
     return alerts.select(
         F.col("key").alias("user_id"),
         F.timestamp_micros("start_us").cast("timestamp_ntz").alias("start_ts"),
@@ -341,18 +356,20 @@ def rising_amount_alert_stream(spark, folder):
 
 @query(risk.MONITOR_SQL)
 def large_transaction_monitor_stream(spark, folder):
+    end = EndOfInput()
     found = monitor.large_transaction_monitor(
-        timed(events(spark, folder), c=0, k=0), "user_id", "c", "k", "ts", 20_000, 98
+        timed(events(spark, folder), end, c=0, k=0), "user_id", "c", "k", "ts", 20_000, 98
     )
-    return plain_time(replay(found, "monitor"))
+    return plain_time(replay(found, "monitor", end))
 
 
 @query(risk.FLAGGED_SQL)
 def flagged_clients_stream(spark, folder):
+    end = EndOfInput()
     found = monitor.large_transaction_monitor(
-        timed(events(spark, folder), c=0, k=0), "user_id", "c", "k", "ts", 20_000, 98
+        timed(events(spark, folder), end, c=0, k=0), "user_id", "c", "k", "ts", 20_000, 98
     )
-    return replay(monitor.flagged_clients(found, "user_id"), "flagged")
+    return replay(monitor.flagged_clients(found, "user_id"), "flagged", end)
 
 
 @query(TUMBLING_SQL)

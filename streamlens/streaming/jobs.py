@@ -79,23 +79,44 @@ def flush_row(spark: SparkSession, schema: T.StructType, ts: str, **values) -> D
     )
 
 
-def with_flush(stream: DataFrame, ts: str = "ts", **values) -> DataFrame:
-    """Append a flush row, so that a replay in one micro-batch closes all windows.
+class EndOfInput:
+    """Closes all windows of a replay: stored input ends, a stream does not.
 
-    The row passes the watermark but its own window never closes; keys and joins see nulls.
-    Apply filters before; ``values`` fills columns which a later filter looks at.
+    ``after`` adds an empty folder to a stream as a second source. When the stored input has been
+    read, ``send`` puts a row far in the future there. It moves the watermark past every window;
+    its own window never closes, and keys and joins see nulls. Apply filters before ``after``;
+    ``values`` fills columns which a later filter looks at.
     """
-    spark = stream.sparkSession
-    path = scratch(spark, "flush")
-    flush_row(spark, stream.schema, ts, **values).write.parquet(path)
-    return stream.unionByName(spark.readStream.schema(stream.schema).parquet(path))
+
+    def __init__(self):
+        self.rows: list[tuple[DataFrame, str]] = []
+
+    def after(self, stream: DataFrame, ts: str = "ts", **values) -> DataFrame:
+        spark = stream.sparkSession
+        path = scratch(spark, "flush")
+        row = flush_row(spark, stream.schema, ts, **values)
+        row.limit(0).write.parquet(path)
+        self.rows.append((row, path))
+        return stream.unionByName(spark.readStream.schema(stream.schema).parquet(path))
+
+    def send(self) -> None:
+        for row, path in self.rows:
+            row.write.mode("append").parquet(path)
+
+
+def run_to_end(start: Callable[[], StreamingQuery], end: EndOfInput | None = None) -> None:
+    """Read all stored input in micro-batches; with ``end``, close the windows afterwards."""
+    start().awaitTermination()
+    if end:
+        end.send()
+        start().awaitTermination()
 
 
-def replay(stream: DataFrame, label: str) -> DataFrame:
+def replay(stream: DataFrame, label: str, end: EndOfInput | None = None) -> DataFrame:
     """Run an append-mode stream over all stored input and return what it wrote."""
     spark = stream.sparkSession
     out = scratch(spark, label)
-    write_exactly_once(stream, out, out + "-checkpoint").awaitTermination()
+    run_to_end(lambda: write_exactly_once(stream, out, out + "-checkpoint"), end)
     return spark.read.schema(stream.schema).parquet(out)
 
 
@@ -114,8 +135,7 @@ def replay_changes(stream: DataFrame, label: str, keys: Sequence[str]) -> DataFr
     """
     spark = stream.sparkSession
     out = scratch(spark, label)
-    query = write_batches(stream, batch_files(out), out + "-checkpoint", mode="update")
-    query.awaitTermination()
+    run_to_end(lambda: write_batches(stream, batch_files(out), out + "-checkpoint", mode="update"))
     return newest_changes(spark, out, stream, keys)
 
 
