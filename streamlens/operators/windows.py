@@ -33,6 +33,11 @@ def windowed_count(df: DataFrame, ts: str, size: str, keys: Sequence[str] = (),
     return windowed(df, ts, size, {out: F.count("*")}, keys, slide)
 
 
+def processing_time(df: DataFrame, out: str = "ts") -> DataFrame:
+    """Add the time at which a row is processed, for windows over the wall clock. *Streams.*"""
+    return df.withColumn(out, F.current_timestamp())
+
+
 def sliding_count(df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str] = (),
                   out: str = "n") -> DataFrame:
     """Rows per sliding window and key, by way of panes.

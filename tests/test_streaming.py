@@ -189,6 +189,15 @@ def test_time_to_live_drops_the_list(spark, tmp_path):
         query.stop()
 
 
+def test_wall_clock_windows_count_all_rows(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(12).write.parquet(path)
+    clocked = windows.processing_time(stream_files(spark, path, "id BIGINT"))
+    counted = windows.windowed_count(clocked, "ts", "5 seconds")
+    sinks.write_batches(counted, sinks.batch_files(out), out + "-c", "update").awaitTermination()
+    assert spark.read.parquet(out).agg(F.sum("n")).first()[0] == 12
+
+
 def test_job_settings(spark, tmp_path):
     config = StreamJobConfig(str(tmp_path), every="1 second", retain=7).apply(spark)
     assert spark.conf.get("spark.sql.streaming.minBatchesToRetain") == "7"
