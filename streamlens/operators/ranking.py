@@ -30,6 +30,48 @@ def top_transactions(df: DataFrame, client: str, amount: str, tie: Sequence[str]
     return top_n(df, [client], [F.col(amount).desc(), *[F.col(c).asc() for c in tie]], n)
 
 
+def running_top(df: DataFrame, key: str, amount: str, row_id: str, order: Sequence[str], n: int = 3,
+                out: str = "top", max_rows: int = MAX_ROWS) -> DataFrame:
+    """Each row with the ``n`` largest amounts of its key up to and including it, ascending."""
+    names = [f"_top{i}" for i in range(n)]
+    empty = float("-inf")
+
+    def step(columns: dict[str, np.ndarray], state: dict) -> tuple[dict[str, np.ndarray], dict]:
+        x = columns["_x"]
+        top = [state[c] for c in names]
+        # the list changes only at a row above its smallest entry; such rows get rare quickly
+        starts, lists, at = [0], [top], 0
+        while at < len(x):
+            above = x[at:at + 1024] > top[0]
+            if not above.any():
+                at += len(above)
+                continue
+            at += int(above.argmax())
+            top = sorted([*top[1:], float(x[at])])
+            starts.append(at)
+            lists.append(top)
+            at += 1
+        spans = np.diff([*starts, len(x)])
+        filled = np.repeat(np.array(lists), spans, axis=0)
+        emitted = {"_id": columns["_row"], **{c: filled[:, i] for i, c in enumerate(names)}}
+        return emitted, dict(zip(names, top))
+
+    def finish(state: dict) -> dict[str, np.ndarray]:
+        return {c: np.array([]) for c in ["_id", *names]}
+
+    tops = [T.StructField(c, T.DoubleType()) for c in names]
+    machine = Machine(
+        ("_row", "_x"), T.StructType([T.StructField("_id", T.LongType()), *tops]), T.StructType(tops),
+        {c: empty for c in names}, step, finish,
+    )
+    rows = df.where(F.col(amount).isNotNull()).select(
+        key, *order, F.col(row_id).cast("bigint").alias("_row"), F.col(amount).cast("double").alias("_x")
+    )
+    found = fold(cut(rows, [key], order, max_rows), machine)
+    kept = F.filter(F.array(*names), lambda v: v != empty)
+    return found.select(key, F.col("_id").alias(row_id), kept.alias(out))
+
+
 def top_products(df: DataFrame, client: str, product: str, amount: str, n: int = 3) -> DataFrame:
     """Per client the ``n`` products with the largest single amount, each product once."""
     best = df.groupBy(client, product).agg(F.max(amount).alias(amount))

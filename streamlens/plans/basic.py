@@ -168,14 +168,12 @@ def write_search_index(spark, folder):
     return files.read_lines(spark, path)
 
 
-@query("SELECT n_nationkey, n_name FROM nation")
+@query("SELECT c_custkey, c_name FROM customer")
 def overwrite_table(spark, folder):
-    path = scratch(spark, "table")
-    nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
-    name = "streamlens_nations_" + path.rsplit("-", 1)[1]
-    spark.sql(f"CREATE TABLE {name} (n_nationkey INT, n_name STRING) USING parquet LOCATION '{path}'")
-    sinks.overwrite_table(nations.where("n_nationkey < 5"), name)
-    sinks.overwrite_table(nations, name)
+    customers = table(spark, folder, "customer").select("c_custkey", "c_name")
+    name = "streamlens_customers"
+    sinks.overwrite_table(customers.where("c_acctbal < 0"), name)
+    sinks.overwrite_table(customers, name)
     return spark.table(name)
 
 

@@ -406,6 +406,17 @@ def top3_transactions(spark, folder):
     return ranking.top_transactions(rows, "user_id", "c", ["event_id"])
 
 
+@query(f"""
+SELECT user_id, event_id, array_to_string(list_reverse(list_sort(c, 'DESC')[1:3]), ',') AS top FROM (
+  SELECT user_id, event_id, list(c) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS c FROM ({E}))
+""")
+def top3_transactions_running(spark, folder):
+    rows = events(spark, folder).select("user_id", "event_id", "ts", "c")
+    running = ranking.running_top(rows, "user_id", "c", "event_id", ORDER)
+    cents_text = F.transform("top", lambda v: v.cast("bigint").cast("string"))
+    return running.select("user_id", "event_id", F.array_join(cents_text, ",").alias("top"))
+
+
 @query(TOP_PRODUCTS)
 def top3_products_map(spark, folder):
     return ranking.top_products(purchases(spark, folder), "client", "product", "amount")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from streamlens.session import scratch
+
 
 def latest_value_table(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The newest row per key: each later write replaces the earlier one."""
@@ -33,16 +36,23 @@ def write_search_index(df: DataFrame, path: str, index: str) -> None:
     lines.write.mode("append").text(path)
 
 
-def overwrite_table(df: DataFrame, table: str) -> None:
+def overwrite_table(df: DataFrame, table: str, folder: str | None = None) -> None:
     """Replace the content of a table with ``df`` in one step.
 
-    A reader sees the old content or the new one, never an emptied table.
+    The rows are written to a new folder, under ``folder`` or else the shared one, and the table is
+    then pointed to it. A reader sees the old content or the new one, never an emptied table; a
+    failed write changes nothing; and ``df`` may read the table itself.
     """
     spark = df.sparkSession
+    path = f"{folder}/{uuid.uuid4().hex}" if folder else scratch(spark, "table")
     if spark.catalog.tableExists(table):
-        df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+        df.select(*spark.table(table).columns).write.parquet(path)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
     else:
-        df.write.mode("overwrite").saveAsTable(table)
+        df.write.parquet(path)
+        columns = ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{path}'")
 
 
 def write_exactly_once(df: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:

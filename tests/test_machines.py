@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from streamlens.operators.monitor import rising_amount_alert, rise_timers
-from streamlens.operators.ranking import baseline_jump
+from streamlens.operators.ranking import baseline_jump, running_top
 
 
 def alerts_by_loop(rows, wait):
@@ -81,3 +81,16 @@ def test_timer_limits():
     assert rise_timers(at, np.array([True, False, False]), None, 4) == ([4], None)
     assert rise_timers(at, np.array([True, True, True]), None, 5) == ([5], 15)
     assert rise_timers(np.array([], "int64"), np.array([], bool), 3, 5) == ([], 3)
+
+
+@pytest.mark.parametrize("max_rows", [1_000_000, 50])
+def test_running_top(rows, max_rows):
+    got = running_top(rows, "k", "x", "id", ["ts", "id"], 3, max_rows=max_rows)
+    got = {(r.k, r.id): r.top for r in got.collect()}
+    want = {}
+    for k, v in by_key(rows, "id", "x").items():
+        seen = []
+        for i, x in v:
+            seen = sorted([*seen, x])[-3:]
+            want[k, i] = seen
+    assert got == want

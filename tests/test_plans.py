@@ -10,7 +10,7 @@ from conftest import SF_SMALL
 from streamlens.operators import late, windows
 
 QUERIES = __spark_entry__.queries()
-MACHINES = {"baseline_jump", "rising_amount_alert"}
+MACHINES = {"baseline_jump", "rising_amount_alert", "top3_transactions_running"}
 BATCH = sorted(n for n in QUERIES if not n.endswith("_stream") and n not in ("write_exactly_once",))
 
 

@@ -69,10 +69,22 @@ def test_lookup_keeps_unknown_keys(spark):
     assert rows(found) == [(1, "a -love- b"), (2, None)]
 
 
-def test_overwrite_reads_its_own_table(spark):
+def test_overwrite_replaces_all_rows(spark, tmp_path):
     sinks.overwrite_table(numbers(spark, 1, 5), "overwrite_me")
-    sinks.overwrite_table(numbers(spark, 7, 8), "overwrite_me")
+    reader = spark.table("overwrite_me")
+    sinks.overwrite_table(numbers(spark, 7, 8), "overwrite_me", str(tmp_path))
     assert rows(spark.table("overwrite_me")) == [(7,), (8,)]
+    assert rows(reader) in ([(i,) for i in range(1, 6)], [(7,), (8,)])
+    sinks.overwrite_table(spark.table("overwrite_me").where("n = 8"), "overwrite_me")
+    assert rows(spark.table("overwrite_me")) == [(8,)]
+
+
+def test_failed_overwrite_changes_nothing(spark):
+    sinks.overwrite_table(numbers(spark, 1, 2), "keep_me")
+    broken = numbers(spark, 1, 9).select(F.raise_error(F.lit("lost")).cast("bigint").alias("n"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.overwrite_table(broken, "keep_me")
+    assert rows(spark.table("keep_me")) == [(1,), (2,)]
 
 
 def test_search_files(spark, tmp_path):
