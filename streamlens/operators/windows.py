@@ -44,7 +44,7 @@ def sliding_count(df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[
 
     A sliding window copies each row into size / slide windows. Here rows are first counted per
     pane of length ``slide``; only the pane counts are copied and added up. ``size`` must be a
-    multiple of ``slide``. For streams, use ``windowed_count``.
+    multiple of ``slide``. For streams, use ``sliding_count_chained``.
     """
     pane = F.window(ts, slide)["start"].alias("_pane")
     panes = df.groupBy(pane, *keys).agg(F.count("*").alias("_n"))
@@ -56,6 +56,17 @@ def sliding_count(df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[
     return counted.select("window_start", end.alias("window_end"), *keys, out)
 
 
+def sliding_count_chained(df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str] = (),
+                          out: str = "n") -> DataFrame:
+    """``sliding_count`` for streams: two aggregations in a row, the second over pane counts.
+
+    *Streams*, in append mode. State grows with panes and windows; rows are not copied.
+    """
+    panes = df.groupBy(F.window(ts, slide).alias("_pane"), *keys).agg(F.count("*").alias("_n"))
+    counted = panes.select(F.window_time("_pane").alias("_at"), *keys, "_n")
+    return windowed(counted, "_at", size, {out: F.sum("_n")}, keys, slide)
+
+
 def first_and_count(df: DataFrame, ts: str, size: str, key: str, columns: Sequence[str],
                     order: Sequence[str], out: str = "n") -> DataFrame:
     """Per window and key the first row and the number of rows. *Streams.*"""

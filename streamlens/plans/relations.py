@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from streamlens.functions.scalar import cents, day_text
-from streamlens.operators import joins, ranking
+from streamlens.operators import joins
 from streamlens.plans import etl
 from streamlens.plans.metrics import E, events
 from streamlens.plans.registry import query, table

@@ -219,7 +219,7 @@ def ordered_time_count_stream(spark, folder):
 @query(M.sliding_sql(M.E, "1 hour", "10 minutes", "", "n"))
 def sliding_count_stream(spark, folder):
     end = EndOfInput()
-    counted = windows.windowed_count(timed(events(spark, folder), end), "ts", "1 hour", slide="10 minutes")
+    counted = windows.sliding_count_chained(timed(events(spark, folder), end), "ts", "1 hour", "10 minutes")
     return plain_time(replay(counted, "sliding", end))
 
 
@@ -256,8 +256,8 @@ def windowed_uv_stream(spark, folder):
 
 def hot_stream(spark, folder, size, slide):
     end, out = EndOfInput(), scratch(spark, "hot")
-    counts = windows.windowed_count(
-        timed(views(spark, folder), end), "ts", size, ["k"], slide, "views"
+    counts = windows.sliding_count_chained(
+        timed(views(spark, folder), end), "ts", size, slide, ["k"], "views"
     )
     write = live.rank_batches(
         out, ["window_start", "window_end"], [F.col("views").desc(), F.col("k")], 3
@@ -280,8 +280,8 @@ def hot_categories_stream(spark, folder):
 @query(M.HEAT_SQL)
 def category_heat_stream(spark, folder):
     end = EndOfInput()
-    counted = windows.windowed_count(
-        timed(views(spark, folder), end), "ts", "1 hour", ["k"], "5 minutes", "heat"
+    counted = windows.sliding_count_chained(
+        timed(views(spark, folder), end), "ts", "1 hour", "5 minutes", ["k"], "heat"
     )
     out = counted.select("k", "heat", F.col("window_end").alias("windowend"))
     return plain_time(replay(out, "heat", end))

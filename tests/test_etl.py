@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 from helpers import rows
 from streamlens.plans import etl
 
-HOLDINGS = "client_id string, prod_code string, busi_date string, current_amount decimal(20,2), correct_amount decimal(20,2)"
+HOLDINGS = (
+    "client_id string, prod_code string, busi_date string, current_amount decimal(20,2), "
+    "correct_amount decimal(20,2)"
+)
 
 
 def holdings(spark, day):

@@ -1,6 +1,5 @@
 """The split path must give the same rows as the plain window path, with hot keys and null keys."""
 
-import pandas as pd
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F

@@ -80,6 +80,23 @@ def test_watermark_drops_what_is_too_late(spark, tmp_path):
     assert got == [("2024-01-01 00:00:00", 1), ("2024-01-01 00:00:10", 2)]
 
 
+def test_panes_over_batches_equal_batch(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    items = [(t * 7 % 40 + 40 * (t // 40), t % 3, t) for t in range(160)]
+
+    def counted():
+        stream = late.with_event_time(event_time(stream_files(spark, path, SCHEMA)), "ts", "60 seconds")
+        return windows.sliding_count_chained(stream, "ts", "20 seconds", "5 seconds", ["k"])
+
+    def start():
+        return sinks.write_exactly_once(counted(), out, out + "-c")
+
+    slices = [part(spark, items[i:i + 40]) for i in range(0, 160, 40)]
+    replay_slices([*slices, flush(spark)], path, start)
+    want = windows.sliding_count(event_time(part(spark, items)), "ts", "20 seconds", "5 seconds", ["k"])
+    assert rows(spark.read.parquet(out)) == rows(want)
+
+
 def test_late_rows_are_kept_apart(spark, tmp_path):
     """The watermark goes on across micro-batches, and no row is lost."""
     path, out = str(tmp_path / "in"), str(tmp_path / "out")

@@ -77,6 +77,9 @@ def test_extreme_rows_take_the_earliest(spark):
 
 
 def test_running_uv_split(spark):
-    df = spark.range(500).select("id", F.timestamp_seconds(F.least("id", F.lit(350))).alias("ts"), F.when(F.col("id") < 300, 1).otherwise(F.col("id") % 90).alias("u"))
+    df = spark.range(500).select(
+        "id", F.timestamp_seconds(F.least("id", F.lit(350))).alias("ts"),
+        F.when(F.col("id") < 300, 1).otherwise(F.col("id") % 90).alias("u"),
+    )
     whole = rows(aggregates.running_uv(df, "u", ["ts", "id"]))
     assert rows(aggregates.running_uv(df, "u", ["ts", "id"], max_rows=40)) == whole
