@@ -69,6 +69,18 @@ def running_volume(df: DataFrame, text: str, order: Sequence[str],
     return out.withColumn("volume", human_bytes(F.col("bytes")))
 
 
+# The texts published with the totals.
+COUNT_TEXT, SIZE_TEXT = "当前数据条数：", "当前收集的数据量:"
+
+
+def volume_messages(volume: DataFrame) -> DataFrame:
+    """Add the two texts to publish: records so far, and readable bytes so far."""
+    return volume.withColumns({
+        "count_message": F.concat(F.lit(COUNT_TEXT), F.col("records").cast("string")),
+        "size_message": F.concat(F.lit(SIZE_TEXT), F.col("volume")),
+    })
+
+
 def record_count(df: DataFrame, out: str = "records") -> DataFrame:
     """Number of rows; on a stream, the checkpoint brings the count back after a restart."""
     return df.groupBy().agg(F.count("*").alias(out))

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from streamlens.functions.scalar import to_epoch_millis
 from streamlens.operators.ordered import MAX_ROWS, cut, nearby, running
 from streamlens.operators.ranking import top_n
 
@@ -164,11 +165,18 @@ def category_heat(df: DataFrame, ts: str, category: str, size: str = "1 hour",
     )
 
 
-def hot_report(ranked: DataFrame, item: str, label: str) -> DataFrame:
+# The parts of the report text.
+REPORT_END, REPORT_ITEM, REPORT_VIEWS = "窗口结束时间: ", "网址：", "     热度值："
+REPORT_LINE = "-" * 33
+
+
+def hot_report(ranked: DataFrame, item: str) -> DataFrame:
     """One text block per window from ranked rows (at most n of them per window)."""
-    line = F.concat(F.lit("No"), F.col("rank").cast("string"), F.lit(f": {label}="),
-                    F.col(item).cast("string"), F.lit(" views="), F.col("views").cast("string"))
+    line = F.concat(F.lit(REPORT_ITEM), F.col(item).cast("string"), F.lit(REPORT_VIEWS),
+                    F.col("views").cast("string"))
     lines = F.array_sort(F.collect_list(F.struct(F.col("rank"), line.alias("line"))))
-    return ranked.groupBy("window_end").agg(
-        F.concat_ws("\n", F.transform(lines, lambda x: x["line"])).alias("report")
-    )
+    end = to_epoch_millis(F.col("window_end")).cast("string")
+    body = F.array_join(F.transform(lines, lambda x: x["line"]), "\n")
+    report = F.concat(F.lit(REPORT_END), end, F.lit(f"\n{REPORT_LINE}\n"), body,
+                      F.lit(f"\n{REPORT_LINE}\n"))
+    return ranked.groupBy("window_end").agg(report.alias("report"))

@@ -93,13 +93,18 @@ SELECT *, CASE WHEN bytes >= 1073741824 THEN printf('%.2f', bytes / 1073741824.0
                WHEN bytes >= 1024 THEN printf('%.2f', bytes / 1024.0::DOUBLE) || 'KB'
                ELSE CAST(bytes AS VARCHAR) || 'B' END AS volume FROM b
 """
+MESSAGES_SQL = f"""
+SELECT event_id, records, bytes, '当前数据条数：' || records AS count_message,
+       '当前收集的数据量:' || volume AS size_message FROM ({VOLUME_SQL})
+"""
 
 
-@query(VOLUME_SQL)
+@query(MESSAGES_SQL)
 def traffic_volume_monitor(spark, folder):
     rows = read_events(spark, f"{folder}/events.parquet", schemas.EVENT)
     volume = aggregates.running_volume(rows.select("event_id", "ts", "props"), "props", ORDER)
-    return volume.select("event_id", "records", "bytes", "volume")
+    messages = aggregates.volume_messages(volume)
+    return messages.select("event_id", "records", "bytes", "count_message", "size_message")
 
 
 @query("SELECT count(*) AS records FROM events")
@@ -332,12 +337,13 @@ def hot_categories(spark, folder):
 
 
 @query(f"""
-SELECT window_end, string_agg('No' || rank || ': page=' || k || ' views=' || views, chr(10) ORDER BY rank)
-           AS report
+SELECT window_end, '窗口结束时间: ' || epoch_us(window_end) // 1000 || chr(10) || repeat('-', 33) || chr(10)
+       || string_agg('网址：' || k || '     热度值：' || views, chr(10) ORDER BY rank)
+       || chr(10) || repeat('-', 33) || chr(10) AS report
 FROM ({hot_sql("k", "1 hour", "5 minutes")}) GROUP BY window_end
 """)
 def hot_report(spark, folder):
-    return windows.hot_report(hot_pages(spark, folder), "k", "page")
+    return windows.hot_report(hot_pages(spark, folder), "k")
 
 
 HEAT_SQL = f"""

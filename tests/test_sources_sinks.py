@@ -52,10 +52,10 @@ def test_kafka_records(spark):
 
 
 def test_jdbc_options():
-    options = connectors.jdbc_options("jdbc:x", "whfwd", partition_column="id", bounds=(0, 99), partitions=4)
+    options = connectors.jdbc_options("jdbc:x", "accounts", partition_column="id", bounds=(0, 99), partitions=4)
     assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("0", "99", "4")
     with pytest.raises(ValueError):
-        connectors.jdbc_options("jdbc:x", "whfwd", partition_column="id")
+        connectors.jdbc_options("jdbc:x", "accounts", partition_column="id")
 
 
 def test_account_line(spark):

@@ -57,8 +57,10 @@ def test_top_n_ties_go_by_item(spark):
     df = log(spark, [(0, "b"), (1, "a"), (2, "c"), (3, "c"), (4, "d")], "url string")
     top = windows.hot_pages(df, "ts", "url", 3, "1 hour", "1 hour")
     assert [(r.url, r.views) for r in top.orderBy("rank").collect()] == [("c", 2), ("a", 1), ("b", 1)]
-    report = windows.hot_report(top, "url", "url").first().report
-    assert report == "No1: url=c views=2\nNo2: url=a views=1\nNo3: url=b views=1"
+    report = windows.hot_report(top, "url").first().report
+    assert report.split("\n") == [
+        "窗口结束时间: 1704070800000", "-" * 33, "网址：c     热度值：2", "网址：a     热度值：1",
+        "网址：b     热度值：1", "-" * 33, ""]
 
 
 def test_adjacent_jump(spark):
@@ -233,6 +235,10 @@ def test_silence_longer_than_ttl_starts_anew(spark, max_rows):
     assert got == {1: [20, 10, 0], 2: [41, 31], 3: [60], 4: [149, 148, 147]}
 
 
+def test_has_rows(spark):
+    assert ranking.has_rows(spark.range(3)) and not ranking.has_rows(spark.range(0))
+
+
 def test_monitor_limits(spark):
     df = log(spark, [(0, 1, 50000, 0), (0, 2, 50001, 0), (0, 3, 30000, 0), (1, 3, 20001, 0),
                      (0, 4, None, 300000), (0, 5, 1, 200000), (0, 6, 1, 200001)],
