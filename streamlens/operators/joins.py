@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamlens.operators.ordered import MAX_ROWS, cut, running
+from streamlens.session import pin
 
-RULES_PER_DAY = 100
+RULES_PER_BUCKET = 50
 BROADCAST_RULES = 100_000
+# bucket lengths in seconds
+UNITS = {"DAY": 86_400, "HOUR": 3_600, "MINUTE": 60}
 
 
 def window_join(left: DataFrame, right: DataFrame, key: str, ts: str, size: str,
@@ -50,48 +53,72 @@ def connect_first(connected: DataFrame) -> DataFrame:
 
 def rules_asof_join(events: DataFrame, rules: DataFrame, tier: str, ts: str, rule: str,
                     order: Sequence[str], missing: str | None = "",
-                    max_rows: int = MAX_ROWS, rules_per_day: int = RULES_PER_DAY) -> DataFrame:
+                    max_rows: int = MAX_ROWS, rules_per_bucket: int = RULES_PER_BUCKET) -> DataFrame:
     """Add the newest rule of the event's tier which was set at or before the event.
 
     Each tier and day gets the rule it starts with and those set during it, so an event is
     compared with a handful of rules and needs no ordering. If some tier sets more than
-    ``rules_per_day`` rules on a day, events and rules are put in one time order per tier instead
-    and the rule is carried forward. Of rules set at one time the largest text counts.
+    ``rules_per_bucket`` rules on a day, hours are taken instead, then minutes. If even a minute
+    has more, events and rules are put in one time order per tier and the rule is carried forward.
+    Of rules set at one time the largest text counts.
     """
     rules = rules.where(F.col(rule).isNotNull()).groupBy(tier, ts).agg(F.max(rule).alias(rule))
-    day = F.to_date(ts).alias("_day")
-    busy = rules.groupBy(tier, day).agg(F.count("*").alias("_n")).where(F.col("_n") > rules_per_day)
-    if busy.isEmpty():
-        return _by_day(events, rules, tier, ts, rule, missing)
+    rules = pin(rules, "rules")  # read several times
+    bucket = F.explode(
+        F.array(*[F.struct(F.lit(u).alias("unit"), F.date_trunc(u, ts).alias("at")) for u in UNITS])
+    )
+    found = (
+        rules.select(F.col(tier).alias("tier"), bucket.alias("b"))
+        .groupBy("tier", "b.unit", "b.at").agg(F.count("*").alias("n"))
+        .groupBy("tier", "unit").agg(
+            F.max("n").alias("n"), F.sum("n").alias("rules"), F.min(F.unix_micros("at")).alias("at")
+        )
+        .groupBy("unit").agg(
+            F.max("n").alias("busiest"), F.sum("rules").alias("rules"),
+            F.count("*").alias("tiers"), F.min("at").alias("first"),
+        )
+        .collect()  # one row per unit
+    )
+    sizes = {r.unit: r for r in found}
+    for unit, length in UNITS.items():
+        if not sizes or sizes[unit].busiest <= rules_per_bucket:
+            return _by_bucket(events, rules, tier, ts, rule, missing, unit, length, sizes.get(unit))
     return _by_order(events, rules, tier, ts, rule, order, missing, max_rows)
 
 
-def _by_day(events, rules, tier, ts, rule, missing):
-    """Equi-join on tier and day; which of the day's rules holds is decided by their spans.
+def _by_bucket(events, rules, tier, ts, rule, missing, unit, length, size):
+    """Equi-join on tier and time bucket; which of the bucket's rules holds their spans decide.
 
-    The rule table has one row per rule and one per tier and day, whatever the number of events.
-    It is broadcast if it has at most ``BROADCAST_RULES`` rows; otherwise Spark joins by shuffle
-    and splits large tiers and days.
+    The rule table has one row per rule and one per tier and bucket, whatever the number of
+    events. It is broadcast if that is at most ``BROADCAST_RULES`` rows; otherwise Spark joins by
+    shuffle and splits large tiers and buckets.
     """
-    newest = events.agg(F.max(ts).cast("string").alias("at")).first().at
-    newest = F.lit(newest).cast(events.schema[ts].dataType)
+    newest = F.max(ts)
+    last = events.agg(
+        newest.cast("string").alias("at"), F.unix_micros(newest.cast("timestamp")).alias("us")
+    ).first()
+    newest = F.lit(last.at).cast(events.schema[ts].dataType)
     ahead = Window.partitionBy(tier).orderBy(ts)
     spans = rules.select(
         F.col(tier).alias("_tier"), F.col(ts).alias("_from"), F.lead(ts).over(ahead).alias("_until"),
         F.col(rule).alias(rule),
     ).where(F.col("_from") <= newest)
     until = F.least(F.coalesce("_until", newest), newest)
-    days = F.sequence(F.to_date("_from"), F.to_date(until))
-    daily = spans.withColumn("_day", F.explode(days))
-    if daily.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES:
-        daily = F.broadcast(daily)
+    buckets = F.sequence(
+        F.date_trunc(unit, "_from"), F.date_trunc(unit, until), F.expr(f"INTERVAL 1 {unit}")
+    )
+    placed = spans.withColumn("_bucket", F.explode(buckets))
+    if size and last.us is not None:
+        spanned = max(0, last.us - size.first) // (length * 1_000_000) + 1
+        if size.rules + size.tiers * spanned <= BROADCAST_RULES:
+            placed = F.broadcast(placed)
     valid = (
         (F.col(tier) == F.col("_tier"))
-        & (F.to_date(ts) == F.col("_day"))
+        & (F.date_trunc(unit, ts) == F.col("_bucket"))
         & (F.col(ts) >= F.col("_from"))
         & (F.col("_until").isNull() | (F.col(ts) < F.col("_until")))
     )
-    out = events.join(daily, valid, "left").drop("_tier", "_from", "_until", "_day")
+    out = events.join(placed, valid, "left").drop("_tier", "_from", "_until", "_bucket")
     return out if missing is None else out.withColumn(rule, F.coalesce(rule, F.lit(missing)))
 
 

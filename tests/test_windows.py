@@ -193,7 +193,7 @@ def test_chained_conditions_have_no_precedence(spark):
 # ---- joins and sessions
 
 
-@pytest.mark.parametrize("limits", [{}, {"rules_per_day": 0}, {"rules_per_day": 0, "max_rows": 40}])
+@pytest.mark.parametrize("limits", [{}, {"rules_per_bucket": 1}, {"rules_per_bucket": 0}, {"rules_per_bucket": 0, "max_rows": 40}])
 def test_rule_in_force(spark, limits):
     events = spark.range(200).select(
         F.timestamp_seconds("id").cast("timestamp_ntz").alias("ts"), "id",
@@ -216,6 +216,14 @@ def test_rule_in_force(spark, limits):
     assert got == {i: rule(i) for i in range(200)}
 
 
+def test_no_rules_and_no_events(spark):
+    events = log(spark, [(1, 1, "a")], "id long, tier string")
+    rules = log(spark, [(0, "a", "r")], "tier string, rule string")
+    for e, r, want in [(events, rules.limit(0), [""]), (events.limit(0), rules, []), (events, rules, ["r"])]:
+        out = rules_asof_join(e, r, "tier", "ts", "rule", ["ts", "id"])
+        assert [x.rule for x in out.collect()] == want
+
+
 def test_window_join_stays_in_the_window(spark):
     left = log(spark, [(0, 1, "a"), (4, 1, "b"), (6, 1, "c")], "k long, n string")
     right = log(spark, [(3, 1, "x"), (5, 1, "y"), (5, None, "z")], "k long, n string")
