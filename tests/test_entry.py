@@ -8,11 +8,12 @@ import pytest
 
 import __spark_entry__
 from conftest import SF_SMALL
+from streamlens.plans import catalog
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-SQL = __spark_entry__.oracle_sql()
-QUERIES = __spark_entry__.queries()
+SQL = catalog.oracle_sql()
+QUERIES = catalog.queries()
 WITHOUT_SQL = {"windowed_uv_approx", "windowed_uv_sketch"}
 
 
@@ -41,6 +42,11 @@ def test_only_sketches_have_no_sql():
     assert set(QUERIES) - set(SQL) == WITHOUT_SQL
 
 
+def test_entry_registers_the_catalog():
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert set(SQL) <= set(__spark_entry__.oracle_sql())
+
+
 def test_flagship(spark):
     assert __spark_entry__.entry(spark).columns == ["window_start", "window_end", "k", "views", "rank"]
 
