@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from streamlens.llm.words import offsets, pieces
 from streamlens.session import pin
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 BLOCK = "block long, n_docs long, n_bytes long, body binary"
 
 

@@ -7,10 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from streamlens.llm import bpe, quality, rules, shard, substrings
+from streamlens.llm import bpe, decontaminate, ngram_join, pii, quality, rules, shard, substrings
 from streamlens.llm.labelled import remainder
 from streamlens.session import prepare
 
+PII_KEY = "replace-me"  # a secret of the user; fixed here so that the query gives the same rows each time
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -25,6 +27,14 @@ def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join(table(spark, folder, "documents"))
+
+
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     learned = rules.fit(docs, table(spark, folder, "labels"))
@@ -38,6 +48,10 @@ def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"), ids=False)
 
 
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.replace(table(spark, folder, "documents").select("doc_id", "text"), PII_KEY)
+
+
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard.shard(table(spark, folder, "documents"), 24)
 
@@ -47,7 +61,11 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_quality_classifier, op5_quality_rules, op6_bpe, op9_sharding, op10_substring_dedup)
+    f.__name__: f
+    for f in (
+        op1_quality_classifier, op2_ngram_join, op3_decontamination, op5_quality_rules, op6_bpe, op7_pii, op9_sharding,
+        op10_substring_dedup,
+    )
 }
 
 SQL: dict[str, str] = {}

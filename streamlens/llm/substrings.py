@@ -24,7 +24,7 @@ from streamlens.llm.words import Hasher, Words, pieces, split, window_hash
 
 WINDOW = 13
 MINIMISER = 3
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 3 << 20
 
 
 class Runs(NamedTuple):
