@@ -42,7 +42,7 @@ def tables(steps: int, count: int, sampled: int, seed: int) -> Walk:
     return Walk(steps, [sorted(rng.choice(steps, sampled, replace=False).tolist()) for _ in range(count)])
 
 
-LONG = tables(24, 14, 6, 1)
+LONG = tables(24, 16, 6, 1)
 SHORT = tables(10, 8, 5, 2)
 _PLAIN = np.array([b if b >= 128 or chr(b).isalnum() else 32 for b in range(256)], np.uint8)
 

@@ -86,27 +86,41 @@ def ask(stored: DataFrame, send: Callable[[pa.RecordBatch], Iterator[tuple[int,
     return stored.select("block", "body").mapInArrow(run, "block long, shard int, body binary")
 
 
-def answer(messages: DataFrame, reply: Callable[[list[int], list[bytes]], list[bytes]]) -> DataFrame:
-    """One answer to each message. ``reply`` gets all messages of a shard, ordered by block."""
+def answer(messages: DataFrame, reply: Callable[[int, list[int], list[bytes]], tuple[list[bytes], list[int]]]) -> DataFrame:
+    """One answer to each message, and totals of the shard, the same in each row of it.
+
+    ``reply`` gets the shard and all messages to it, ordered by block.
+    """
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by("block")
         blocks_ = group.column("block").to_pylist()
-        bodies = reply(blocks_, [b.as_buffer() for b in group.column("body")])
-        return pa.table({"block": group.column("block"), "shard": group.column("shard"), "body": pa.array(bodies, pa.binary())})
+        bodies, totals = reply(group.column("shard")[0].as_py(), blocks_, [b.as_buffer() for b in group.column("body")])
+        return pa.table({
+            "block": group.column("block"), "shard": group.column("shard"), "body": pa.array(bodies, pa.binary()),
+            "totals": pa.array([totals] * len(bodies), pa.list_(pa.int64())),
+        })
+
+    return messages.groupBy("shard").applyInArrow(run, "block long, shard int, body binary, totals array<long>")
+
 
-    return messages.groupBy("shard").applyInArrow(run, "block long, shard int, body binary")
+def totals(answers: DataFrame) -> list[int]:
+    """The shards' totals, added up."""
+    once = answers.groupBy("shard").agg(F.first("totals").alias("totals"))
+    rows = once.select(F.posexplode("totals").alias("at", "n")).groupBy("at").agg(F.sum("n").alias("n")).orderBy("at").collect()
+    return [r.n for r in rows]
 
 
-def settle(stored: DataFrame, answers: DataFrame, finish: Callable[[pa.RecordBatch, dict[int, bytes]], pa.RecordBatch], schema: str) -> DataFrame:
+def settle(stored: DataFrame, answers: DataFrame, finish: Callable[[int, pa.RecordBatch, dict[int, bytes]], pa.RecordBatch], schema: str) -> DataFrame:
     """Rows that ``finish`` makes of a block's rows and the answers to its messages, by shard."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = unpack(left.column("body")[0].as_buffer())
         got = {s: b.as_buffer() for s, b in zip(right.column("shard").to_pylist(), right.column("body"), strict=True)}
-        return pa.Table.from_batches([finish(rows, got)])
+        return pa.Table.from_batches([finish(left.column("block")[0].as_py(), rows, got)])
 
-    return stored.select("block", "body").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
+    sent = answers.select("block", "shard", "body")
+    return stored.select("block", "body").groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(run, schema)
 
 
 def shards_for(stored: DataFrame, bytes_each: int) -> int:

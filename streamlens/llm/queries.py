@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from streamlens.llm import bpe, decontaminate, ngram_join, pii, quality, rules, shard, substrings
+from streamlens.llm import bpe, decontaminate, html_text, lm, ngram_join, pii, quality, rules, shard, substrings
 from streamlens.llm.labelled import remainder
 from streamlens.session import prepare
 
@@ -35,6 +35,11 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return html_text.main_text(pages, html_text.fit(pages))
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     learned = rules.fit(docs, table(spark, folder, "labels"))
@@ -52,6 +57,13 @@ def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.replace(table(spark, folder, "documents").select("doc_id", "text"), PII_KEY)
 
 
+def op8_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = remainder("doc_id", 7) == 2
+    scored = lm.score(docs, ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard.shard(table(spark, folder, "documents"), 24)
 
@@ -63,7 +75,8 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_quality_classifier, op2_ngram_join, op3_decontamination, op5_quality_rules, op6_bpe, op7_pii, op9_sharding,
+        op1_quality_classifier, op2_ngram_join, op3_decontamination, op4_html_text, op5_quality_rules, op6_bpe, op7_pii,
+        op8_lm_score, op9_sharding,
         op10_substring_dedup,
     )
 }

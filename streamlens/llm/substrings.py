@@ -158,10 +158,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
             part = order[x:y]
             yield int(shard[x]), pack({"text": pa.array([runs.text[i] for i in part.tolist()], pa.binary()), "doc": least[part]})
 
-    def reply(_: list[int], bodies: list) -> list[bytes]:
-        return smallest_owner(window, hasher, bodies)
+    def reply(_: int, blocks_: list[int], bodies: list) -> tuple[list[bytes], list[int]]:
+        return smallest_owner(window, hasher, bodies), []
 
-    def finish(batch: pa.RecordBatch, got: dict[int, bytes]) -> pa.RecordBatch:
+    def finish(_: int, batch: pa.RecordBatch, got: dict[int, bytes]) -> pa.RecordBatch:
         runs = super_kmers(batch, window, hasher)
         doc = batch.column("at").to_numpy()
         marks: list[np.ndarray] = []
