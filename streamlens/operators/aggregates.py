@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamlens.functions.scalar import byte_length, human_bytes
@@ -43,12 +43,15 @@ def first_seen(df: DataFrame, key: str, order: Sequence[str], out: str = "is_fir
     """Mark the first row of each key.
 
     The first position per key is found by a partial aggregation and joined back on the full
-    position, so no task receives all rows of a key.
+    position, so no task receives all rows of a key. Of rows delivered twice, one is marked.
     """
     first = df.groupBy(key).agg(F.min(F.struct(*order)).alias("_first")).select(
         key, *[F.col("_first." + c).alias(c) for c in order], F.lit(1).alias(out)
     )
-    return df.join(first, [key, *order], "left").withColumn(out, F.coalesce(out, F.lit(0)))
+    # equal positions are repeats of one row; the join has already put them together
+    repeat = F.row_number().over(Window.partitionBy(key, *order).orderBy(F.lit(0)))
+    marked = df.join(first, [key, *order], "left")
+    return marked.withColumn(out, F.when(repeat == 1, F.coalesce(out, F.lit(0))).otherwise(0))
 
 
 def running_uv(df: DataFrame, user: str, order: Sequence[str], out: str = "uv",

@@ -60,9 +60,11 @@ def rules_asof_join(events: DataFrame, rules: DataFrame, tier: str, ts: str, rul
     compared with a handful of rules and needs no ordering. If some tier sets more than
     ``rules_per_bucket`` rules on a day, hours are taken instead, then minutes. If even a minute
     has more, events and rules are put in one time order per tier and the rule is carried forward.
-    Of rules set at one time the largest text counts.
+    Of rules set at one time the largest text counts. A rule without tier or time never applies,
+    and an event without tier or time has no rule.
     """
-    rules = rules.where(F.col(rule).isNotNull()).groupBy(tier, ts).agg(F.max(rule).alias(rule))
+    known = F.col(rule).isNotNull() & F.col(tier).isNotNull() & F.col(ts).isNotNull()
+    rules = rules.where(known).groupBy(tier, ts).agg(F.max(rule).alias(rule))
     rules = pin(rules, "rules")  # read several times
     bucket = F.explode(
         F.array(*[F.struct(F.lit(u).alias("unit"), F.date_trunc(u, ts).alias("at")) for u in UNITS])
@@ -93,23 +95,25 @@ def _by_bucket(events, rules, tier, ts, rule, missing, unit, length, size):
     events. It is broadcast if that is at most ``BROADCAST_RULES`` rows; otherwise Spark joins by
     shuffle and splits large tiers and buckets.
     """
-    newest = F.max(ts)
-    last = events.agg(
-        newest.cast("string").alias("at"), F.unix_micros(newest.cast("timestamp")).alias("us")
+    ends = events.agg(
+        F.min(ts).cast("string").alias("oldest"), F.max(ts).cast("string").alias("newest"),
+        F.unix_micros(F.min(ts).cast("timestamp")).alias("first"),
+        F.unix_micros(F.max(ts).cast("timestamp")).alias("last"),
     ).first()
-    newest = F.lit(last.at).cast(events.schema[ts].dataType)
+    oldest, newest = (F.lit(x).cast(events.schema[ts].dataType) for x in (ends.oldest, ends.newest))
     ahead = Window.partitionBy(tier).orderBy(ts)
     spans = rules.select(
         F.col(tier).alias("_tier"), F.col(ts).alias("_from"), F.lead(ts).over(ahead).alias("_until"),
         F.col(rule).alias(rule),
-    ).where(F.col("_from") <= newest)
+    ).where((F.col("_from") <= newest) & (F.col("_until").isNull() | (F.col("_until") > oldest)))
+    # buckets before the first event and after the last one are never asked for
     until = F.least(F.coalesce("_until", newest), newest)
     buckets = F.sequence(
-        F.date_trunc(unit, "_from"), F.date_trunc(unit, until), F.expr(f"INTERVAL 1 {unit}")
+        F.date_trunc(unit, F.greatest("_from", oldest)), F.date_trunc(unit, until), F.expr(f"INTERVAL 1 {unit}")
     )
     placed = spans.withColumn("_bucket", F.explode(buckets))
-    if size and last.us is not None:
-        spanned = max(0, last.us - size.first) // (length * 1_000_000) + 1
+    if size and ends.last is not None:
+        spanned = (ends.last - ends.first) // (length * 1_000_000) + 1
         if size.rules + size.tiers * spanned <= BROADCAST_RULES:
             placed = F.broadcast(placed)
     valid = (

@@ -43,7 +43,8 @@ def filtered_bulletins(notices: DataFrame, securities: DataFrame, bulletins: Dat
 def latest_partition_fallback(holdings: DataFrame, day: Column, column: str = "busi_date") -> DataFrame:
     """One row: ``day`` if there are rows for it, else the newest day after the month's first."""
     date = F.col(column)
-    return holdings.agg(
+    # both cases lie in the month so far: only its partitions are read
+    return holdings.where(date >= month_start(day)).agg(
         F.coalesce(
             F.max(F.when(date == day, date)), F.max(F.when(date > month_start(day), date))
         ).alias("used_date")

@@ -17,20 +17,26 @@ from streamlens.sources import sinks
 from streamlens.sources.files import json_number, stream_files
 from streamlens.streaming import live, state
 from streamlens.streaming.jobs import (
-    FLUSH_TIME, EndOfInput, event_time, flush_row, newest_changes, plain_time, replay, replay_changes,
+    FLUSH_TIME, EndOfInput, event_time, flush_row, in_slices, newest_changes, plain_time, replay, replay_changes,
     replay_slices, run_to_end,
 )
 
 DELAY = "1 hour"
-# bounds what a task holds of a key in one micro-batch
-FILES_PER_BATCH = "64"
+# rows of a micro-batch; bounds what a task holds of a key in one of them
+SLICE_ROWS = 2_000_000
 
 
 def raw(spark, folder):
-    """The stored events as a log: files in the order written, some of them per micro-batch."""
-    # a pattern, since a stream takes a single file only by way of one
-    path = f"{folder}/events.parque[t]"
-    return stream_files(spark, path, schemas.EVENT, maxFilesPerTrigger=FILES_PER_BATCH)
+    """The stored events as a log in time order, ``SLICE_ROWS`` rows per micro-batch.
+
+    Results of a replay then do not depend on how the rows lie in files: no row comes behind the
+    watermark, and keyed state sees its rows in order.
+    """
+    log = in_slices(table(spark, folder, "events"), "ts", SLICE_ROWS)
+    if log:
+        return stream_files(spark, log, schemas.EVENT, maxFilesPerTrigger="1")
+    # one micro-batch; a pattern, since a stream takes a single file only by way of one
+    return stream_files(spark, f"{folder}/events.parque[t]", schemas.EVENT)
 
 
 def events(spark, folder):

@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from streamlens.session import scratch
-
 
 def latest_value_table(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The newest row per key: each later write replaces the earlier one."""
@@ -36,23 +34,38 @@ def write_search_index(df: DataFrame, path: str, index: str) -> None:
     lines.write.mode("append").text(path)
 
 
-def overwrite_table(df: DataFrame, table: str, folder: str | None = None) -> None:
-    """Replace the content of a table with ``df`` in one step.
+def overwrite_table(df: DataFrame, table: str) -> None:
+    """Replace the content of a table with ``df``, which may read the table itself.
 
-    The rows are written to a new folder, under ``folder`` or else the shared one, and the table is
-    then pointed to it. A reader sees the old content or the new one, never an emptied table; a
-    failed write changes nothing; and ``df`` may read the table itself.
+    The rows are written first, in the table's own format, cast to its types; a failed write leaves
+    the table as it was, and a reader never sees an emptied or half-written table. A table without
+    partitions is then pointed to the new folder, which lies beside the old one; the old folder
+    stays for readers that still use it. A partitioned table is replaced by a new one of the same
+    definition under its name. A table that does not exist is created.
     """
     spark = df.sparkSession
-    path = f"{folder}/{uuid.uuid4().hex}" if folder else scratch(spark, "table")
-    if spark.catalog.tableExists(table):
-        df.select(*spark.table(table).columns).write.parquet(path)
+    if not spark.catalog.tableExists(table):
+        df.write.saveAsTable(table, format="parquet")
+        return
+    rows = df.select(*[F.col(f.name).cast(f.dataType) for f in spark.table(table).schema.fields])
+    told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
+    mark = uuid.uuid4().hex
+    if "# Partition Information" not in told:
+        path = f"{told['Location'].rstrip('/')}-{mark}"
+        rows.write.format(told["Provider"]).save(path)
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
         spark.catalog.refreshTable(table)
-    else:
-        df.write.parquet(path)
-        columns = ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
-        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{path}'")
+        return
+    staged, old = f"{table}_new_{mark}", f"{table}_old_{mark}"
+    spark.sql(f"CREATE TABLE {staged} LIKE {table}")
+    try:
+        rows.write.insertInto(staged)
+    except BaseException:
+        spark.sql(f"DROP TABLE {staged}")
+        raise
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    spark.sql(f"DROP TABLE {old}")
 
 
 def write_exactly_once(df: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from streamlens.session import ROCKSDB, scratch
+from streamlens.session import ROCKSDB, pin, scratch
 from streamlens.sources.sinks import batch_files, write_batches, write_exactly_once
 
 FLUSH_TIME = "2200-01-01 00:00:00"
@@ -112,6 +112,31 @@ def run_to_end(start: Callable[[], StreamingQuery], end: EndOfInput | None = Non
         start().awaitTermination()
 
 
+def in_slices(stored: DataFrame, ts: str, rows: int) -> str | None:
+    """Lay a stored table out as a log for streams: one file per slice of time, written one after
+    the other, of about ``rows`` rows each. Rows without a time come first. None if one slice would do.
+
+    The stream reads files in the order of their writing. The table is put in time order once, so
+    each slice reads only its own files of that copy.
+    """
+    count = -(-stored.count() // rows)
+    if count < 2:
+        return None
+    order = pin(stored.repartitionByRange(count, ts).sortWithinPartitions(ts), "log-order")
+    cuts = order.agg(
+        F.percentile_approx(F.unix_micros(F.col(ts).cast("timestamp")), [k / count for k in range(1, count)], 10_000)
+    ).first()[0] or []
+    at = [F.timestamp_micros(F.lit(c)).cast(stored.schema[ts].dataType) for c in sorted(set(cuts))]
+    log = scratch(stored.sparkSession, "log")
+    for k in range(len(at) + 1):
+        part = order.where(F.col(ts) > at[k - 1]) if k else order
+        if k < len(at):
+            inside = F.col(ts) <= at[k]
+            part = part.where(inside if k else inside | F.col(ts).isNull())
+        part.coalesce(1).write.mode("append").parquet(log)
+    return log
+
+
 def replay(stream: DataFrame, label: str, end: EndOfInput | None = None) -> DataFrame:
     """Run an append-mode stream over all stored input and return what it wrote."""
     spark = stream.sparkSession

@@ -72,7 +72,7 @@ def test_lookup_keeps_unknown_keys(spark):
 def test_overwrite_replaces_all_rows(spark, tmp_path):
     sinks.overwrite_table(numbers(spark, 1, 5), "overwrite_me")
     reader = spark.table("overwrite_me")
-    sinks.overwrite_table(numbers(spark, 7, 8), "overwrite_me", str(tmp_path))
+    sinks.overwrite_table(numbers(spark, 7, 8), "overwrite_me")
     assert rows(spark.table("overwrite_me")) == [(7,), (8,)]
     assert rows(reader) in ([(i,) for i in range(1, 6)], [(7,), (8,)])
     sinks.overwrite_table(spark.table("overwrite_me").where("n = 8"), "overwrite_me")
@@ -123,3 +123,17 @@ def test_pinned_rows_live_in_the_shared_folder(spark):
     assert all(f.startswith("file:" + session.shared_dir(spark)) or session.shared_dir(spark) in f
                for f in pinned.inputFiles())
     assert os.path.isdir(session.shared_dir(spark))
+
+
+def test_overwrite_keeps_format_types_and_partitions(spark):
+    spark.sql("DROP TABLE IF EXISTS shaped")
+    spark.sql("CREATE TABLE shaped (n INT, label STRING, part STRING) USING orc PARTITIONED BY (part)")
+    spark.sql("INSERT INTO shaped VALUES (1, 'a', 'x'), (2, 'b', 'y')")
+    rows = spark.createDataFrame([("z", 7, "c"), ("x", 8, "d")], "part string, n long, label string")
+    sinks.overwrite_table(rows, "shaped")
+    assert {tuple(r) for r in spark.table("shaped").collect()} == {(7, "c", "z"), (8, "d", "x")}
+    assert spark.table("shaped").schema["n"].dataType.simpleString() == "int"
+    told = {r.col_name: r.data_type for r in spark.sql("DESCRIBE FORMATTED shaped").collect()}
+    assert told["Provider"].lower() == "orc"
+    assert [r[0] for r in spark.sql("SHOW PARTITIONS shaped").orderBy("partition").collect()] == ["part=x", "part=z"]
+    spark.sql("DROP TABLE shaped")
