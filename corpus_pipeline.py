@@ -23,8 +23,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies. Documents without words or id stay."""
-    copies = ngram_join.join(docs).where("class_id <> doc_id").select("doc_id")
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    copies = pin(ngram_join.join(docs).where("class_id <> doc_id").select("doc_id"), "copies")
+    return docs.join(ngram_join.bounded(copies), "doc_id", "left_anti").select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,6 +30,7 @@ SIZE = 5
 PIECE = 1 << 19
 PART_MEMBERS = 1024
 PART_NGRAMS = 1 << 20
+BROADCAST_KEYS = 1_000_000
 
 
 def banding(threshold: float = THRESHOLD, recall: float = RECALL, hashes: int = HASHES) -> tuple[int, int]:
@@ -198,6 +199,12 @@ def components(edges: DataFrame, most: int = 64) -> DataFrame:
     raise RuntimeError(f"links are still being followed after {most} rounds")
 
 
+def bounded(keys: DataFrame) -> DataFrame:
+    """One column of numbers, broadcast while it has at most ``BROADCAST_KEYS`` rows (8 MB); beyond that Spark
+    joins by shuffle. The rows of a join with it are the same either way."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL, size: int = SIZE) -> DataFrame:
     """One row per document: ``key``, ``class_id`` (smallest key among all it is linked to, directly or through
     others), ``n_links`` (other documents with a Jaccard similarity of ``threshold`` or more) and ``n_ngrams``."""
@@ -230,7 +237,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
     spread = work.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "band", "h", F.least("part", "k").alias("i"), F.greatest("part", "k").alias("j"), "part", "node", "f1", "f2", "copies", "bands",
     )
-    wanted = near.select(F.col("node").alias("key"))
+    wanted = bounded(near.select(F.col("node").alias("key")))
     sets = pin(whole_sets(texts.join(wanted, "key", "left_semi"), size).dropDuplicates(["key", "f1", "f2"]).withColumnRenamed("key", "node"), "join-sets")
     found = pin(verify(
         spread.join(sets, ["node", "f1", "f2"]).repartition("band", "h", "i", "j").sortWithinPartitions("band", "h", "i", "j"), threshold,
