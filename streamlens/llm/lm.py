@@ -26,7 +26,8 @@ from streamlens.llm.exchange import answer, ask, blocks, pack, settle, shards_fo
 from streamlens.llm.words import Hasher, mix, pieces, split
 from streamlens.session import pin
 
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 5 << 20
+BLOCK_BYTES = 4 << 20
 CLASSES = 64
 SPREAD = 64
 END = np.uint64(0xE0D0F0A11D0C5)
@@ -161,7 +162,7 @@ def score(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text
     """One row per document: ``key``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (add-one word model),
     ``score`` (log10 probability). ``train`` tells which rows are learned from."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), train.alias("train"))
-    stored = blocks(rows, "key", "text", ("train",), label="lm")
+    stored = blocks(rows, "key", "text", ("train",), BLOCK_BYTES, "lm")
     shards = shards_for(stored, shard_bytes)
     hasher = Hasher(17)
 
