@@ -86,8 +86,8 @@ class EliasFano:
         return a, (a < end) & (self.low_bits(at) == low)
 
 
-CODES = 60_000
-STEP = 12 / CODES
+CODES = 65_000
+STEP = 12**0.5 / CODES  # of the square root of -log10 p, so that probabilities near 1 are kept finely
 
 
 class Trie:
@@ -105,7 +105,7 @@ class Trie:
         self.pointers = EliasFano(np.append(first, len(context)), len(context) + 1)
         number = np.cumsum(np.diff(context, prepend=-1) != 0) - 1
         self.followers = EliasFano(number * universe + word, max(1, len(first)) * universe)
-        code = np.clip(np.round(-np.log10(np.maximum(probability, 1e-12)) / STEP), 0, CODES).astype(np.uint16)
+        code = np.clip(np.round(np.sqrt(-np.log10(np.clip(probability, 1e-12, 1))) / STEP), 0, CODES).astype(np.uint16)
         levels = [self.contexts, self.pointers, self.followers]
         arrays = [a for x in levels for a in x.parts()] + [code]
         size = sum(-(-a.nbytes // 8) * 8 for a in arrays)
@@ -134,4 +134,4 @@ class Trie:
 
 def decoded(code: np.ndarray) -> np.ndarray:
     """Probabilities of the codes of ``lookup``."""
-    return np.where(code > 0, 10.0 ** (-(code.astype(float) - 1) * STEP), 0.0)
+    return np.where(code > 0, 10.0 ** -np.square((code.astype(float) - 1) * STEP), 0.0)
