@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from streamlens.functions.scalar import risk_tier
 from streamlens.operators.joins import rules_asof_join
-from streamlens.operators.ordered import MAX_ROWS, Machine, cut, fold, nearby, running
+from streamlens.operators.ordered import MAX_ROWS, Machine, cut, fold, nearby, running, wide
 from streamlens.operators.ranking import top_n
 from streamlens.operators.transform import is_large
 
@@ -51,24 +51,27 @@ def rising_amount_alert(df: DataFrame, key: str, amount: str, ts: str, order: Se
     """Clients whose amount did not fall for ``seconds`` after a rise: key, start and alert time.
 
     The amount before the first row counts as 0. A timer still open at the end of the data fires.
+    Whole numbers stay whole. Rows without an amount are left out.
     """
     wait = seconds * 1_000_000
-    state = T.StructType([T.StructField("amount", T.DoubleType()), T.StructField("deadline", T.LongType())])
+    kind = wide(df, amount, T.DoubleType())
+    number = np.int64 if kind == T.LongType() else np.float64
+    state = T.StructType([T.StructField("amount", kind), T.StructField("deadline", T.LongType())])
     out = T.StructType([T.StructField("_deadline", T.LongType())])
 
     def step(columns: dict[str, np.ndarray], state: dict) -> tuple[dict[str, np.ndarray], dict]:
         x, at = columns["_x"], columns["_at"]
-        rise = x > np.concatenate([[state["amount"]], x[:-1]])
+        rise = x > np.concatenate([np.array([state["amount"]], number), x[:-1]])
         fired, deadline = rise_timers(at, rise, state["deadline"], wait)
-        return {"_deadline": np.array(fired, "int64")}, {"amount": float(x[-1]), "deadline": deadline}
+        return {"_deadline": np.array(fired, "int64")}, {"amount": x[-1].item(), "deadline": deadline}
 
     def finish(state: dict) -> dict[str, np.ndarray]:
         left = [] if state["deadline"] is None else [state["deadline"]]
         return {"_deadline": np.array(left, "int64")}
 
-    machine = Machine(("_x", "_at"), out, state, {"amount": 0.0, "deadline": None}, step, finish)
-    rows = df.select(
-        key, *[c for c in order], F.col(amount).cast("double").alias("_x"),
+    machine = Machine(("_x", "_at"), out, state, {"amount": number(0).item(), "deadline": None}, step, finish)
+    rows = df.dropna(subset=[amount, ts]).select(
+        key, *[c for c in order], F.col(amount).cast(kind).alias("_x"),
         F.unix_micros(F.col(ts).cast("timestamp")).alias("_at"),
     )
     alerts = fold(cut(rows, [key], order, max_rows), machine)

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 import numpy as np
@@ -276,6 +276,10 @@ class Machine:
 
     ``step(columns, state)`` gets some consecutive rows as arrays and returns the emitted columns
     and the next state; ``finish(state)`` returns what the end of the key emits.
+
+    For keys cut in chunks, ``carry(given, end, facts)`` may tell in which state a chunk will end
+    if it starts from ``given``, when its last run ended in ``end``; ``facts`` are the ``summary``
+    aggregates of its rows. A wrong answer costs another run of what follows, never a wrong row.
     """
 
     inputs: tuple[str, ...]
@@ -284,10 +288,17 @@ class Machine:
     initial: dict
     step: Callable[[Columns, dict], tuple[Columns, dict]]
     finish: Callable[[dict], Columns]
+    summary: dict[str, Column] = field(default_factory=dict)
+    carry: Callable[[dict, dict, dict], dict] | None = None
 
 
 ARROW = {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.DoubleType(): pa.float64(),
-         T.BooleanType(): pa.bool_()}
+         T.BooleanType(): pa.bool_(), T.StringType(): pa.string()}
+
+
+def wide(df: DataFrame, column: str, other: T.DataType) -> T.DataType:
+    """The type in which a machine handles a column: whole numbers as long, all else as ``other``."""
+    return T.LongType() if isinstance(df.schema[column].dataType, T.IntegralType) else other
 
 
 def _runner(m: Machine, group: list[str], chunked: bool):
@@ -376,9 +387,11 @@ def fold(o: Ordered, m: Machine) -> DataFrame:
     """Run a state machine over the rows of each key and return what it emits.
 
     Without large keys this is one pass. With them, all chunks start at once from the initial
-    state; a chunk runs again while the state its predecessor ended in differs from the one it
-    started from. Machines that forget their past, as those here do, settle after few rounds, and
-    the end result is exact in any case: each chunk was last run from its true start state.
+    state; then one scan over the table of chunks, in which ``carry`` takes a state past chunks
+    whose answer is known, gives the start states of the next round. Chunks that started from
+    another state run again, until none did. The result is exact in any case: each chunk was last
+    run from its true start state. Rounds are few for machines that forget their past or have a
+    ``carry``; a chain of alerts that never meets the one from another start takes one per chunk.
     """
     if o.split:
         return _fold_chunks(o, m)
@@ -389,6 +402,30 @@ def fold(o: Ordered, m: Machine) -> DataFrame:
     return ordered.select(*keys, *m.inputs).mapInArrow(_runner(m, keys, False), schema)
 
 
+def _next_starts(m: Machine, group: list[str]):
+    """Arrow function over the chunks of a key (one row each): those to run again, and from where."""
+    names, facts, carry = m.state.names, tuple(m.summary), m.carry
+
+    def scan(chunks: pa.Table) -> pa.Table:
+        def same(a, b):
+            return a == b or (a != a and b != b)
+
+        rows, again, state = chunks.sort_by(CHUNK).to_pylist(), [], {}
+        for i, row in enumerate(rows):
+            end = {n: row["_e_" + n] for n in names}
+            if i and not all(same(state[n], row["_s_" + n]) for n in names):
+                start = {"_s_" + n: state[n] for n in names}
+                again.append({c: row[c] for c in group} | {"_last": i + 1 == len(rows)} | start)
+                if carry is not None:
+                    end = carry(state, end, {n: row["_a_" + n] for n in facts})
+            state = end
+        known = [chunks.schema.field(c) for c in [*group, *["_s_" + n for n in names]]]
+        known.insert(len(group), pa.field("_last", pa.bool_()))
+        return pa.Table.from_pylist(again, pa.schema(known))
+
+    return scan
+
+
 def _fold_chunks(o: Ordered, m: Machine) -> DataFrame:
     keys, names = [*o.keys], m.state.names
     group = [*keys, CHUNK]
@@ -417,6 +454,10 @@ def _fold_chunks(o: Ordered, m: Machine) -> DataFrame:
             *[F.lit(m.initial[f.name]).cast(f.dataType).alias("_s_" + f.name) for f in m.state],
         )
     )
+    facts = None
+    if m.summary:
+        each = o.df.groupBy(*group).agg(*[c.alias("_a_" + n) for n, c in m.summary.items()])
+        facts = renamed(pin(each, "fold-facts"), *["_a_" + n for n in m.summary])
     settled = None
     while True:
         todo = renamed(starts, "_last", *starts_as)
@@ -430,16 +471,10 @@ def _fold_chunks(o: Ordered, m: Machine) -> DataFrame:
             ran = pin(kept.unionByName(ran), "fold")
         settled = ran
 
-        ends = settled.where("_end").select(
-            *group,
-            F.lead(CHUNK).over(ahead).isNull().alias("_last"),
-            F.lag(F.lit(True)).over(ahead).isNotNull().alias("_follows"),
-            *[F.col("_s_" + n).alias("_was_" + n) for n in names],
-            *[F.lag("_e_" + n).over(ahead).alias("_s_" + n) for n in names],
-        )
-        differs = reduce(
-            lambda a, b: a | b, [~F.col("_s_" + n).eqNullSafe(F.col("_was_" + n)) for n in names]
-        )
-        starts = ends.where(F.col("_follows") & differs).select(*group, "_last", *starts_as)
+        ends = settled.where("_end").select(*group, *starts_as, *["_e_" + n for n in names])
+        if facts is not None:
+            ends = ends.join(facts, key_and_chunk(ends, facts)).select(*ends.columns, *["_a_" + n for n in m.summary])
+        scanned = ends.groupBy(*keys).applyInArrow(_next_starts(m, group), starts.schema)
+        starts = pin(scanned, "fold-starts")
         if starts.isEmpty():
             return settled.where(~F.col("_end")).select(*keys, *m.out.names)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from streamlens.operators.ordered import MAX_ROWS, Machine, cut, fold, nearby
+from streamlens.operators.ordered import MAX_ROWS, Machine, cut, fold, nearby, wide
 
 
 def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
@@ -32,9 +33,14 @@ def top_transactions(df: DataFrame, client: str, amount: str, tie: Sequence[str]
 
 def running_top(df: DataFrame, key: str, amount: str, row_id: str, order: Sequence[str], n: int = 3,
                 out: str = "top", max_rows: int = MAX_ROWS) -> DataFrame:
-    """Each row with the ``n`` largest amounts of its key up to and including it, ascending."""
+    """Each row with the ``n`` largest amounts of its key up to and including it, ascending.
+
+    Whole numbers stay whole. Rows without an amount or an id are left out.
+    """
     names = [f"_top{i}" for i in range(n)]
-    empty = float("-inf")
+    kind, id_kind = wide(df, amount, T.DoubleType()), wide(df, row_id, T.StringType())
+    number = np.int64 if kind == T.LongType() else np.float64
+    empty = -(2**63) if kind == T.LongType() else float("-inf")
 
     def step(columns: dict[str, np.ndarray], state: dict) -> tuple[dict[str, np.ndarray], dict]:
         x = columns["_x"]
@@ -47,28 +53,34 @@ def running_top(df: DataFrame, key: str, amount: str, row_id: str, order: Sequen
                 at += len(above)
                 continue
             at += int(above.argmax())
-            top = sorted([*top[1:], float(x[at])])
+            top = sorted([*top[1:], x[at].item()])
             starts.append(at)
             lists.append(top)
             at += 1
         spans = np.diff([*starts, len(x)])
-        filled = np.repeat(np.array(lists), spans, axis=0)
-        emitted = {"_id": columns["_row"], **{c: filled[:, i] for i, c in enumerate(names)}}
-        return emitted, dict(zip(names, top))
+        filled = np.repeat(np.array(lists, number), spans, axis=0)
+        seen = np.minimum(n, state["_seen"] + 1 + np.arange(len(x)))
+        emitted = {"_id": columns["_row"], **{c: filled[:, i] for i, c in enumerate(names)}, "_seen": seen}
+        return emitted, {**dict(zip(names, top)), "_seen": min(n, state["_seen"] + len(x))}
 
     def finish(state: dict) -> dict[str, np.ndarray]:
-        return {c: np.array([]) for c in ["_id", *names]}
+        return {c: np.array([]) for c in ["_id", *names, "_seen"]}
+
+    def carry(given: dict, end: dict, facts: dict) -> dict:
+        # a chunk adds its own largest amounts, whatever it started from
+        top = sorted([s[c] for s in (given, end) for c in names])[-n:]
+        return {**dict(zip(names, top)), "_seen": min(n, given["_seen"] + end["_seen"])}
 
-    tops = [T.StructField(c, T.DoubleType()) for c in names]
+    tops = [*[T.StructField(c, kind) for c in names], T.StructField("_seen", T.LongType())]
     machine = Machine(
-        ("_row", "_x"), T.StructType([T.StructField("_id", T.LongType()), *tops]), T.StructType(tops),
-        {c: empty for c in names}, step, finish,
+        ("_row", "_x"), T.StructType([T.StructField("_id", id_kind), *tops]), T.StructType(tops),
+        {**{c: empty for c in names}, "_seen": 0}, step, finish, carry=carry,
     )
-    rows = df.where(F.col(amount).isNotNull()).select(
-        key, *order, F.col(row_id).cast("bigint").alias("_row"), F.col(amount).cast("double").alias("_x")
+    rows = df.dropna(subset=[amount, row_id]).select(
+        key, *order, F.col(row_id).cast(id_kind).alias("_row"), F.col(amount).cast(kind).alias("_x")
     )
     found = fold(cut(rows, [key], order, max_rows), machine)
-    kept = F.filter(F.array(*names), lambda v: v != empty)
+    kept = F.slice(F.array(*names), (n - F.col("_seen") + 1).cast("int"), F.col("_seen").cast("int"))
     return found.select(key, F.col("_id").alias(row_id), kept.alias(out))
 
 
@@ -113,10 +125,19 @@ def baseline_jump(df: DataFrame, key: str, value: str, row_id: str, order: Seque
                   threshold: float = 100_000, max_rows: int = MAX_ROWS) -> DataFrame:
     """Rows whose value differs by more than ``threshold`` from the last alerted value.
 
-    Only an alert moves the baseline, which starts at 0.
+    Only an alert moves the baseline, which starts at 0. Whole numbers stay whole. Rows without a
+    value or an id are left out.
     """
-    out = T.StructType([T.StructField("_id", T.LongType()), T.StructField("baseline", T.DoubleType()),
-                        T.StructField("_hit", T.DoubleType())])
+    kind, id_kind = wide(df, value, T.DoubleType()), wide(df, row_id, T.StringType())
+    whole = kind == T.LongType()
+    number = np.int64 if whole else np.float64
+    limit = math.floor(min(threshold, 2**64)) if whole else threshold
+    out = T.StructType([T.StructField("_id", id_kind), T.StructField("baseline", kind), T.StructField("_hit", kind)])
+
+    def jumps(x: np.ndarray, base: float) -> np.ndarray:
+        if not whole:
+            return np.abs(x - base) > limit
+        return (x > min(base + limit, 2**63 - 1)) | (x < max(base - limit, -(2**63)))
 
     def step(columns: dict[str, np.ndarray], state: dict) -> tuple[dict[str, np.ndarray], dict]:
         x, base = columns["_x"], state["base"]
@@ -125,26 +146,31 @@ def baseline_jump(df: DataFrame, key: str, value: str, row_id: str, order: Seque
             # search in growing blocks, so that a long quiet stretch is scanned once
             size = 16
             while at < len(x):
-                far = np.abs(x[at:at + size] - base) > threshold
+                far = jumps(x[at:at + size], base)
                 if far.any():
                     at += int(far.argmax())
                     hits.append(at)
                     bases.append(base)
-                    base, at = float(x[at]), at + 1
+                    base, at = x[at].item(), at + 1
                     break
                 at, size = at + size, size * 2
         found = np.array(hits, int)
-        return {"_id": columns["_row"][found], "baseline": np.array(bases, float), "_hit": x[found]}, {
+        return {"_id": columns["_row"][found], "baseline": np.array(bases, number), "_hit": x[found]}, {
             "base": base}
 
     def finish(state: dict) -> dict[str, np.ndarray]:
-        return {c: np.array([]) for c in out.names}
+        return {c: np.array([]) for c in ["_id", "baseline", "_hit"]}
+
+    def carry(given: dict, end: dict, facts: dict) -> dict:
+        # a chunk all of whose values lie near the baseline hands it on
+        return end if jumps(np.array([facts["lo"], facts["hi"]], number), given["base"]).any() else given
 
     machine = Machine(
-        ("_row", "_x"), out, T.StructType([T.StructField("base", T.DoubleType())]), {"base": 0.0},
-        step, finish,
+        ("_row", "_x"), out, T.StructType([T.StructField("base", kind)]), {"base": number(0).item()},
+        step, finish, {"lo": F.min("_x"), "hi": F.max("_x")}, carry,
+    )
+    rows = df.dropna(subset=[value, row_id]).select(
+        key, *order, F.col(row_id).cast(id_kind).alias("_row"), F.col(value).cast(kind).alias("_x")
     )
-    rows = df.select(key, *order, F.col(row_id).cast("bigint").alias("_row"),
-                     F.col(value).cast("double").alias("_x"))
     hits = fold(cut(rows, [key], order, max_rows), machine)
     return hits.select(key, F.col("_id").alias(row_id), "baseline", F.col("_hit").alias(value))

@@ -3,12 +3,14 @@
 Each processor sorts the rows of a key within the micro-batch; across micro-batches rows count in
 arrival order. The micro-batch size (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) bounds what
 a task holds.
+
+Keys, ids, products and amounts keep the types they have in the stream (text keys, whole amounts). Rows without an id
+are left out, as are rows without an amount; a count window counts the latter and sums the others, as its batch form.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import datetime, timezone
 
 import numpy as np
 from pyspark.sql import DataFrame, Row
@@ -17,45 +19,53 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from streamlens.operators.monitor import rise_timers
 
 MICROS = 1_000_000
-EPOCH = datetime(1970, 1, 1)
 
 
 def _in_order(rows: Iterator[Row]) -> list[Row]:
     return sorted((r for r in rows if r["id"] is not None), key=lambda r: (r["at"], r["id"]))
 
 
-def _time(micros: int) -> datetime:
-    return datetime.fromtimestamp(micros / MICROS, timezone.utc).replace(tzinfo=None)
+class Typed(StatefulProcessor):
+    """A processor whose schemas name the types of its stream, as ``{key}``; ``keyed`` sets them."""
+
+    SCHEMA = ""
+    types: dict[str, str] = {}
+
+    def typed(self, schema: str) -> str:
+        return schema.format(**self.types)
+
+    def close(self) -> None:
+        pass
 
 
-class RisingAmount(StatefulProcessor):
+class RisingAmount(Typed):
     """Previous amount and one event-time timer per client. Rows: key, id, at (µs), x."""
 
-    SCHEMA = "key BIGINT, start_us BIGINT, alert_us BIGINT"
+    SCHEMA = "key {key}, start_us BIGINT, alert_us BIGINT"
 
     def __init__(self, seconds: float):
         self.wait = int(seconds * MICROS)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.amount = handle.getValueState("amount", "x DOUBLE")
+        self.amount = handle.getValueState("amount", self.typed("x {x}"))
         self.deadline = handle.getValueState("deadline", "at BIGINT")
 
     def _millis(self, deadline: int) -> int:
         return -(-deadline // 1000)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        batch = _in_order(rows)
+        batch = [r for r in _in_order(rows) if r["x"] is not None]
         if not batch:
             return
         before = self.amount.get()
         stored = self.deadline.get()
         old = stored[0] if stored else None
-        x = np.array([r["x"] for r in batch], float)
+        x = [r["x"] for r in batch]
         at = np.array([r["at"] for r in batch], "int64")
-        rise = x > np.concatenate([[before[0] if before else 0.0], x[:-1]])
+        rise = np.array([b > a for a, b in zip([before[0] if before else 0, *x], x)])
         fired, new = rise_timers(at, rise, old, self.wait)
-        self.amount.update((float(x[-1]),))
+        self.amount.update((x[-1],))
         if new != old:
             if old is not None:
                 self.handle.deleteTimer(self._millis(old))
@@ -73,38 +83,37 @@ class RisingAmount(StatefulProcessor):
             self.deadline.clear()
             yield Row(key=key[0], start_us=stored[0] - self.wait, alert_us=stored[0])
 
-    def close(self) -> None:
-        pass
-
 
-class BaselineJump(StatefulProcessor):
+class BaselineJump(Typed):
     """The last alerted value per client."""
 
-    SCHEMA = "key BIGINT, id BIGINT, baseline DOUBLE, x DOUBLE"
+    SCHEMA = "key {key}, id {id}, baseline {x}, x {x}"
 
     def __init__(self, threshold: float):
         self.threshold = threshold
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.base = handle.getValueState("base", "x DOUBLE")
+        self.base = handle.getValueState("base", self.typed("x {x}"))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         stored = self.base.get()
-        base = stored[0] if stored else 0.0
+        base = stored[0] if stored else None
         for r in _in_order(rows):
+            if r["x"] is None:
+                continue
+            if base is None:
+                base = type(r["x"])(0)
             if abs(r["x"] - base) > self.threshold:
                 yield Row(key=key[0], id=r["id"], baseline=base, x=r["x"])
                 base = r["x"]
-        self.base.update((base,))
+        if base is not None:
+            self.base.update((base,))
 
-    def close(self) -> None:
-        pass
 
-
-class CountWindow(StatefulProcessor):
+class CountWindow(Typed):
     """Rows and sum of the open count window per key."""
 
-    SCHEMA = "key BIGINT, window_no BIGINT, total BIGINT"
+    SCHEMA = "key {key}, window_no BIGINT, total BIGINT"
 
     def __init__(self, size: int):
         self.size = size
@@ -113,36 +122,35 @@ class CountWindow(StatefulProcessor):
         self.open = handle.getValueState("open", "no BIGINT, n BIGINT, total BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        no, n, total = self.open.get() or (0, 0, 0)
+        no, n, total = self.open.get() or (0, 0, None)
         for r in _in_order(rows):
-            n, total = n + 1, total + int(r["x"])
+            n += 1
+            if r["x"] is not None:
+                total = (total or 0) + int(r["x"])
             if n == self.size:
                 yield Row(key=key[0], window_no=no, total=total)
-                no, n, total = no + 1, 0, 0
+                no, n, total = no + 1, 0, None
         self.open.update((no, n, total))
 
-    def close(self) -> None:
-        pass
 
-
-class TopTransactions(StatefulProcessor):
+class TopTransactions(Typed):
     """The largest amounts per client in a list state, written again whenever a batch arrives.
 
     With a time to live the list is dropped once the client was silent for that long.
     """
 
-    SCHEMA = "key BIGINT, rank INT, id BIGINT, x DOUBLE"
+    SCHEMA = "key {key}, rank INT, id {id}, x {x}"
 
     def __init__(self, n: int = 3, ttl_ms: int | None = None):
         self.n, self.ttl = n, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.top = handle.getListState("top", "id BIGINT, x DOUBLE", self.ttl)
+        self.top = handle.getListState("top", self.typed("id {id}, x {x}"), self.ttl)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         kept = [(r[0], r[1]) for r in self.top.get()]
         for r in rows:
-            if r["id"] is not None:
+            if r["id"] is not None and r["x"] is not None:
                 kept.append((r["id"], r["x"]))
                 if len(kept) > 64 * self.n:
                     kept = sorted(kept, key=lambda v: (-v[1], v[0]))[: self.n]
@@ -152,27 +160,24 @@ class TopTransactions(StatefulProcessor):
         for rank, (row_id, x) in enumerate(kept, start=1):
             yield Row(key=key[0], rank=rank, id=row_id, x=x)
 
-    def close(self) -> None:
-        pass
-
 
-class TopProducts(StatefulProcessor):
+class TopProducts(Typed):
     """Per client a map from product to its largest amount; the first n of it are emitted."""
 
-    SCHEMA = "key BIGINT, rank INT, product BIGINT, x BIGINT"
+    SCHEMA = "key {key}, rank INT, product {product}, x {x}"
 
     def __init__(self, n: int = 3):
         self.n = n
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.best = handle.getMapState("best", "product BIGINT", "x BIGINT")
+        self.best = handle.getMapState("best", self.typed("product {product}"), self.typed("x {x}"))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         # A product outside the first n can only come back with a larger amount: keep n entries.
         best = {p[0]: v[0] for p, v in self.best.iterator()}
         known = dict(best)
         for r in rows:
-            if r["x"] is not None and r["x"] > best.get(r["product"], -(2**63)):
+            if r["x"] is not None and r["product"] is not None and (r["product"] not in best or r["x"] > best[r["product"]]):
                 best[r["product"]] = r["x"]
                 if len(best) > 64 * self.n:
                     best = dict(sorted(best.items(), key=lambda v: (-v[1], v[0]))[: self.n])
@@ -184,14 +189,12 @@ class TopProducts(StatefulProcessor):
                 self.best.updateValue((product,), (x,))
             yield Row(key=key[0], rank=rank, product=product, x=x)
 
-    def close(self) -> None:
-        pass
-
 
-def keyed(stream: DataFrame, processor: StatefulProcessor, time_mode: str = "None",
+def keyed(stream: DataFrame, processor: Typed, time_mode: str = "None",
           mode: str = "Append") -> DataFrame:
     """Run a processor per ``key`` of the stream."""
+    processor.types = dict(stream.dtypes)
     return stream.groupBy("key").transformWithState(
-        statefulProcessor=processor, outputStructType=processor.SCHEMA, outputMode=mode,
+        statefulProcessor=processor, outputStructType=processor.typed(processor.SCHEMA), outputMode=mode,
         timeMode=time_mode,
     )

@@ -94,3 +94,56 @@ def test_running_top(rows, max_rows):
             seen = sorted([*seen, x])[-3:]
             want[k, i] = seen
     assert got == want
+
+
+def rounds_of(monkeypatch):
+    """Labels of the tables written, one ``fold-starts`` per round."""
+    from streamlens.operators import ordered
+
+    written, pin = [], ordered.pin
+    monkeypatch.setattr(ordered, "pin", lambda df, label: written.append(label) or pin(df, label))
+    return lambda: written.count("fold-starts")
+
+
+SHAPES = {"falling": "100000 - id", "quiet": "CASE WHEN id = 3 THEN 900 ELSE 600 + id % 200 END", "rising": "id"}
+
+
+def one_key(spark, shape):
+    return spark.range(1000).selectExpr("0 AS k", "id", "timestamp_micros(id * 1000000) AS ts", f"{SHAPES[shape]} AS x")
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_running_top_settles_in_two_rounds(spark, monkeypatch, shape):
+    rounds = rounds_of(monkeypatch)
+    rows = one_key(spark, shape)
+    got = {r.id: r.top for r in running_top(rows, "k", "x", "id", ["ts", "id"], 3, max_rows=20).collect()}
+    seen = []
+    for r in rows.orderBy("id").collect():
+        seen = sorted([*seen, r.x])[-3:]
+        assert got[r.id] == seen
+    assert len(got) == 1000 and rounds() <= 2
+
+
+@pytest.mark.parametrize("shape, most", [("falling", None), ("quiet", 3), ("rising", None)])
+def test_baseline_skips_quiet_chunks(spark, monkeypatch, shape, most):
+    rounds = rounds_of(monkeypatch)
+    rows = one_key(spark, shape)
+    got = baseline_jump(rows, "k", "x", "id", ["ts", "id"], 400, 20 if most else 250)
+    got = sorted((r.id, r.baseline, r.x) for r in got.collect())
+    assert got == jumps_by_loop([(r.id, r.x) for r in rows.orderBy("id").collect()], 400)
+    assert most is None or rounds() <= most
+
+
+@pytest.mark.parametrize("max_rows", [1_000_000, 2])
+def test_whole_amounts_text_ids_and_nulls(spark, max_rows):
+    big = 9_007_199_254_740_993
+    rows = spark.createDataFrame(
+        [("c", "a", 1, 5), ("c", "b", 2, big), ("c", "n", 3, None), ("c", None, 4, 7), ("c", "d", 5, big + 1)],
+        "k string, id string, at int, x bigint",
+    ).withColumn("ts", F.timestamp_seconds("at"))
+    top = {r.id: r.top for r in running_top(rows, "k", "x", "id", ["at"], 2, max_rows=max_rows).collect()}
+    assert top == {"a": [5], "b": [5, big], "d": [big, big + 1]}
+    jumps = sorted((r.id, r.baseline, r.x) for r in baseline_jump(rows, "k", "x", "id", ["at"], 0, max_rows).collect())
+    assert jumps == [("a", 0, 5), ("b", 5, big), ("d", big, big + 1)]
+    # rises at 1, 2 and 5; the null at 3 counts for nothing, the fall at 4 ends the first timer
+    assert rising_amount_alert(rows, "k", "x", "ts", ["at"], 10, max_rows).count() == 1

@@ -220,3 +220,28 @@ def test_job_settings(spark, tmp_path):
     assert spark.conf.get("spark.sql.streaming.minBatchesToRetain") == "7"
     assert config.trigger() == {"processingTime": "1 second"}
     spark.conf.unset("spark.sql.streaming.minBatchesToRetain")
+
+
+SECOND = 1_000_000
+BIG = 9_007_199_254_740_993
+NULLS = [
+    ("c", "a", 1, 5), ("c", "b", 2 * SECOND, BIG), ("c", "n", 3 * SECOND, None), ("c", None, 4 * SECOND, 7),
+    ("c", "d", 5 * SECOND, 6),
+]
+
+
+@pytest.mark.parametrize("processor, mode, want", [
+    (state.CountWindow(2), "Append", [("c", 0, BIG + 5), ("c", 1, 6)]),
+    (state.BaselineJump(3), "Append", [("c", "a", 0, 5), ("c", "b", 5, BIG), ("c", "d", BIG, 6)]),
+    (state.TopTransactions(2), "Update", [("c", 1, "b", BIG), ("c", 2, "d", 6)]),
+    (state.TopProducts(2), "Update", [("c", 1, "b", BIG), ("c", 2, "d", 6)]),
+    (state.RisingAmount(1), "Append", [("c", 1, SECOND + 1)]),
+])
+def test_text_keys_whole_amounts_and_nulls(spark, tmp_path, processor, mode, want):
+    path, out, schema = str(tmp_path / "in"), str(tmp_path / "out"), "key string, id string, at bigint, x bigint"
+    spark.createDataFrame(NULLS, schema).coalesce(1).write.parquet(path)
+    stream = stream_files(spark, path, schema).withColumns({"product": F.col("id"), "ts": F.timestamp_micros("at")})
+    time_mode = "EventTime" if isinstance(processor, state.RisingAmount) else "None"
+    found = state.keyed(stream.withWatermark("ts", "0 seconds"), processor, time_mode, mode)
+    sinks.write_batches(found, sinks.batch_files(out), out + "-c", mode.lower()).awaitTermination()
+    assert rows(spark.read.parquet(out).select(*found.columns)) == want
