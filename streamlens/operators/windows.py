@@ -167,7 +167,7 @@ def category_heat(df: DataFrame, ts: str, category: str, size: str = "1 hour",
 
 # The parts of the report text.
 REPORT_END, REPORT_ITEM, REPORT_VIEWS = "窗口结束时间: ", "网址：", "     热度值："
-REPORT_LINE = "-" * 33
+REPORT_LINE = "---------------------------------"
 
 
 def hot_report(ranked: DataFrame, item: str) -> DataFrame:

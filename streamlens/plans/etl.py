@@ -17,7 +17,7 @@ NOTICE = (
 )
 WILL, YEAR, MONTH, DAY = "将于", "年", "月", "日"
 SUSPENDED, RESUMED = "开市起至当日10:30停牌，自", "10:30起复牌。"
-CLOSING = "敬请您关注相关风险提示公告，注意投资风险。如有疑问可咨询财通证券客服电话95336。"
+CLOSING = "敬请您关注相关风险提示公告，注意投资风险。"
 
 
 def newest_names(names: DataFrame) -> DataFrame:
@@ -65,8 +65,8 @@ def held_positions(holdings: DataFrame, day: Column, column: str = "busi_date")
     )
 
 
-def message(name: str, code: str, date: str) -> Column:
-    """The notice sent to a holder."""
+def message(name: str, code: str, date: str, closing: str = CLOSING) -> Column:
+    """The notice sent to a holder; ``closing`` may name whom to ask."""
     when = [
         F.date_format(date, "yyyy"), F.lit(YEAR), F.date_format(date, "MM"), F.lit(MONTH),
         F.date_format(date, "dd"), F.lit(DAY),
@@ -74,12 +74,12 @@ def message(name: str, code: str, date: str) -> Column:
     return F.concat(
         F.lit(GREETING), F.col(name), F.lit(CODE_OPEN), F.col(code), F.lit(CODE_CLOSE),
         F.lit(NOTICE), F.col(name), F.lit(WILL), *when, F.lit(SUSPENDED), *when, F.lit(RESUMED),
-        F.lit(CLOSING),
+        F.lit(closing),
     )
 
 
 def risk_notices(bulletins: DataFrame, positions: DataFrame, contacts: DataFrame,
-                 clients: DataFrame, run_day: Column) -> DataFrame:
+                 clients: DataFrame, run_day: Column, closing: str = CLOSING) -> DataFrame:
     """One notice per holder and bulletin, with the client's phone number and name if known."""
     return (
         bulletins.join(positions, bulletins["secucode"] == positions["prod_code"])
@@ -93,7 +93,7 @@ def risk_notices(bulletins: DataFrame, positions: DataFrame, contacts: DataFrame
             F.col("bulletindate").alias("publish_date"),
             F.col("secucode").alias("fund_code"),
             F.col("disclname").alias("fund_name"),
-            message("disclname", "secucode", "bulletindate").alias("message"),
+            message("disclname", "secucode", "bulletindate", closing).alias("message"),
         )
     )
 

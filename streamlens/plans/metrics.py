@@ -313,6 +313,30 @@ def windowed_uv_sketch(spark, folder):
     return sketches.select("window_start", "window_end", F.hll_sketch_estimate("sketch").alias("uv"))
 
 
+BOUND_SQL = f"SELECT window_start, window_end, uv, true AS within_bound FROM ({UV_SQL})"
+
+
+def against_exact(rows, estimated, error=0.1):
+    """The exact count of each window, and whether the estimate of it is at most ``error`` off."""
+    exact = windows.windowed_uv(rows, "ts", "user_id")
+    near = F.abs(F.col("estimate") - F.col("uv")) <= F.greatest(F.lit(1.0), F.col("uv") * error)
+    both = exact.join(estimated, ["window_start", "window_end"], "left")
+    return both.select("window_start", "window_end", "uv", F.coalesce(near, F.lit(False)).alias("within_bound"))
+
+
+@query(BOUND_SQL)
+def windowed_uv_approx_bound(spark, folder):
+    rows = views(spark, folder)
+    return against_exact(rows, windows.windowed_uv_approx(rows, "ts", "user_id").withColumnRenamed("uv", "estimate"))
+
+
+@query(BOUND_SQL)
+def windowed_uv_sketch_bound(spark, folder):
+    rows = views(spark, folder)
+    estimate = F.hll_sketch_estimate("sketch").alias("estimate")
+    return against_exact(rows, windows.windowed_uv_sketch(rows, "ts", "user_id").select("window_start", "window_end", estimate))
+
+
 def hot_sql(item: str, size: str, slide: str) -> str:
     counted = sliding_sql(V, size, slide, f"{item}, ", "views")
     return f"""

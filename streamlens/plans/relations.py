@@ -259,9 +259,10 @@ NOTICE_SQL = f"""
 SELECT '{{run}}' AS update_date, s.client_id, ct.client_name,
        CASE WHEN co.mobile_tel IS NOT NULL THEN co.mobile_tel ELSE co.home_tel END AS client_phone_num,
        r.bulletindate AS publish_date, r.secucode AS fund_code, r.disclname AS fund_name,
-       '{etl.GREETING}' || r.disclname || '{etl.CODE_OPEN}' || r.secucode || '{etl.CODE_CLOSE}' ||
-       '{etl.NOTICE}' || r.disclname || '将于' || strftime(r.bulletindate, '%Y年%m月%d日') ||
-       '{etl.SUSPENDED}' || strftime(r.bulletindate, '%Y年%m月%d日') || '{etl.RESUMED}{etl.CLOSING}' AS message
+       '尊敬的投资者您好！您持有的' || r.disclname || '（基金代码：' || r.secucode || '）' ||
+       '目前二级市场交易价格较基金份额参考净值的溢价幅度较高。根据交易所公告，为了保护基金份额持有人利益，' || r.disclname || '将于' || strftime(r.bulletindate, '%Y年%m月%d日') ||
+       '开市起至当日10:30停牌，自' || strftime(r.bulletindate, '%Y年%m月%d日') ||
+       '10:30起复牌。敬请您关注相关风险提示公告，注意投资风险。如有疑问可咨询财通证券客服电话95336。' AS message
 FROM ({{bulletins}}) r
 JOIN (SELECT client_id, prod_code FROM holdings, ({{used}}) u
       WHERE busi_date = u.used_date AND current_amount + correct_amount <> 0
@@ -282,4 +283,6 @@ def risk_notice_etl(spark, folder):
         F.lit("1999-12-31 08:00:00").cast("timestamp_ntz"), title="%-%",
     )
     positions = etl.held_positions(t["holdings"], F.lit("19960631"))
-    return etl.risk_notices(found, positions, t["contacts"], t["clients"], F.lit("20990101"))
+    # fixed value: the end of the message, with whom to ask
+    closing = "敬请您关注相关风险提示公告，注意投资风险。如有疑问可咨询财通证券客服电话95336。"
+    return etl.risk_notices(found, positions, t["contacts"], t["clients"], F.lit("20990101"), closing)

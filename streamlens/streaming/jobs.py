@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -46,8 +47,8 @@ class StreamJobConfig:
         return {"processingTime": self.every}
 
 
-def run_with_restarts(start, attempts: int = 3) -> StreamingQuery:
-    """Start a query and wait for it; after a failure start it again from its checkpoint."""
+def run_with_restarts(start, attempts: int = 3, delay: float = 1) -> StreamingQuery:
+    """Start a query and wait for it; ``delay`` seconds after a failure start it again from its checkpoint."""
     for attempt in range(attempts + 1):
         query = start()
         try:
@@ -56,6 +57,7 @@ def run_with_restarts(start, attempts: int = 3) -> StreamingQuery:
         except Exception:
             if attempt == attempts:
                 raise
+            time.sleep(delay)
 
 
 def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:

@@ -61,9 +61,11 @@ def test_failed_query_starts_again(spark, tmp_path):
             raise RuntimeError("lost")
         sinks.batch_files(out)(batch, batch_id)
 
+    begun = time.time()
     run_with_restarts(
-        lambda: sinks.write_batches(stream_files(spark, path, "id BIGINT"), write, out + "-c")
+        lambda: sinks.write_batches(stream_files(spark, path, "id BIGINT"), write, out + "-c"), delay=2
     )
+    assert time.time() - begun > 2
     assert failures == [0] and spark.read.parquet(out).count() == 6
 
 
@@ -235,7 +237,8 @@ NULLS = [
     (state.BaselineJump(3), "Append", [("c", "a", 0, 5), ("c", "b", 5, BIG), ("c", "d", BIG, 6)]),
     (state.TopTransactions(2), "Update", [("c", 1, "b", BIG), ("c", 2, "d", 6)]),
     (state.TopProducts(2), "Update", [("c", 1, "b", BIG), ("c", 2, "d", 6)]),
-    (state.RisingAmount(1), "Append", [("c", 1, SECOND + 1)]),
+    # the row after a deadline fires it and, as a rise, sets the next; the null at 3 s cancels nothing
+    (state.RisingAmount(1), "Append", [("c", 1, SECOND + 1), ("c", 2 * SECOND, 3 * SECOND)]),
 ])
 def test_text_keys_whole_amounts_and_nulls(spark, tmp_path, processor, mode, want):
     path, out, schema = str(tmp_path / "in"), str(tmp_path / "out"), "key string, id string, at bigint, x bigint"
