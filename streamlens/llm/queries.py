@@ -81,7 +81,45 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_ngram_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS gram
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS grams FROM g GROUP BY doc_id),
+overlap AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+  FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT a, b FROM overlap JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+  WHERE 5 * shared >= 4 * (p.grams + q.grams - shared)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.other),
+class AS (SELECT doc_id, min(other) AS class_id FROM reach GROUP BY doc_id),
+links AS (SELECT a AS doc_id, count(*) AS n_links FROM link GROUP BY a)
+SELECT d.doc_id, class_id, coalesce(n_links, 0) AS n_links, coalesce(grams, 0) AS n_ngrams
+FROM documents d JOIN class USING (doc_id) LEFT JOIN links USING (doc_id) LEFT JOIN n USING (doc_id)
+""",
+    "op10_substring_dedup": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+x AS (
+  SELECT doc_id, i, array_to_string(ws[i : i + 12], ' ') AS win
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+hit AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY win) AS holder FROM x) WHERE holder < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM hit),
+word AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+kept AS (
+  SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY i) AS text
+  FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+""",
+}
 
 
 def queries() -> dict[str, Query]:
