@@ -1,4 +1,7 @@
-"""Patterns over the event sequence of each key, found by looking at neighbours in that sequence."""
+"""Patterns over the event sequence of each key, found by looking at neighbours in that sequence.
+
+``key`` is a column or several; without one (``None`` or ``[]``) all rows are one sequence.
+"""
 
 from __future__ import annotations
 
@@ -24,11 +27,15 @@ def chained(*steps: tuple[str, Column]) -> Column:
     return result
 
 
-def _with_next(df: DataFrame, key: str, order: Sequence[str], following: Column,
+def _keys(key: str | Sequence[str] | None) -> list[str]:
+    return [key] if isinstance(key, str) else list(key or [])
+
+
+def _with_next(df: DataFrame, key: str | Sequence[str] | None, order: Sequence[str], following: Column,
                event: Sequence[str], max_rows: int) -> Ordered:
     """Each row with the one directly after it, and whether that one fulfils ``following``."""
     return nearby(
-        cut(df, [key], order, max_rows),
+        cut(df, _keys(key), order, max_rows),
         {
             "_next": lambda w: F.lead(F.struct(*event)).over(w),
             "_follows": lambda w: F.lead(F.coalesce(following, F.lit(False)), 1, False).over(w),
@@ -37,7 +44,7 @@ def _with_next(df: DataFrame, key: str, order: Sequence[str], following: Column,
     )
 
 
-def _times(starts: Ordered, key: str, times: int, event: Sequence[str]) -> DataFrame:
+def _times(starts: Ordered, key: str | Sequence[str] | None, times: int, event: Sequence[str]) -> DataFrame:
     """Matches from the start rows, which alone are looked at: the last is ``times - 1`` further."""
     found = nearby(
         starts,
@@ -49,11 +56,11 @@ def _times(starts: Ordered, key: str, times: int, event: Sequence[str]) -> DataF
         after=times - 1,
     ).result()
     return found.where("_f").select(
-        key, F.struct(*event).alias("first"), F.col("_last").alias("last"), F.col("_n").alias("next")
+        *_keys(key), F.struct(*event).alias("first"), F.col("_last").alias("last"), F.col("_n").alias("next")
     )
 
 
-def times_next(df: DataFrame, key: str, order: Sequence[str], start: Column, following: Column,
+def times_next(df: DataFrame, key: str | Sequence[str] | None, order: Sequence[str], start: Column, following: Column,
                times: int, event: Sequence[str], max_rows: int = MAX_ROWS) -> DataFrame:
     """``times`` rows fulfilling ``start`` with anything between, then ``following`` directly after.
 
@@ -64,7 +71,7 @@ def times_next(df: DataFrame, key: str, order: Sequence[str], start: Column, fol
     return _times(starts, key, times, event)
 
 
-def times_range_next(df: DataFrame, key: str, order: Sequence[str], start: Column,
+def times_range_next(df: DataFrame, key: str | Sequence[str] | None, order: Sequence[str], start: Column,
                      following: Column, least: int, most: int, event: Sequence[str],
                      max_rows: int = MAX_ROWS) -> DataFrame:
     """Matches of ``times_next`` for each count from ``least`` to ``most``, with the count."""
@@ -81,12 +88,12 @@ def within(matches: DataFrame, ts: str, interval: str) -> DataFrame:
     )
 
 
-def select_first(matches: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+def select_first(matches: DataFrame, key: str | Sequence[str] | None, columns: Sequence[str]) -> DataFrame:
     """The result function: columns of the first event of each match."""
-    return matches.select(key, *[F.col(f"first.{c}").alias(c) for c in columns])
+    return matches.select(*_keys(key), *[F.col(f"first.{c}").alias(c) for c in columns])
 
 
-def one_or_more_until(df: DataFrame, key: str, order: Sequence[str], loop: Column, until: Column,
+def one_or_more_until(df: DataFrame, key: str | Sequence[str] | None, order: Sequence[str], loop: Column, until: Column,
                       out: str = "matches", max_rows: int = MAX_ROWS) -> DataFrame:
     """Loops over ``loop`` rows which end before the next ``until`` row of the key.
 
@@ -96,7 +103,7 @@ def one_or_more_until(df: DataFrame, key: str, order: Sequence[str], loop: Colum
     """
     stop = F.coalesce(until, F.lit(False))
     accepted = F.coalesce(loop, F.lit(False)) & ~stop
-    o = cut(df.withColumns({"_in": accepted, "_stop": stop}), [key], order, max_rows)
+    o = cut(df.withColumns({"_in": accepted, "_stop": stop}), _keys(key), order, max_rows)
     o = running(o, {"stretch": ("sum", F.col("_stop").cast("int")),
                     "_seen": ("sum", F.col("_in").cast("int"))})
     o = running(
@@ -111,9 +118,9 @@ def one_or_more_until(df: DataFrame, key: str, order: Sequence[str], loop: Colum
     )
 
 
-def longest_loops(matches: DataFrame, key: str, order: Sequence[str], out: str = "matches") -> DataFrame:
+def longest_loops(matches: DataFrame, key: str | Sequence[str] | None, order: Sequence[str], out: str = "matches") -> DataFrame:
     """Skip past the last event: per stretch only the loop which starts first, with its length."""
-    first = F.min_by(F.struct(*[c for c in matches.columns if c not in (key, "stretch")]),
+    first = F.min_by(F.struct(*[c for c in matches.columns if c not in (*_keys(key), "stretch")]),
                      F.struct(*order))
-    return matches.groupBy(key, "stretch").agg(first.alias("_m")).select(key, "stretch", "_m.*") \
+    return matches.groupBy(*_keys(key), "stretch").agg(first.alias("_m")).select(*_keys(key), "stretch", "_m.*") \
         .withColumnRenamed(out, "length")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,9 +48,15 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, start: str | int =
     return raw.select(F.col("value").cast("string").alias("value"), "timestamp")
 
 
-def kafka_records(df: DataFrame, ts: str | None = None, key: str | None = None) -> DataFrame:
-    """Rows in the shape the Kafka sink takes: JSON ``value``, optional ``key`` and ``timestamp``."""
-    columns = [F.to_json(F.struct(*df.columns)).alias("value")]
+def kafka_records(df: DataFrame, ts: str | None = None, key: str | None = None,
+                  dedup: Sequence[str] = ()) -> DataFrame:
+    """Rows in the shape the Kafka sink takes: JSON ``value``, optional ``key`` and ``timestamp``.
+
+    The sink may write a record twice after a failure. ``dedup`` names columns that tell rows apart;
+    their digest is added to the value as ``dedup_id``, and ``once`` drops the repeats on reading.
+    """
+    mark = [F.sha2(F.to_json(F.struct(*dedup), {"ignoreNullFields": "false"}), 256).alias("dedup_id")] if dedup else []
+    columns = [F.to_json(F.struct(*df.columns, *mark)).alias("value")]
     if key:
         columns.append(F.col(key).cast("string").alias("key"))
     if ts:
@@ -56,6 +64,20 @@ def kafka_records(df: DataFrame, ts: str | None = None, key: str | None = None)
     return df.select(*columns)
 
 
+def once(records: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """Records of a topic written with ``dedup``, each once; ``dedup_id`` is kept.
+
+    On a stream a repeat is known for ``delay`` of the broker's time, which bounds the state; it has
+    to exceed the time a failed job takes to come back. A record without an id is never a repeat.
+    """
+    read = records.withColumn("dedup_id", F.get_json_object("value", "$.dedup_id"))
+    marked = read.where("dedup_id IS NOT NULL")
+    if records.isStreaming:
+        marked = marked.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(["dedup_id"])
+        return marked.unionByName(read.where("dedup_id IS NULL").withWatermark("timestamp", delay))
+    return marked.dropDuplicates(["dedup_id"]).unionByName(read.where("dedup_id IS NULL"))
+
+
 def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:
     """Durable writes: all replicas confirm, retries do not reorder or repeat within a session."""
     return {
@@ -121,6 +143,26 @@ def write_jdbc(df: DataFrame, url: str, table: str, batch_size: int = 10_000, **
     )
 
 
+def forget_batch(table: str, batch_id: int, column: str = "batch_id") -> str:
+    """The statement that removes what an earlier attempt at a batch wrote."""
+    return f"DELETE FROM {table} WHERE {column} = {int(batch_id)}"
+
+
+def jdbc_batches(url: str, table: str, execute: Callable[[str], None], column: str = "batch_id",
+                 **more) -> Callable[[DataFrame, int], None]:
+    """Writer for ``sinks.write_batches`` into a table which has ``column`` for the batch id.
+
+    ``execute`` runs and commits one statement on the database. A batch first removes the rows of its
+    id, so one that comes again after a failure replaces what it wrote.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        execute(forget_batch(table, batch_id, column))
+        write_jdbc(batch.withColumn(column, F.lit(batch_id).cast("long")), url, table, **more)
+
+    return write
+
+
 def lookup_dimension(df: DataFrame, dim: DataFrame, key: str, dim_key: str, values: list[str],
                      out: str = "label", separator: str = " -love- ") -> DataFrame:
     """Add the joined ``values`` of a dimension row, null parts left out.

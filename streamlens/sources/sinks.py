@@ -105,6 +105,28 @@ def batch_files(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def route_writers(writers: dict[str, Callable[[DataFrame, int], None]],
+                  route: str = "route") -> Callable[[DataFrame, int], None]:
+    """Writer for ``write_batches``: each route of ``transform.split_route`` to its own writer.
+
+    The batch is stored once and read by all writers. A row whose route has no writer fails the
+    batch before anything is written, so that none is lost.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            unknown = batch.where(F.col(route).isNull() | ~F.col(route).isin(*writers)).select(route).first()
+            if unknown is not None:
+                raise ValueError(f"no writer for route {unknown[0]!r}")
+            for name, target in writers.items():
+                target(batch.where(F.col(route) == name).drop(route), batch_id)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
 def console(df: DataFrame, label: str, checkpoint: str | None = None, **trigger) -> StreamingQuery:
     """Print each micro-batch, every row marked with ``label``."""
     writer = df.select(F.lit(label).alias("label"), "*").writeStream.format("console")

@@ -137,3 +137,41 @@ def test_overwrite_keeps_format_types_and_partitions(spark):
     assert told["Provider"].lower() == "orc"
     assert [r[0] for r in spark.sql("SHOW PARTITIONS shaped").orderBy("partition").collect()] == ["part=x", "part=z"]
     spark.sql("DROP TABLE shaped")
+
+
+def test_repeated_records_are_read_once(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, None, "a"), (3, "a", None)], "id int, x string, y string")
+    sent = connectors.kafka_records(df, dedup=["x", "y"])
+    assert connectors.once(sent.unionByName(sent)).count() == 2  # rows 1 and 3 have the same id by choice
+    whole = connectors.kafka_records(df, dedup=["id"])
+    plain = connectors.kafka_records(df)
+    assert connectors.once(whole.unionByName(whole)).count() == 3
+    assert connectors.once(plain.unionByName(plain)).count() == 6
+
+
+def test_jdbc_batches_replace_their_own_rows(spark, monkeypatch):
+    table = []  # stands for the database: rows with the id of their batch
+    monkeypatch.setattr(connectors, "write_jdbc", lambda df, url, name, **more: table.extend(tuple(r) for r in df.collect()))
+
+    def execute(statement):
+        batch = int(statement.removeprefix("DELETE FROM t WHERE batch_id = "))
+        table[:] = [r for r in table if r[-1] != batch]
+
+    write = connectors.jdbc_batches("jdbc:x", "t", execute)
+    write(numbers(spark, 1, 3), 0)
+    write(numbers(spark, 1, 2), 1)
+    write(numbers(spark, 1, 2), 1)
+    assert sorted(r[-1] for r in table) == [0, 0, 0, 1, 1]
+
+
+def test_routes_have_their_own_writers(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "id int, route string")
+    targets = {k: sinks.batch_files(str(tmp_path / k)) for k in "ab"}
+    write = sinks.route_writers(targets)
+    for _ in range(2):  # a repeated batch replaces what it wrote
+        write(df, 0)
+    read = {k: sorted(r.id for r in spark.read.parquet(str(tmp_path / k)).collect()) for k in "ab"}
+    assert read == {"a": [1, 3], "b": [2]}
+    with pytest.raises(ValueError, match="no writer"):
+        sinks.route_writers({"a": targets["a"]})(df, 1)
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 2

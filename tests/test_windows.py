@@ -156,6 +156,18 @@ def test_times_in_chunks(spark):
     assert matches(spark, text, times=3, max_rows=17) == matches(spark, text, times=3)
 
 
+@pytest.mark.parametrize("max_rows", [1_000_000, 7])
+def test_patterns_without_a_key(spark, max_rows):
+    df = seq(spark, "AxABAABxAxAB")
+    condition = (F.col("e") == "A", F.col("e") == "B")
+    keyed = patterns.times_next(df, "k", ["ts", "i"], *condition, 2, ["i", "ts"], max_rows)
+    free = patterns.times_next(df, None, ["ts", "i"], *condition, 2, ["i", "ts"], max_rows)
+    assert free.columns == ["first", "last", "next"]
+    assert sorted(r.first.i for r in free.collect()) == sorted(r.first.i for r in keyed.collect()) != []
+    loops = patterns.one_or_more_until(df, None, ["ts", "i"], *condition, max_rows=max_rows)
+    assert patterns.longest_loops(loops, None, ["ts", "i"]).count() == 3
+
+
 def test_within_is_strict(spark):
     found = patterns.times_next(
         seq(spark, "AAB"), "k", ["ts", "i"], F.col("e") == "A", F.col("e") == "B", 2, ["i", "ts"]
