@@ -357,6 +357,32 @@ def rising_amount_alert_stream(spark, folder):
     )
 
 
+# ---- patterns
+
+
+def live_matches(spark, folder, seconds=None):
+    """Two views, then a purchase directly after the second."""
+    rows = events(spark, folder).select(
+        F.col("user_id").alias("key"), F.col("event_id").alias("id"), F.unix_micros("ts").alias("at"),
+        (F.col("event_type") == "view").alias("start"), (F.col("event_type") == "purchase").alias("follows"),
+    )
+    out = replay(state.keyed(rows, state.TimesNext(2, seconds)), "pattern")
+    return out.select(F.col("key").alias("user_id"), "first_id", "last_id", "next_id")
+
+
+@query(f"SELECT user_id, first_id, last_id, next_id FROM ({risk.times_sql(2)})")
+def pattern_times_next_stream(spark, folder):
+    return live_matches(spark, folder)
+
+
+@query(f"""
+SELECT user_id, first_id, last_id, next_id FROM ({risk.times_sql(2)})
+WHERE next_ts - first_ts < INTERVAL '2 days'
+""")
+def pattern_within_stream(spark, folder):
+    return live_matches(spark, folder, 2 * 86_400)
+
+
 # ---- monitoring and late data
 
 

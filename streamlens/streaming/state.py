@@ -133,6 +133,40 @@ class CountWindow(Typed):
         self.open.update((no, n, total))
 
 
+class TimesNext(Typed):
+    """``times`` start rows with anything between, then a following row directly after the last of them.
+
+    Rows: key, id, at (µs), start, follows. ``seconds`` bounds the time from the first row to the following one,
+    itself not included. State is the last ``times`` start rows; every start row may open a match.
+    """
+
+    SCHEMA = "key {key}, first_id {id}, last_id {id}, next_id {id}, first_us BIGINT, next_us BIGINT"
+
+    def __init__(self, times: int, seconds: float | None = None):
+        self.times = times
+        self.span = None if seconds is None else int(seconds * MICROS)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.starts = handle.getListState("starts", self.typed("id {id}, at BIGINT"))
+        self.fresh = handle.getValueState("fresh", "fresh BOOLEAN")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        starts = [(r[0], r[1]) for r in self.starts.get()]
+        stored = self.fresh.get()
+        fresh = bool(stored[0]) if stored else False  # whether the row before was a start row
+        for r in _in_order(rows):
+            if r["follows"] and fresh and len(starts) == self.times:
+                (first, since), (last, _) = starts[0], starts[-1]
+                if self.span is None or r["at"] < since + self.span:
+                    yield Row(key=key[0], first_id=first, last_id=last, next_id=r["id"], first_us=since, next_us=r["at"])
+            fresh = bool(r["start"])
+            if fresh:
+                starts = [*starts, (r["id"], r["at"])][-self.times:]
+        if starts:
+            self.starts.put(starts)
+        self.fresh.update((fresh,))
+
+
 class TopTransactions(Typed):
     """The largest amounts per client in a list state, written again whenever a batch arrives.
 

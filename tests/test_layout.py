@@ -12,7 +12,8 @@ from test_entry import TABLES, normal
 
 STREAMS = (
     "tumbling_count_stream count_window_stream baseline_jump_stream rising_amount_alert_stream window_join_stream "
-    "windowed_uv_stream keep_first_by_key_stream sliding_count_stream hot_pages_stream large_transaction_monitor_stream"
+    "windowed_uv_stream keep_first_by_key_stream sliding_count_stream hot_pages_stream large_transaction_monitor_stream "
+    "pattern_times_next_stream pattern_within_stream"
 ).split()
 
 
