@@ -9,6 +9,7 @@ import re
 import sys
 import zlib
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
@@ -414,3 +415,13 @@ def test_pipeline_stages_on_odd_rows(spark, stage):
 def test_registration():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in Q) == list(range(1, 11))
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_sql_gives_the_same_rows(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_SMALL}/documents.parquet'")
+    want = con.execute(queries.oracle_sql()[name])
+    names = [c[0] for c in want.description]
+    got = queries.queries()[name](spark, SF_SMALL).select(*names)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want.fetchall())
