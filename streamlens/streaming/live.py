@@ -34,20 +34,23 @@ def _folder(path: str, batch_id: int) -> str:
 def route_late(path: str, ts: str, arrival: Sequence[str], size: str, delay: str, lateness: str):
     """Batch writer: rows with their late class, exact across micro-batches.
 
-    The largest event time so far is one row per batch under ``clock``; a repeated batch reads
-    only those of earlier batches and so gives the same result again.
+    The largest event time so far is one row per batch under ``clock``, carried on from the batch before,
+    of which a batch reads that one row; a repeated batch reads it again and so gives the same result.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            route(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def route(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        clock = None
         if batch_id > 0:
-            clock = (
-                spark.read.schema("seen TIMESTAMP_NTZ, batch BIGINT").parquet(f"{path}/clock")
-                .where(F.col("batch") < batch_id).agg(F.max("seen").cast("string").alias("seen"))
-                .first().seen
-            )
-        else:
-            clock = None
+            before = spark.read.schema("seen TIMESTAMP_NTZ").parquet(_folder(f"{path}/clock", batch_id - 1))
+            clock = before.select(F.col("seen").cast("string")).first().seen
         rows = batch.withColumn("_old", F.lit(False))
         if clock is not None:
             # the past as one row which arrived before all others
@@ -64,9 +67,8 @@ def route_late(path: str, ts: str, arrival: Sequence[str], size: str, delay: str
         marked = classify_late(rows, ts, order, size, delay, lateness)
         out = marked.where(~F.col("_old")).drop("_old", "_new")
         out.write.mode("overwrite").parquet(_folder(f"{path}/rows", batch_id))
-        batch.agg(F.max(ts).alias("seen")).write.mode("overwrite").parquet(
-            _folder(f"{path}/clock", batch_id)
-        )
+        seen = F.greatest(F.max(ts), F.lit(clock).cast("timestamp_ntz"))
+        batch.agg(seen.alias("seen")).write.mode("overwrite").parquet(_folder(f"{path}/clock", batch_id))
 
     return write
 
