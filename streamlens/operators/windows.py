@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from streamlens.functions.scalar import to_epoch_millis
 from streamlens.operators.ordered import MAX_ROWS, cut, nearby, running
 from streamlens.operators.ranking import top_n
+from streamlens.session import pin
 
 
 def windowed(df: DataFrame, ts: str, size: str, aggs: dict[str, Column],
@@ -115,10 +116,11 @@ def windowed_pv(df: DataFrame, ts: str, size: str = "1 hour") -> DataFrame:
 def cumulative_pv(df: DataFrame, ts: str, size: str = "1 hour") -> DataFrame:
     """Page views up to the end of each window.
 
-    The running sum is over one row per window: its size is time span / window size.
+    The running sum is over one row per window; many windows are cut into chunks.
     """
-    upto = Window.orderBy("window_start").rowsBetween(Window.unboundedPreceding, 0)
-    return windowed_pv(df, ts, size).withColumn("pv", F.sum("pv").over(upto))
+    counts = pin(windowed_pv(df, ts, size), "window-counts")
+    o = cut(counts.withColumnRenamed("pv", "_pv"), [], ["window_start"])
+    return running(o, {"pv": ("sum", F.col("_pv"))}).result().select(*counts.columns)
 
 
 def windowed_uv(df: DataFrame, ts: str, user: str, size: str = "1 hour") -> DataFrame:
