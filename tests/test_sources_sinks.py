@@ -175,3 +175,15 @@ def test_routes_have_their_own_writers(spark, tmp_path):
     with pytest.raises(ValueError, match="no writer"):
         sinks.route_writers({"a": targets["a"]})(df, 1)
     assert spark.read.parquet(str(tmp_path / "a")).count() == 2
+
+
+def test_repeated_records_of_a_stream(spark, tmp_path):
+    df = spark.sql("SELECT id, TIMESTAMP'2024-01-01' AS ts FROM range(3)")
+    sent = connectors.kafka_records(df, ts="ts", dedup=["id"])
+    plain = connectors.kafka_records(df, ts="ts")
+    sent.unionByName(sent).unionByName(plain).unionByName(plain).coalesce(1).write.parquet(str(tmp_path / "in"))
+    sent.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = files.stream_files(spark, str(tmp_path / "in"), "value STRING, timestamp TIMESTAMP", maxFilesPerTrigger="1")
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    sinks.write_exactly_once(connectors.once(stream), out, checkpoint).awaitTermination()
+    assert spark.read.parquet(out).count() == 9  # three once, three without an id twice
