@@ -1,11 +1,12 @@
 """Benchmark passages in documents: edit distance by a random walk into Hamming space, bit sampling, exact check.
 
 Words are compared: A-Z (and Latin-1 capitals) in lower case, other ASCII signs than letters and digits are blanks.
-From each word of a document, and from many words of each item, a random walk of ``STEPS`` steps is taken: at step j
-it shows the word it stands on and moves on if bit j of that word's number is set. After an edit the two walks
-soon run together again, so a small edit distance becomes a small Hamming distance. Each of ``TABLES`` hashes reads
-``SAMPLED`` steps of a walk; a window of the item's size around each agreement is then compared with the item by the
-exact word edit distance (bit-parallel, best end in the window). A hit has at most ``EDITS`` edits per word of the item.
+From each word of a document, and from many words of each item, a random walk is taken: at step j it shows the word
+it stands on and moves on if bit j of that word's number is set. After an edit the two walks soon run together again,
+so a small edit distance becomes a small Hamming distance. Each table reads some steps of a walk, a long or a short
+one; both serve items of every size, as few samples of a long walk fit into an item of 16 to 24 words. A window of the
+item's size around each agreement is then compared with the item by the exact word edit distance (bit-parallel, best
+end in the window). A hit has at most ``EDITS`` edits per word of the item.
 
 The benchmark is collected in slices of at most ``ITEMS`` items, each slice a pass over the documents, so what a task
 holds is bounded whatever the benchmark holds. Items of fewer than ``LEAST_WORDS`` words, null items included, are too
@@ -108,7 +109,7 @@ def build(keys: list, texts: list[str | None]) -> Index:
     for walk in (LONG, SHORT):
         rows: list[list[tuple[int, int, int]]] = [[] for _ in walk.tables]
         for i, item in enumerate(own):
-            if len(item) < LEAST_WORDS or (walk is SHORT and len(item) >= 16):
+            if len(item) < LEAST_WORDS:
                 continue
             read, last = walk_hashes(item, walk)
             for k in range(len(walk.tables)):

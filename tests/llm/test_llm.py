@@ -168,6 +168,20 @@ def test_benchmark_recall_and_exactness(spark, docs, texts):
     assert exact <= got
 
 
+def edited_copies(n, rng, vocabulary, times):
+    """Items of n words, and documents that hold each with as many edits as are allowed."""
+    items = [rng.choices(vocabulary, k=n) for _ in range(times)]
+    made = [rng.choices(vocabulary, k=30) + edited(i, 0.2, rng, vocabulary) + rng.choices(vocabulary, k=30) for i in items]
+    return [" ".join(i) for i in items], [" ".join(m) for m in made]
+
+
+@pytest.mark.parametrize("n", [12, 15, 16, 17, 18, 20, 22, 24, 28, 32, 48, 64])
+def test_benchmark_recall_of_each_length(n):
+    items, made = edited_copies(n, random.Random(n), [f"w{k}" for k in range(5000)], 300)
+    found = {(h.row, h.item) for h in decontaminate.search(pa.array(made), decontaminate.build(list(range(len(items))), items), Hasher(13), 0.2)}
+    assert sum((k, k) in found for k in range(len(items))) >= 0.99 * len(items)
+
+
 def test_benchmark_odd_rows(odd, none, spark):
     items = spark.createDataFrame([(1, "three four five six"), (2, None), (3, "six"), (4, "no such words in any of them")], "item_id long, text string")
     got = {(r.doc_id, r.item_id, r.distance) for r in decontaminate.hits(odd, items).collect()}
