@@ -1,6 +1,7 @@
 """Benchmark passages in documents: edit distance by a random walk into Hamming space, bit sampling, exact check.
 
 Words are compared: A-Z (and Latin-1 capitals) in lower case, other ASCII signs than letters and digits are blanks.
+In scripts that are written without blanks (Chinese, Japanese, Thai and others, ``LETTERS``) each letter is a word.
 From each word of a document, and from many words of each item, a random walk is taken: at step j it shows the word
 it stands on and moves on if bit j of that word's number is set. After an edit the two walks soon run together again,
 so a small edit distance becomes a small Hamming distance. Each table reads some steps of a walk, a long or a short
@@ -8,6 +9,9 @@ one; both serve items of every size, as few samples of a long walk fit into an i
 item's size around each agreement is then compared with the item by the exact word edit distance (bit-parallel, best
 end in the window). A hit has at most ``EDITS`` edits per word of the item.
 
+Items of fewer than ``SHORT_ITEM`` words are too short for many samples. They are also cut into one part more than edits
+are allowed; a hit leaves one part as it is, so looking up runs of the parts' sizes misses none.
+
 The benchmark is collected in slices of at most ``ITEMS`` items, each slice a pass over the documents, so what a task
 holds is bounded whatever the benchmark holds. Items of fewer than ``LEAST_WORDS`` words, null items included, are too
 common to be searched; null and empty documents have no hits. Repeated rows give repeated decisions.
@@ -23,11 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamlens.llm.words import Hasher, Words, mix, pieces, split
+from streamlens.llm.words import Hasher, Words, pieces, split, window_hash
 
 ITEMS = 5_000
 EDITS = 0.2
-LEAST_WORDS = 4
+LEAST_WORDS = 2
+SHORT_ITEM = 16
 PIECE = 1 << 19
 
 
@@ -45,6 +50,13 @@ def tables(steps: int, count: int, sampled: int, seed: int) -> Walk:
 
 LONG = tables(24, 16, 6, 1)
 SHORT = tables(10, 8, 5, 2)
+#: Ranges of letters of scripts without blanks, and of their signs, which are blanks (first and last code point).
+LETTERS = (
+    (0x0E00, 0x0EFF), (0x0F00, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x3005, 0x3007), (0x3021, 0x3029),
+    (0x3031, 0x3035), (0x3038, 0x30FA), (0x30FC, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x9FFF), (0xA9E0, 0xA9FF),
+    (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF),
+)
+SIGNS = ((0x3000, 0x3003), (0x3008, 0x3020), (0x3030, 0x3030), (0x3036, 0x3037), (0x30FB, 0x30FB), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65))
 _PLAIN = np.array([b if b >= 128 or chr(b).isalnum() else 32 for b in range(256)], np.uint8)
 
 
@@ -55,8 +67,32 @@ def plain_words(texts: pa.Array) -> Words:
     capital = np.zeros(len(data), bool)
     capital[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
     data[capital] += 0x20
+    begin, end = _letters(data)
     offsets = words.offsets.astype(np.int64)
-    return split(pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())))
+    plain = split(pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())))
+    if not len(begin):
+        return plain
+    cut = np.union1d(begin, end)
+    at = np.searchsorted(plain.start, cut, "left") - 1
+    cut = cut[(at >= 0) & (cut < plain.end[np.maximum(at, 0)])]
+    start = np.sort(np.concatenate((plain.start, cut)))
+    return Words(plain.data, plain.offsets, start, np.sort(np.concatenate((plain.end, cut))), np.searchsorted(start, plain.offsets))
+
+
+def _letters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the letters of ``LETTERS`` begin and end in UTF-8 bytes; ``SIGNS`` become blanks."""
+    begins, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for low, high, size in ((0xE0, 0xEF, 3), (0xF0, 0xF4, 4)):
+        at = np.flatnonzero((data >= low) & (data <= high))
+        code = data[at].astype(np.int64) - low
+        for k in range(1, size):
+            code = code << 6 | (data[at + k] & 0x3F)
+        letter, sign = ((np.logical_or.reduce([(code >= a) & (code <= b) for a, b in ranges])) for ranges in (LETTERS, SIGNS))
+        begins.append(at[letter])
+        ends.append(at[letter] + size)
+        for k in range(size):
+            data[at[sign] + k] = 32
+    return np.concatenate(begins), np.concatenate(ends)
 
 
 def walk_hashes(numbers: np.ndarray, walk: Walk) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -88,13 +124,29 @@ class Table(NamedTuple):
 
 
 class Index(NamedTuple):
+    """``parts``: for each size of parts of short items the table of their numbers."""
+
     key: list
     words: list[np.ndarray]
     masks: list[dict[int, int]]
     tables: list[tuple[Walk, list[Table]]]
+    parts: list[tuple[int, Table]]
+
+
+def table(rows: list[tuple[int, int, int]]) -> Table:
+    rows.sort()
+    number = np.array([x[0] for x in rows], np.uint64)
+    bitmap = np.zeros(1 << 20, bool)
+    bitmap[(number >> np.uint64(44)).astype(np.int64)] = True
+    return Table(number, np.array([x[1] for x in rows], np.int64), np.array([x[2] for x in rows], np.int64), bitmap)
 
 
-def build(keys: list, texts: list[str | None]) -> Index:
+def runs_of(numbers: np.ndarray, size: int) -> np.ndarray:
+    """Numbers of all runs of ``size`` words."""
+    return window_hash(numbers, np.array([0, len(numbers)]), size)[0]
+
+
+def build(keys: list, texts: list[str | None], edits: float = EDITS) -> Index:
     hasher = Hasher(13)
     words = plain_words(pa.array(texts, pa.string()))
     numbers = hasher(words.data, words.start, words.end)
@@ -115,29 +167,36 @@ def build(keys: list, texts: list[str | None]) -> Index:
             for k in range(len(walk.tables)):
                 for o in np.flatnonzero(last[k] < len(item)).tolist():
                     rows[k].append((int(read[k][o]), i, o))
-        made = []
-        for r in rows:
-            r.sort()
-            number = np.array([x[0] for x in r], np.uint64)
-            bitmap = np.zeros(1 << 20, bool)
-            bitmap[(number >> np.uint64(44)).astype(np.int64)] = True
-            made.append(Table(number, np.array([x[1] for x in r], np.int64), np.array([x[2] for x in r], np.int64), bitmap))
+        made = [table(r) for r in rows]
         if any(len(m.number) for m in made):
             found.append((walk, made))
-    return Index(keys, own, masks, found)
+    parts: dict[int, list[tuple[int, int, int]]] = {}
+    for i, item in enumerate(own):
+        n = len(item)
+        if LEAST_WORDS <= n < SHORT_ITEM:
+            count = min(int(edits * n) + 1, n)
+            for a, b in ((n * k // count, n * (k + 1) // count) for k in range(count)):
+                parts.setdefault(b - a, []).append((int(runs_of(item[a:b], b - a)[0]), i, a))
+    return Index(keys, own, masks, found, [(size, table(rows)) for size, rows in parts.items()])
 
 
 def candidates(numbers: np.ndarray, index: Index) -> set[tuple[int, int]]:
     """(item, place of its first word) for each agreement of a table."""
     out: set[tuple[int, int]] = set()
+
+    def agree(number: np.ndarray, known: Table) -> None:
+        maybe = np.flatnonzero(known.bitmap[(number >> np.uint64(44)).astype(np.int64)])
+        lo = np.searchsorted(known.number, number[maybe], "left")
+        hi = np.searchsorted(known.number, number[maybe], "right")
+        for p, a, b in zip(maybe[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist(), strict=True):
+            out.update((i, p - o) for i, o in zip(known.item[a:b].tolist(), known.offset[a:b].tolist(), strict=True))
+
     for walk, made in index.tables:
         read, _ = walk_hashes(numbers, walk)
-        for number, table in zip(read, made, strict=True):
-            maybe = np.flatnonzero(table.bitmap[(number >> np.uint64(44)).astype(np.int64)])
-            lo = np.searchsorted(table.number, number[maybe], "left")
-            hi = np.searchsorted(table.number, number[maybe], "right")
-            for p, a, b in zip(maybe[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist(), strict=True):
-                out.update((i, p - o) for i, o in zip(table.item[a:b].tolist(), table.offset[a:b].tolist(), strict=True))
+        for number, known in zip(read, made, strict=True):
+            agree(number, known)
+    for size, known in index.parts:
+        agree(runs_of(numbers, size), known)
     return out
 
 
@@ -196,12 +255,12 @@ def search(texts: pa.Array, index: Index, hasher: Hasher, edits: float) -> list[
     return list(found.values())
 
 
-def _slices(benchmark: DataFrame, item: str, text: str) -> Iterator[Index]:
+def _slices(benchmark: DataFrame, item: str, text: str, edits: float) -> Iterator[Index]:
     """The benchmark in slices of about ``ITEMS`` items, told apart by a hash of the text."""
     count = -(-benchmark.count() // ITEMS)
     for k in range(count):
         rows = benchmark.where(F.pmod(F.xxhash64(text), F.lit(count)) == k).select(item, text).collect()
-        yield build([r[0] for r in rows], [r[1] for r in rows])
+        yield build([r[0] for r in rows], [r[1] for r in rows], edits)
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", edits: float = EDITS) -> DataFrame:
@@ -211,7 +270,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, `{item}` {kind}, distance long, similarity double, start_word long, item_words long"
     out = docs.sparkSession.createDataFrame([], schema)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    for index in _slices(benchmark, item, item_text):
+    for index in _slices(benchmark, item, item_text, edits):
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             hasher = Hasher(13)
@@ -236,7 +295,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", edits: float = EDITS) -> DataFrame:
     """``docs`` without those that hold an item of the benchmark."""
-    for index in _slices(benchmark, item, item_text):
+    for index in _slices(benchmark, item, item_text, edits):
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             hasher = Hasher(13)

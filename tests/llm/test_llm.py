@@ -182,6 +182,24 @@ def test_benchmark_recall_of_each_length(n):
     assert sum((k, k) in found for k in range(len(items))) >= 0.99 * len(items)
 
 
+@pytest.mark.parametrize("n", range(2, 16))
+def test_benchmark_finds_all_copies_of_short_items(n):
+    items, made = edited_copies(n, random.Random(n), [f"w{k}" for k in range(5000)], 200)
+    found = {(h.row, h.item) for h in decontaminate.search(pa.array(made), decontaminate.build(list(range(len(items))), items), Hasher(13), 0.2)}
+    assert {(k, k) for k in range(len(items))} <= found
+
+
+def test_benchmark_in_scripts_without_blanks():
+    items = ["光合作用是植物利用光能把二氧化碳和水转化为有机物的过程", "日本の首都は東京です", "กรุงเทพเป็นเมืองหลวงของประเทศไทย", "the answer"]
+    rows = [f"前言。{items[0]}。后记", f"「{items[1]}」と言う", f"ก่อน{items[2]}หลัง", items[0].replace("植物", "动物"), "日本の首都", "Well, the answer: 42", "mixed日本の首都は東京ですtext"]
+    index = decontaminate.build(list(range(4)), items)
+    got = {(h.row, h.item, h.distance) for h in decontaminate.search(pa.array(rows), index, Hasher(13), 0.2)}
+    assert got == {(0, 0, 0), (1, 1, 0), (2, 2, 0), (3, 0, 1), (5, 3, 0), (6, 1, 0)}
+    plain = decontaminate.plain_words(pa.array(["ab日本c 𠀀x", "", "語。é"]))
+    assert [plain.data[a:b].tobytes().decode() for a, b in zip(plain.start, plain.end)] == ["ab", "日", "本", "c", "𠀀", "x", "語", "é"]
+    assert plain.first.tolist() == [0, 6, 6, 8]
+
+
 def test_benchmark_odd_rows(odd, none, spark):
     items = spark.createDataFrame([(1, "three four five six"), (2, None), (3, "six"), (4, "no such words in any of them")], "item_id long, text string")
     got = {(r.doc_id, r.item_id, r.distance) for r in decontaminate.hits(odd, items).collect()}
