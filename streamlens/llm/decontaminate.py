@@ -180,16 +180,17 @@ def build(keys: list, texts: list[str | None], edits: float = EDITS) -> Index:
     return Index(keys, own, masks, found, [(size, table(rows)) for size, rows in parts.items()])
 
 
-def candidates(numbers: np.ndarray, index: Index) -> set[tuple[int, int]]:
-    """(item, place of its first word) for each agreement of a table."""
-    out: set[tuple[int, int]] = set()
+def candidates(numbers: np.ndarray, index: Index, row_of: np.ndarray) -> set[tuple[int, int, int]]:
+    """(row of the agreement, item, place of its first word) for each agreement of a table. The place can lie outside the row."""
+    out: set[tuple[int, int, int]] = set()
 
     def agree(number: np.ndarray, known: Table) -> None:
         maybe = np.flatnonzero(known.bitmap[(number >> np.uint64(44)).astype(np.int64)])
         lo = np.searchsorted(known.number, number[maybe], "left")
         hi = np.searchsorted(known.number, number[maybe], "right")
-        for p, a, b in zip(maybe[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist(), strict=True):
-            out.update((i, p - o) for i, o in zip(known.item[a:b].tolist(), known.offset[a:b].tolist(), strict=True))
+        at = maybe[hi > lo]
+        for p, row, a, b in zip(at.tolist(), row_of[at].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist(), strict=True):
+            out.update((row, i, p - o) for i, o in zip(known.item[a:b].tolist(), known.offset[a:b].tolist(), strict=True))
 
     for walk, made in index.tables:
         read, _ = walk_hashes(numbers, walk)
@@ -234,24 +235,26 @@ def search(texts: pa.Array, index: Index, hasher: Hasher, edits: float) -> list[
     numbers = hasher(words.data, words.start, words.end)
     if not len(numbers):
         return []
+    # A zero after each row stops the walks there, so rows do not depend on those beside them.
     row_of = words.text_of
+    first = words.first + np.arange(len(words.first))
+    apart = np.zeros(first[-1], np.uint64)
+    apart[np.arange(len(numbers)) + row_of] = numbers
     found: dict[tuple[int, int], Hit] = {}
     tried: set[tuple[int, int, int]] = set()
-    for item, place in sorted(candidates(numbers, index)):
+    for row, item, place in sorted(candidates(apart, index, np.repeat(np.arange(len(first) - 1), np.diff(first)))):
         n = len(index.words[item])
         slack = int(edits * n)
-        row = int(row_of[min(max(place, 0), len(row_of) - 1)])
-        for row in {row, int(row_of[min(max(place + n - 1, 0), len(row_of) - 1)])}:
-            begin, end = int(words.first[row]), int(words.first[row + 1])
-            step = max(slack, 1)
-            rough = place // step
-            if (item, row, rough) in tried:
-                continue
-            tried.add((item, row, rough))
-            a, b = max(begin, rough * step - slack), min(end, (rough + 1) * step + n + slack)
-            distance, stop = best_match(index.masks[item], n, numbers[a:b].tolist())
-            if distance <= slack and (known := found.get((row, item))) is None or distance <= slack and distance < known.distance:
-                found[row, item] = Hit(row, item, distance, max(0, a - begin + stop - n))
+        begin, end = int(first[row]), int(first[row + 1]) - 1
+        step = max(slack, 1)
+        rough = (place - begin) // step
+        if (item, row, rough) in tried:
+            continue
+        tried.add((item, row, rough))
+        a, b = max(begin, begin + rough * step - slack), min(end, begin + (rough + 1) * step + n + slack)
+        distance, stop = best_match(index.masks[item], n, apart[a:b].tolist())
+        if distance <= slack and (known := found.get((row, item))) is None or distance <= slack and distance < known.distance:
+            found[row, item] = Hit(row, item, distance, max(0, a - begin + stop - n))
     return list(found.values())
 
 

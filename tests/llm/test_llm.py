@@ -200,6 +200,20 @@ def test_benchmark_in_scripts_without_blanks():
     assert plain.first.tolist() == [0, 6, 6, 8]
 
 
+def test_benchmark_hits_do_not_depend_on_other_rows():
+    rng = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(5000)]
+    items = [rng.choices(vocabulary, k=n) for n in (10, 20, 30, 60, 9)]
+    cut = [i[(s := int(0.2 * len(i))) // 2 : len(i) - (s - s // 2)] for i in items]
+    rows = [t for c in cut for t in (rng.choices(vocabulary, k=40), c, [], rng.choices(vocabulary, k=3))]
+    rows = [" ".join(r) for r in rows]
+    index = decontaminate.build(list(range(len(items))), [" ".join(i) for i in items])
+    together = {(h.row, h.item, h.distance, h.start) for h in decontaminate.search(pa.array(rows), index, Hasher(13), 0.2)}
+    alone = {(k, h.item, h.distance, h.start) for k, r in enumerate(rows) for h in decontaminate.search(pa.array([r]), index, Hasher(13), 0.2)}
+    assert together == alone
+    assert {(4 * k + 1, k, int(0.2 * len(i)), 0) for k, i in enumerate(items)} == together
+
+
 def test_benchmark_odd_rows(odd, none, spark):
     items = spark.createDataFrame([(1, "three four five six"), (2, None), (3, "six"), (4, "no such words in any of them")], "item_id long, text string")
     got = {(r.doc_id, r.item_id, r.distance) for r in decontaminate.hits(odd, items).collect()}
