@@ -4,13 +4,12 @@ Words are compared: A-Z (and Latin-1 capitals) in lower case, other ASCII signs
 In scripts that are written without blanks (Chinese, Japanese, Thai and others, ``LETTERS``) each letter is a word.
 From each word of a document, and from many words of each item, a random walk is taken: at step j it shows the word
 it stands on and moves on if bit j of that word's number is set. After an edit the two walks soon run together again,
-so a small edit distance becomes a small Hamming distance. Each table reads some steps of a walk, a long or a short
-one; both serve items of every size, as few samples of a long walk fit into an item of 16 to 24 words. A window of the
-item's size around each agreement is then compared with the item by the exact word edit distance (bit-parallel, best
-end in the window). A hit has at most ``EDITS`` edits per word of the item.
-
-Items of fewer than ``SHORT_ITEM`` words are too short for many samples. They are also cut into one part more than edits
-are allowed; a hit leaves one part as it is, so looking up runs of the parts' sizes misses none.
+so a small edit distance becomes a small Hamming distance. Each table reads some steps of a walk; items of
+fewer than 16 words have short walks too. Walks can miss a hit, above all of items of up to 24 words. So items are also
+cut into one part more than edits are allowed; a hit leaves one part as it is, and looking up runs of the parts' sizes
+(4 or 5 words in items of 16 and more) misses none. A window of the item's size around each agreement is then compared
+with the item by the exact word edit distance (bit-parallel, best end in the window). A hit has at most ``EDITS`` edits
+per word of the item.
 
 The benchmark is collected in slices of at most ``ITEMS`` items, each slice a pass over the documents, so what a task
 holds is bounded whatever the benchmark holds. Items of fewer than ``LEAST_WORDS`` words, null items included, are too
@@ -32,7 +31,6 @@ from streamlens.llm.words import Hasher, Words, pieces, split, window_hash
 ITEMS = 5_000
 EDITS = 0.2
 LEAST_WORDS = 2
-SHORT_ITEM = 16
 PIECE = 1 << 19
 
 
@@ -124,7 +122,7 @@ class Table(NamedTuple):
 
 
 class Index(NamedTuple):
-    """``parts``: for each size of parts of short items the table of their numbers."""
+    """``parts``: for each size of parts of items the table of their numbers."""
 
     key: list
     words: list[np.ndarray]
@@ -161,7 +159,7 @@ def build(keys: list, texts: list[str | None], edits: float = EDITS) -> Index:
     for walk in (LONG, SHORT):
         rows: list[list[tuple[int, int, int]]] = [[] for _ in walk.tables]
         for i, item in enumerate(own):
-            if len(item) < LEAST_WORDS:
+            if len(item) < LEAST_WORDS or (walk is SHORT and len(item) >= 16):
                 continue
             read, last = walk_hashes(item, walk)
             for k in range(len(walk.tables)):
@@ -173,7 +171,7 @@ def build(keys: list, texts: list[str | None], edits: float = EDITS) -> Index:
     parts: dict[int, list[tuple[int, int, int]]] = {}
     for i, item in enumerate(own):
         n = len(item)
-        if LEAST_WORDS <= n < SHORT_ITEM:
+        if n >= LEAST_WORDS:
             count = min(int(edits * n) + 1, n)
             for a, b in ((n * k // count, n * (k + 1) // count) for k in range(count)):
                 parts.setdefault(b - a, []).append((int(runs_of(item[a:b], b - a)[0]), i, a))
