@@ -28,16 +28,16 @@ TITLE = rf"(?:{'|'.join((*MALE, *FEMALE, *EITHER))})"
 #: In this order: the first that matches at a place wins.
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "secret": r"\b(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64}|xox[abprs]-[A-Za-z0-9-]{10,64})\b",
+    "secret": r"\b(?:[0-9a-f]{32,}|[0-9A-F]{32,}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,})\b",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
-    "phone": r"(?:\+\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
-    "card": r"(?<![\d.-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\d]|[.-]\d)",
+    "phone": r"(?:\+\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d-])",
+    "card": r"(?<![\d.-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{4,5})(?![\d]|[.-]\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "name": rf"(?<!\p{{L}}){TITLE}\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-HINT = rf"[0-9@]|{TITLE}"
+HINT = rf"[0-9@]|{TITLE}|AKIA|gh[pousr]_|sk-|xox[abprs]-|[a-f]{{32}}|[A-F]{{32}}"
 
 _LATIN = "ba be bo da de do fa fe ga ka ke la le li lo ma me mi mo na ne ni no pa pe ra re ri ro sa se si so ta te ti to va ve vi".split()
 _CYRILLIC = "ба бе бо да де до фа га ка ке ла ле ли ло ма ме ми мо на не ни но па пе ра ре ри ро са се си со та те ти то ва ве ви зо".split()

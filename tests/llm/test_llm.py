@@ -322,6 +322,20 @@ def test_pii(spark, odd, none):
     assert pii.replace(none, "k").count() == 0
 
 
+def test_pii_long_secrets_and_other_groups(spark):
+    secrets = ["ab12" * 40, "AB12" * 40, "sk-" + "aB3" * 40, "sk-proj-" + "aB3_" * 30 + "x", "xoxb-" + "1a-" * 40 + "z", "ghp_" + "aB" * 25, "sk-" + "abcde" * 6, "xoxp-" + "abcde" * 4, "abcdef" * 8]
+    found = [*secrets, "499 555 6503", "3782 822463 10005", "3782-822463-10005"]
+    rows = [(i, f"Here {t} ends") for i, t in enumerate(found)]
+    got = {r.doc_id: r for r in pii.replace(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    for i, t in enumerate(found):
+        new = got[i].text[5:-5]
+        assert got[i].n_entities == 1 and new != t and t not in got[i].text and len(new) == len(t)
+        assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", t) or i < len(secrets)
+    phones = spark.createDataFrame([(1, "499 555 6503 or 499-555-6503")], "doc_id long, text string")
+    a = re.match(r"(\d{3}) (\d{3}) (\d{4}) or (\d{3})-(\d{3})-(\d{4})$", pii.replace(phones, "key").first().text)
+    assert a and a.groups()[:3] == a.groups()[3:] != ("499", "555", "6503")
+
+
 def test_pii_surrogates_stay_distinct(spark):
     entities = spark.range(150).select(F.lit("ssn").alias("kind"), F.lpad(F.col("id").cast("string"), 3, "0").alias("canon"))
     got = pii.surrogates(entities, "k").collect()  # 150 of 1000 numbers: many collide at first
