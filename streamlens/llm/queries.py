@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from streamlens.llm import bpe, decontaminate, html_text, lm, ngram_join, pii, quality, rules, shard, substrings
+from streamlens.llm import bpe, decontaminate, html_text, lm, manifest, ngram_join, pii, quality, rules, shard, substrings
 from streamlens.llm.labelled import remainder
 from streamlens.session import prepare
 
@@ -72,12 +74,21 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, folder, "documents")).drop("kept")
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The untrusted copy has the letters A to Z of every third text in lower case."""
+    docs = table(spark, folder, "documents")
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    hit = F.col("doc_id").isNotNull() & (remainder("doc_id", 3) == 0)
+    head = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    changed = F.when(hit, lower).otherwise(F.col("text"))
+    return manifest.manifest(docs, "doc_id", "lang", [*head, F.col("text")], [*head, changed]).drop("lang")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_ngram_join, op3_decontamination, op4_html_text, op5_quality_rules, op6_bpe, op7_pii,
-        op8_lm_score, op9_sharding,
-        op10_substring_dedup,
+        op8_lm_score, op9_sharding, op10_substring_dedup, op12_merkle_manifest,
     )
 }
 
@@ -118,6 +129,60 @@ kept AS (
   FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
 SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)
+""",
+    "op12_merkle_manifest": r"""
+WITH RECURSIVE hit AS (
+  SELECT DISTINCT doc_id, xor(list_reduce(
+    list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+      lambda x: [ascii(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, x: xor(xor(c, x) >> 1, 3988292384::BIGINT * (xor(c, x) & 1))), 4294967295::BIGINT) % 3 = 0 AS hit
+  FROM documents WHERE doc_id IS NOT NULL),
+d AS (
+  SELECT doc_id, lang, CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS body,
+    CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || CASE WHEN hit
+      THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END END AS copy,
+    CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(doc_id::VARCHAR) || ':' || doc_id END
+    || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+    || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END
+    || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(n_chars::VARCHAR) || ':' || n_chars END AS head
+  FROM documents LEFT JOIN hit USING (doc_id)),
+leaf AS (
+  SELECT doc_id, coalesce('1' || lang, '0') AS g, sha256(head || body) AS leaf, sha256(head || copy) AS bad,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, sha256(head || body)) - 1 AS pos
+  FROM d),
+node(g, lvl, i, h, n) AS (
+  SELECT g, 0, pos, leaf, count(*) OVER (PARTITION BY g) FROM leaf
+  UNION ALL
+  SELECT g, lvl + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 7) // 8)
+  FROM node WHERE n > 1 GROUP BY g, lvl, i // 8),
+sub AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS ord, count(*) OVER () AS gs FROM node WHERE n = 1),
+above(lvl, i, h, n) AS (
+  SELECT 0, ord, subroot, gs FROM sub
+  UNION ALL
+  SELECT lvl + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 7) // 8)
+  FROM above WHERE n > 1 GROUP BY lvl, i // 8),
+side AS (
+  SELECT g, lvl, i,
+    coalesce(string_agg(h, '') OVER (PARTITION BY g, lvl, i // 8 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(h, '') OVER (PARTITION BY g, lvl, i // 8 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM (SELECT g, lvl, i, h FROM node WHERE n > 1 UNION ALL SELECT '', lvl, i, h FROM above WHERE n > 1)),
+climb(doc_id, g, pos, lvl, x, proof, up) AS (
+  SELECT doc_id, g, pos, 0, bad, '', 0 FROM leaf
+  UNION ALL
+  SELECT * FROM (
+    SELECT c.doc_id, c.g, c.pos, c.lvl + 1, sha256(l || x || r), proof || l || r, up
+    FROM climb c JOIN side s ON s.g = c.g AND s.lvl = c.lvl AND s.i = c.pos // (8 ** c.lvl)::BIGINT WHERE up = 0
+    UNION ALL
+    SELECT c.doc_id, c.g, c.pos, 0, x, proof, 1
+    FROM climb c JOIN node t ON t.g = c.g AND t.lvl = c.lvl AND t.n = 1 WHERE up = 0
+    UNION ALL
+    SELECT c.doc_id, c.g, c.pos, c.lvl + 1, sha256(l || x || r), proof || l || r, up
+    FROM climb c JOIN sub USING (g) JOIN side s ON s.g = '' AND s.lvl = c.lvl AND s.i = ord // (8 ** c.lvl)::BIGINT WHERE up = 1)),
+done AS (
+  SELECT g, pos, x, proof FROM climb
+  WHERE up = 1 AND lvl = (SELECT max(lvl) FROM above))
+SELECT doc_id, leaf, subroot, root.h AS root, sha256(proof) AS proof_sha256, x AS folded_root, x = root.h AS verified
+FROM leaf JOIN done USING (g, pos) JOIN sub USING (g), (SELECT h FROM above WHERE n = 1) root
 """,
 }
 
