@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm import bpe, decontaminate, html_text, lm, manifest, ngram_join, pii, quality, rules, shard, substrings
+from streamlens.llm import bpe, decontaminate, html_text, lm, manifest, mixing, ngram_join, pii, quality, rules, shard, substrings
 from streamlens.llm.labelled import remainder
 from streamlens.session import prepare
 
@@ -74,6 +74,11 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, folder, "documents")).drop("kept")
 
 
+def op11_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.Mix(table(spark, folder, "documents")).taken()
+    return mixed.withColumnRenamed("key", "doc_id").drop("source")
+
+
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """The untrusted copy has the letters A to Z of every third text in lower case."""
     docs = table(spark, folder, "documents")
@@ -88,7 +93,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_ngram_join, op3_decontamination, op4_html_text, op5_quality_rules, op6_bpe, op7_pii,
-        op8_lm_score, op9_sharding, op10_substring_dedup, op12_merkle_manifest,
+        op8_lm_score, op9_sharding, op10_substring_dedup, op11_mixing, op12_merkle_manifest,
     )
 }
 
