@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm import bpe, decontaminate, html_text, lm, manifest, mixing, ngram_join, pii, quality, rules, shard, substrings
+from streamlens.llm import bpe, decontaminate, divergence, html_text, lm, manifest, mixing, ngram_join, pii, quality, rules, shard, substrings
 from streamlens.llm.labelled import remainder
 from streamlens.session import prepare
 
@@ -89,11 +89,16 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return manifest.manifest(docs, "doc_id", "lang", [*head, F.col("text")], [*head, changed]).drop("lang")
 
 
+def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.Audit(table(spark, folder, "documents")).report()
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_ngram_join, op3_decontamination, op4_html_text, op5_quality_rules, op6_bpe, op7_pii,
         op8_lm_score, op9_sharding, op10_substring_dedup, op11_mixing, op12_merkle_manifest,
+        op13_divergence,
     )
 }
 
@@ -188,6 +193,31 @@ done AS (
   WHERE up = 1 AND lvl = (SELECT max(lvl) FROM above))
 SELECT doc_id, leaf, subroot, root.h AS root, sha256(proof) AS proof_sha256, x AS folded_root, x = root.h AS verified
 FROM leaf JOIN done USING (g, pos) JOIN sub USING (g), (SELECT h FROM above WHERE n = 1) root
+""",
+    "op13_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+t AS (SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*)::HUGEINT AS c FROM t GROUP BY ALL HAVING count(DISTINCT id) >= 3),
+l AS (SELECT lang, count(*)::HUGEINT AS v, sum(c)::HUGEINT AS n FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS c FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(n, 0) AS n FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, source, sum(c)::HUGEINT AS n FROM c GROUP BY ALL) USING (lang, source)),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, 1 + 1000000000 * (coalesce(c.c, 0) + 1) // (g.n + l.v) AS p,
+    1 + 1000000000 * (k.c + 1) // (l.n + l.v) AS q
+  FROM g JOIN l USING (lang) JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+sums AS (
+  SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+  FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+pairs AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(value, 0) AS value
+  FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN sums s ON s.lang = x.lang AND s.source = x.source AND s.item = y.source),
+told AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM p WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value,
+  row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM told) QUALIFY part = 'pair' OR rank <= 200
 """,
 }
 
