@@ -34,6 +34,7 @@ from streamlens.session import pin
 BLOCK = 64
 SHARD = 4096
 TILE = 1024
+TASK_SLOTS = 100_000
 LIMIT = 3
 WEIGHTS = (5, 2, 1)
 WORD = r"[^\x20\x09-\x0D]+"
@@ -194,6 +195,9 @@ def slots(counts: DataFrame, sources: DataFrame, seed: int = 0) -> DataFrame:
     at = F.sum("n").over(inside.orderBy("i").rowsBetween(Window.unboundedPreceding, -1))
     counted = counts.withColumns({"_at": F.coalesce(at, F.lit(0)), "_all": F.sum("n").over(inside)})
     rows = counted.join(sources, "i").select("shard", "i", "n", "before", "_at", "_all", "blocks", "source")
+    # a count stands for many slots: tasks are sized by slots, not by the bytes of counts
+    tasks = max(1, -(-(counts.agg(F.sum("n")).first()[0] or 0) // TASK_SLOTS))
+    rows = rows.repartition(tasks, "shard")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
