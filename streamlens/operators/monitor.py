@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamlens.functions.scalar import risk_tier
+from streamlens.operators.chains import Moves, Steps, ends_of
 from streamlens.operators.joins import rules_asof_join
 from streamlens.operators.ordered import MAX_ROWS, Machine, cut, fold, nearby, running, wide
 from streamlens.operators.ranking import top_n
@@ -46,30 +47,67 @@ def rise_timers(at: np.ndarray, rise: np.ndarray, deadline: int | None, wait: in
     return fired, deadline
 
 
-def rising_amount_alert(df: DataFrame, key: str, amount: str, ts: str, order: Sequence[str],
-                        seconds: int = 5, max_rows: int = MAX_ROWS) -> DataFrame:
-    """Clients whose amount did not fall for ``seconds`` after a rise: key, start and alert time.
+def rise_machine(kind: T.DataType, wait: int, order: Sequence[str] = ()) -> Machine:
+    """Rows ``_x``, ``_at`` (µs) to the deadlines ``_deadline`` that fired ``wait`` after a rise without a fall.
 
-    The amount before the first row counts as 0. A timer still open at the end of the data fires.
-    Whole numbers stay whole. Rows without an amount are left out.
+    Without a timer, a row leads to the next rise and from there to the row after the fall that cancels it, or to the
+    first row past its deadline; ``moves`` follows these successors through a whole chunk.
     """
-    wait = seconds * 1_000_000
-    kind = wide(df, amount, T.DoubleType())
     number = np.int64 if kind == T.LongType() else np.float64
     state = T.StructType([T.StructField("amount", kind), T.StructField("deadline", T.LongType())])
     out = T.StructType([T.StructField("_deadline", T.LongType())])
 
+    def rises(x: np.ndarray, before) -> np.ndarray:
+        return x > np.concatenate([np.array([before], number), x[:-1]])
+
     def step(columns: dict[str, np.ndarray], state: dict) -> tuple[dict[str, np.ndarray], dict]:
         x, at = columns["_x"], columns["_at"]
-        rise = x > np.concatenate([np.array([state["amount"]], number), x[:-1]])
-        fired, deadline = rise_timers(at, rise, state["deadline"], wait)
+        fired, deadline = rise_timers(at, rises(x, state["amount"]), state["deadline"], wait)
         return {"_deadline": np.array(fired, "int64")}, {"amount": x[-1].item(), "deadline": deadline}
 
     def finish(state: dict) -> dict[str, np.ndarray]:
         left = [] if state["deadline"] is None else [state["deadline"]]
         return {"_deadline": np.array(left, "int64")}
 
-    machine = Machine(("_x", "_at"), out, state, {"amount": number(0).item(), "deadline": None}, step, finish)
+    def function(columns: dict[str, np.ndarray], before: dict) -> Steps:
+        x, at = columns["_x"], columns["_at"]
+        count = len(at)
+        rise = rises(x, before.get("last", 0))
+        place = np.arange(count)
+        up = np.minimum.accumulate(np.where(rise, place, count)[::-1])[::-1]
+        down = np.append(np.minimum.accumulate(np.where(rise, count, place)[::-1])[::-1], count)
+        start = np.minimum(up, count - 1)
+        past = np.searchsorted(at, at[start] + wait, side="right")
+        fall = down[start + 1]
+        # places count and count + 1 end the way: without a timer, and with the one of ``start``
+        after = np.where(up == count, count, np.where(fall < past, fall + 1, np.where(past < count, past, count + 1 + place)))
+        last = ends_of(np.concatenate((after, np.arange(count, 2 * count + 1))))
+        row = np.minimum(np.maximum(last - count - 1, 0), count - 1)
+        end, none = at[start[row]] + wait, last <= count
+        # a deadline in the chunk's first rising run is passed at its row, a later one is cancelled by the fall
+        fall = int(down[0])
+        run = int(min(fall + 1, np.searchsorted(at, at[0] + wait, side="right") + 1, count))
+        cuts = np.unique(at[:run])
+        row = np.minimum(np.searchsorted(at, np.concatenate((cuts[:1] - 1, cuts)), side="right"), count)
+        row = np.where(row > fall, fall + 1, row)
+        keep = row >= count if fall >= count else np.zeros(len(row), bool)
+        return Steps(cuts, end[row], keep, none[row] & ~keep, None if none[0] else end[0].item()).merged()
+
+    context = {"last": F.max_by("_x", F.struct(*order))} if order else {}
+    return Machine(("_x", "_at"), out, state, {"amount": number(0).item(), "deadline": None}, step, finish,
+                   moves=Moves("deadline", function, context, {"amount": "last"}) if order else None)
+
+
+def rising_amount_alert(df: DataFrame, key: str, amount: str, ts: str, order: Sequence[str],
+                        seconds: int = 5, max_rows: int = MAX_ROWS) -> DataFrame:
+    """Clients whose amount did not fall for ``seconds`` after a rise: key, start and alert time.
+
+    The amount before the first row counts as 0. A timer still open at the end of the data fires.
+    Whole numbers stay whole. Rows without an amount are left out.
+    """
+    wait = seconds * 1_000_000
+    kind = wide(df, amount, T.DoubleType())
+    machine = rise_machine(kind, wait, order)
     rows = df.dropna(subset=[amount, ts]).select(
         key, *[c for c in order], F.col(amount).cast(kind).alias("_x"),
         F.unix_micros(F.col(ts).cast("timestamp")).alias("_at"),

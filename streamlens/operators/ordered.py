@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from streamlens.operators.chains import WIDTH, Moves, composed, handed_down
 from streamlens.session import pin
 
 MAX_ROWS = 1_000_000
@@ -279,7 +280,8 @@ class Machine:
 
     For keys cut in chunks, ``carry(given, end, facts)`` may tell in which state a chunk will end
     if it starts from ``given``, when its last run ended in ``end``; ``facts`` are the ``summary``
-    aggregates of its rows. A wrong answer costs another run of what follows, never a wrong row.
+    aggregates of its rows. ``moves`` tells all chunks' start states beforehand, from functions that are composed.
+    A wrong answer of either costs another run of what follows, never a wrong row.
     """
 
     inputs: tuple[str, ...]
@@ -290,6 +292,7 @@ class Machine:
     finish: Callable[[dict], Columns]
     summary: dict[str, Column] = field(default_factory=dict)
     carry: Callable[[dict, dict, dict], dict] | None = None
+    moves: Moves | None = None
 
 
 ARROW = {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.DoubleType(): pa.float64(),
@@ -386,12 +389,12 @@ def _runner(m: Machine, group: list[str], chunked: bool):
 def fold(o: Ordered, m: Machine) -> DataFrame:
     """Run a state machine over the rows of each key and return what it emits.
 
-    Without large keys this is one pass. With them, all chunks start at once from the initial
-    state; then one scan over the table of chunks, in which ``carry`` takes a state past chunks
-    whose answer is known, gives the start states of the next round. Chunks that started from
+    Without large keys this is one pass. With them, a machine with ``moves`` takes one pass to learn what each chunk
+    does to a state, and the functions of chunks are composed in a tree to give all start states; without it all chunks
+    start from the initial state. After the chunks ran, one scan over the table of chunks, in which ``carry`` takes a
+    state past chunks whose answer is known, gives the start states of the next round. Chunks that started from
     another state run again, until none did. The result is exact in any case: each chunk was last
-    run from its true start state. Rounds are few for machines that forget their past or have a
-    ``carry``; a chain of alerts that never meets the one from another start takes one per chunk.
+    run from its true start state. Machines with ``moves``, and those that forget their past, need one or two rounds.
     """
     if o.split:
         return _fold_chunks(o, m)
@@ -426,6 +429,107 @@ def _next_starts(m: Machine, group: list[str]):
     return scan
 
 
+def _functions(m: Machine, keys: list[str], before: list[str]):
+    """Arrow function over the sorted rows of chunks: what each chunk does to the state, packed.
+
+    A task holds the input columns of one chunk.
+    """
+    inputs, function = m.inputs, m.moves.function
+    group = [*keys, "_index"]
+
+    def run(batches):
+        name, parts, given = None, [], {}
+
+        def close():
+            columns = {c: np.concatenate([p[c] for p in parts]) for c in inputs}
+            body = function(columns, given).dump()
+            return pa.RecordBatch.from_arrays(
+                [*[pa.array([v], t) for v, t in zip(name, kinds)], pa.array([body], pa.binary())], names=[*group, "_steps"]
+            )
+
+        kinds = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kinds = [batch.schema.field(c).type for c in group]
+            codes = [batch.column(c).dictionary_encode(null_encoding="encode").indices.to_numpy() for c in group]
+            new = np.any([c[1:] != c[:-1] for c in codes], axis=0)
+            heads = [0, *(np.flatnonzero(new) + 1), batch.num_rows]
+            for head, tail in zip(heads, heads[1:]):
+                here = tuple(batch.column(c)[int(head)].as_py() for c in group)
+                if here != name:
+                    if name is not None:
+                        yield close()
+                    name, parts = here, []
+                    known = {c: batch.column("_b_" + c)[int(head)].as_py() for c in before}
+                    given = known if here[-1] else {}
+                part = batch.slice(head, tail - head)
+                parts.append({c: part.column(c).to_numpy(zero_copy_only=False) for c in inputs})
+        if name is not None:
+            yield close()
+
+    return run
+
+
+def _foreseen(o: Ordered, m: Machine) -> DataFrame:
+    """Start states of the chunks of large keys, from their functions: up the tree by composing, down by applying."""
+    keys, moves = [*o.keys], m.moves
+    group, before = [*keys, CHUNK], [*moves.context]
+    hot = o.df.where(F.col(CHUNK) > 0)
+    along = Window.partitionBy(*keys).orderBy(CHUNK)
+    counted = hot.groupBy(*group).agg(F.count("*").alias("_rows"), *[c.alias("_x_" + n) for n, c in moves.context.items()])
+    chunks = pin(
+        counted.select(
+            *group, (F.row_number().over(along) - 1).cast("long").alias("_index"), F.lead(CHUNK).over(along).isNull().alias("_last"),
+            *[F.lag("_x_" + n).over(along).alias("_b_" + n) for n in before],
+        ),
+        "fold-chunks",
+    )
+
+    def to(left: DataFrame, right: DataFrame, *columns: str) -> DataFrame:
+        """``right``'s further columns for the same key and ``columns`` pairs ``left = right``."""
+        names = [F.col(k).alias("_key_" + k) for k in keys]
+        rest = [c for c in right.columns if c not in keys]
+        there = right.select(*names, *[F.col(c).alias("_r_" + c) for c in rest])
+        on = _same_key(left, there, keys)
+        for a in columns:
+            here, _, other = a.partition("=")
+            on = on & (left[here] == there["_r_" + (other or here)])
+        return left.join(there, on).select(left["*"], *[there["_r_" + c].alias(c) for c in rest if c not in left.columns])
+
+    source = hot.select(*group, *[c for c in o.order if c not in group], *[c for c in m.inputs if c not in o.order])
+    rows = to(source, chunks, CHUNK).repartition(*group).sortWithinPartitions(*group, *o.order)
+    key_fields = [o.df.schema[k] for k in keys]
+    schema = T.StructType([*key_fields, T.StructField("_index", T.LongType()), T.StructField("_steps", T.BinaryType())])
+    given = rows.select(*keys, "_index", *["_b_" + n for n in before], *m.inputs)
+    levels = [pin(given.mapInArrow(_functions(m, keys, before), schema), "fold-functions")]
+    count = (chunks.agg(F.max("_index")).first()[0] or 0) + 1
+    while count > WIDTH:
+        block = F.floor(F.col("_index") / WIDTH).alias("_block")
+        levels.append(pin(levels[-1].groupBy(*keys, block).applyInArrow(composed(keys), schema), "fold-functions"))
+        count = -(-count // WIDTH)
+
+    kind = m.state[moves.state].dataType
+    down = T.StructType([*key_fields, T.StructField("_index", T.LongType()), T.StructField("_state", kind)])
+    initial = m.initial[moves.state]
+    states = levels[-1].select(*keys).distinct().select(*keys, F.lit(0).cast("long").alias("_index"), F.lit(initial).cast(kind).alias("_state"))
+    for functions in reversed(levels):
+        dealt = functions.withColumn("_block", F.floor(F.col("_index") / WIDTH).cast("long"))
+        first = to(dealt, states.withColumnRenamed("_index", "_of"), "_block=_of")
+        states = first.groupBy(*keys, "_block").applyInArrow(handed_down(keys, ARROW[kind], initial), down)
+    known = to(chunks, states, "_index")
+
+    def start(name: str) -> Column:
+        other = F.lit(m.initial[name])
+        if name == moves.state:
+            return F.col("_state")
+        return F.when(F.col("_index") == 0, other).otherwise(F.col("_b_" + moves.given[name])) if name in moves.given else other
+
+    return pin(
+        known.select(*group, "_last", *[start(f.name).cast(f.dataType).alias("_s_" + f.name) for f in m.state]), "fold-foreseen"
+    )
+
+
 def _fold_chunks(o: Ordered, m: Machine) -> DataFrame:
     keys, names = [*o.keys], m.state.names
     group = [*keys, CHUNK]
@@ -454,6 +558,8 @@ def _fold_chunks(o: Ordered, m: Machine) -> DataFrame:
             *[F.lit(m.initial[f.name]).cast(f.dataType).alias("_s_" + f.name) for f in m.state],
         )
     )
+    if m.moves:
+        starts = starts.where(F.col(CHUNK) == 0).unionByName(_foreseen(o, m))
     facts = None
     if m.summary:
         each = o.df.groupBy(*group).agg(*[c.alias("_a_" + n) for n, c in m.summary.items()])

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from streamlens.operators.chains import Moves, Steps, ends_of, first_outside
 from streamlens.operators.ordered import MAX_ROWS, Machine, cut, fold, nearby, wide
 
 
@@ -121,23 +122,22 @@ def adjacent_jump(df: DataFrame, key: str, value: str, order: Sequence[str],
     return o.result().where(F.abs(F.col(value) - F.col("previous")) > threshold)
 
 
-def baseline_jump(df: DataFrame, key: str, value: str, row_id: str, order: Sequence[str],
-                  threshold: float = 100_000, max_rows: int = MAX_ROWS) -> DataFrame:
-    """Rows whose value differs by more than ``threshold`` from the last alerted value.
+def baseline_machine(kind: T.DataType, id_kind: T.DataType, threshold: float) -> Machine:
+    """Rows ``_row``, ``_x`` to alerts ``_id``, ``baseline``, ``_hit``: values far from the last alerted one, at first 0.
 
-    Only an alert moves the baseline, which starts at 0. Whole numbers stay whole. Rows without a
-    value or an id are left out.
+    An alert at a row leads to the next row whose value is far from its own, so the alerts from any start are
+    a way along successors; ``moves`` follows them through a whole chunk.
     """
-    kind, id_kind = wide(df, value, T.DoubleType()), wide(df, row_id, T.StringType())
     whole = kind == T.LongType()
     number = np.int64 if whole else np.float64
     limit = math.floor(min(threshold, 2**64)) if whole else threshold
+    most, least = 2**63 - 1, -(2**63)
     out = T.StructType([T.StructField("_id", id_kind), T.StructField("baseline", kind), T.StructField("_hit", kind)])
 
     def jumps(x: np.ndarray, base: float) -> np.ndarray:
         if not whole:
             return np.abs(x - base) > limit
-        return (x > min(base + limit, 2**63 - 1)) | (x < max(base - limit, -(2**63)))
+        return (x > min(base + limit, most)) | (x < max(base - limit, least))
 
     def step(columns: dict[str, np.ndarray], state: dict) -> tuple[dict[str, np.ndarray], dict]:
         x, base = columns["_x"], state["base"]
@@ -161,14 +161,47 @@ def baseline_jump(df: DataFrame, key: str, value: str, row_id: str, order: Seque
     def finish(state: dict) -> dict[str, np.ndarray]:
         return {c: np.array([]) for c in ["_id", "baseline", "_hit"]}
 
-    def carry(given: dict, end: dict, facts: dict) -> dict:
-        # a chunk all of whose values lie near the baseline hands it on
-        return end if jumps(np.array([facts["lo"], facts["hi"]], number), given["base"]).any() else given
+    def plus(x: np.ndarray, by) -> np.ndarray:
+        if not whole:
+            return x + by
+        by = int(max(min(by, most), least))
+        return np.where(x > most - by, most, x + np.int64(min(by, most))) if by >= 0 else np.where(x < least - by, least, x + np.int64(by))
 
-    machine = Machine(
-        ("_row", "_x"), out, T.StructType([T.StructField("base", kind)]), {"base": number(0).item()},
-        step, finish, {"lo": F.min("_x"), "hi": F.max("_x")}, carry,
+    def function(columns: dict[str, np.ndarray], before: dict) -> Steps:
+        x = columns["_x"]
+        count = len(x)
+        place = np.arange(count)
+        after = first_outside(x, plus(x, -limit), plus(x, limit))
+        last = ends_of(np.where(after < count, after, place))
+        # only values that are higher, or lower, than all before them can be the first to alert
+        highs = np.flatnonzero(x > np.concatenate((x[:1] - 1, np.maximum.accumulate(x)[:-1])))
+        lows = np.flatnonzero(x < np.concatenate((x[:1] + 1, np.minimum.accumulate(x)[:-1])))
+        highs, lows = np.union1d(highs, [0]), np.union1d(lows, [0])
+        above = plus(x[highs], -limit)  # a baseline below it alerts at this row or before
+        below = plus(plus(x[lows], limit), 1) if whole else np.nextafter(x[lows] + limit, np.inf)  # from it on
+        cuts = np.union1d(above, below)
+        left = np.concatenate((cuts[:1] - 1, cuts))  # a state of each piece
+        h, low = np.searchsorted(above, left, "right"), np.searchsorted(-below, -left, "left")
+        first = np.minimum(np.append(highs, count)[h], np.append(lows, count)[low])
+        keep = first == count
+        outs = x[last[np.where(keep, 0, first)]]
+        return Steps(cuts, outs, keep, np.zeros(len(outs), bool), None).merged()
+
+    return Machine(
+        ("_row", "_x"), out, T.StructType([T.StructField("base", kind)]), {"base": number(0).item()}, step, finish,
+        moves=Moves("base", function),
     )
+
+
+def baseline_jump(df: DataFrame, key: str, value: str, row_id: str, order: Sequence[str],
+                  threshold: float = 100_000, max_rows: int = MAX_ROWS) -> DataFrame:
+    """Rows whose value differs by more than ``threshold`` from the last alerted value.
+
+    Only an alert moves the baseline, which starts at 0. Whole numbers stay whole. Rows without a
+    value or an id are left out.
+    """
+    kind, id_kind = wide(df, value, T.DoubleType()), wide(df, row_id, T.StringType())
+    machine = baseline_machine(kind, id_kind, threshold)
     rows = df.dropna(subset=[value, row_id]).select(
         key, *order, F.col(row_id).cast(id_kind).alias("_row"), F.col(value).cast(kind).alias("_x")
     )

@@ -1,11 +1,15 @@
 """State machines against plain loops, whole and in chunks."""
 
+from datetime import timezone
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from streamlens.operators.monitor import rising_amount_alert, rise_timers
-from streamlens.operators.ranking import baseline_jump, running_top
+from streamlens.operators import chains
+from streamlens.operators.monitor import rise_machine, rise_timers, rising_amount_alert
+from streamlens.operators.ranking import baseline_jump, baseline_machine, running_top
 
 
 def alerts_by_loop(rows, wait):
@@ -96,12 +100,17 @@ def test_running_top(rows, max_rows):
     assert got == want
 
 
-def rounds_of(monkeypatch):
-    """Labels of the tables written, one ``fold-starts`` per round."""
+def written_by(monkeypatch):
+    """Labels of the tables a fold writes: ``fold`` per run over rows, ``fold-starts`` per round."""
     from streamlens.operators import ordered
 
     written, pin = [], ordered.pin
     monkeypatch.setattr(ordered, "pin", lambda df, label: written.append(label) or pin(df, label))
+    return written
+
+
+def rounds_of(monkeypatch):
+    written = written_by(monkeypatch)
     return lambda: written.count("fold-starts")
 
 
@@ -124,14 +133,66 @@ def test_running_top_settles_in_two_rounds(spark, monkeypatch, shape):
     assert len(got) == 1000 and rounds() <= 2
 
 
-@pytest.mark.parametrize("shape, most", [("falling", None), ("quiet", 3), ("rising", None)])
-def test_baseline_skips_quiet_chunks(spark, monkeypatch, shape, most):
-    rounds = rounds_of(monkeypatch)
+@pytest.mark.parametrize("shape", SHAPES)
+@pytest.mark.parametrize("threshold", [0, 37, 400])
+def test_baseline_of_fifty_chunks(spark, monkeypatch, shape, threshold):
+    written = written_by(monkeypatch)
     rows = one_key(spark, shape)
-    got = baseline_jump(rows, "k", "x", "id", ["ts", "id"], 400, 20 if most else 250)
+    got = baseline_jump(rows, "k", "x", "id", ["ts", "id"], threshold, 20)
     got = sorted((r.id, r.baseline, r.x) for r in got.collect())
-    assert got == jumps_by_loop([(r.id, r.x) for r in rows.orderBy("id").collect()], 400)
-    assert most is None or rounds() <= most
+    assert got == jumps_by_loop([(r.id, r.x) for r in rows.orderBy("id").collect()], threshold)
+    # one pass to learn the functions, one run; two levels of functions of 8 chunks each
+    assert written.count("fold") == 1 and written.count("fold-functions") == 2
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+@pytest.mark.parametrize("seconds", [0, 3, 33, 5000])
+def test_rising_amount_of_fifty_chunks(spark, monkeypatch, shape, seconds):
+    written = written_by(monkeypatch)
+    rows = one_key(spark, shape)
+    got = rising_amount_alert(rows, "k", "x", "ts", ["ts", "id"], seconds, 20)
+    got = sorted(int(r.alert_ts.replace(tzinfo=timezone.utc).timestamp()) for r in got.collect())
+    assert got == alerts_by_loop([(r.id, r.x) for r in rows.orderBy("id").collect()], seconds)
+    assert written.count("fold") == 1 and written.count("fold-functions") == 2
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_first_outside_and_functions_against_loops(seed):
+    rng = np.random.default_rng(seed)
+    whole = seed % 2 == 0
+    kind = T.LongType() if whole else T.DoubleType()
+    for n in (1, 2, 3, 7, 40, 129):
+        x = rng.integers(-30, 30, n) if whole else np.round(rng.normal(0, 20, n), 2)
+        low, high = x - 9, x + 9
+        want = [next((j for j in range(i + 1, n) if x[j] > high[i] or x[j] < low[i]), n) for i in range(n)]
+        assert chains.first_outside(x, low, high).tolist() == want
+        jump = baseline_machine(kind, T.LongType(), 9)
+        at = np.sort(rng.integers(0, 3 * n, n))
+        rise = rise_machine(kind, 5, ["id"])
+        for first in (0, n // 3):
+            parts = [slice(0, first), slice(first, n)] if first else [slice(0, n)]
+            f = g = None
+            before = {}
+            for part in parts:
+                rows = {"_row": np.arange(n)[part], "_x": x[part], "_at": at[part]}
+                one, two = jump.moves.function(rows, {}), rise.moves.function(rows, before)
+                f, g = (one, two) if f is None else (f.then(one), g.then(two))
+                before = {"last": x[part][-1].item()}
+            f, g = chains.Steps.load(f.dump()), chains.Steps.load(g.dump())
+            rows = {"_row": np.arange(n), "_x": x, "_at": at}
+            for base in range(-60, 60):
+                assert f(base) == jump.step(rows, {"base": base})[1]["base"]
+            # an open deadline is never more than the wait after the first row
+            for deadline in [None, *range(-3, int(at[0]) + 6)]:
+                state = {"amount": 0, "deadline": deadline}
+                assert g(deadline) == rise.step(rows, state)[1]["deadline"]
+
+
+def test_too_large_a_function_only_costs_rounds(spark, monkeypatch):
+    monkeypatch.setattr(chains, "MOST_PIECES", 1)
+    rows = one_key(spark, "rising")
+    got = baseline_jump(rows, "k", "x", "id", ["ts", "id"], 400, 100)
+    assert sorted(r.id for r in got.collect()) == [401, 802]
 
 
 @pytest.mark.parametrize("max_rows", [1_000_000, 2])
