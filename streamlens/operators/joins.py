@@ -12,8 +12,7 @@ from streamlens.session import pin
 
 RULES_PER_BUCKET = 50
 BROADCAST_RULES = 100_000
-# bucket lengths in seconds
-UNITS = {"DAY": 86_400, "HOUR": 3_600, "MINUTE": 60}
+UNITS = ("DAY", "HOUR", "MINUTE")
 
 
 def window_join(left: DataFrame, right: DataFrame, key: str, ts: str, size: str,
@@ -56,12 +55,13 @@ def rules_asof_join(events: DataFrame, rules: DataFrame, tier: str, ts: str, rul
                     max_rows: int = MAX_ROWS, rules_per_bucket: int = RULES_PER_BUCKET) -> DataFrame:
     """Add the newest rule of the event's tier which was set at or before the event.
 
-    Each tier and day gets the rule it starts with and those set during it, so an event is
+    Each tier and day that has events gets the rule it starts with and those set during it, so an event is
     compared with a handful of rules and needs no ordering. If some tier sets more than
     ``rules_per_bucket`` rules on a day, hours are taken instead, then minutes. If even a minute
     has more, events and rules are put in one time order per tier and the rule is carried forward.
     Of rules set at one time the largest text counts. A rule without tier or time never applies,
-    and an event without tier or time has no rule.
+    and an event without tier or time has no rule. Times without events or rules cost nothing,
+    however long they are.
     """
     known = F.col(rule).isNotNull() & F.col(tier).isNotNull() & F.col(ts).isNotNull()
     rules = rules.where(known).groupBy(tier, ts).agg(F.max(rule).alias(rule))
@@ -72,57 +72,49 @@ def rules_asof_join(events: DataFrame, rules: DataFrame, tier: str, ts: str, rul
     found = (
         rules.select(F.col(tier).alias("tier"), bucket.alias("b"))
         .groupBy("tier", "b.unit", "b.at").agg(F.count("*").alias("n"))
-        .groupBy("tier", "unit").agg(
-            F.max("n").alias("n"), F.sum("n").alias("rules"), F.min(F.unix_micros("at")).alias("at")
-        )
-        .groupBy("unit").agg(
-            F.max("n").alias("busiest"), F.sum("rules").alias("rules"),
-            F.count("*").alias("tiers"), F.min("at").alias("first"),
-        )
+        .groupBy("unit").agg(F.max("n").alias("busiest"))
         .collect()  # one row per unit
     )
-    sizes = {r.unit: r for r in found}
-    for unit, length in UNITS.items():
-        if not sizes or sizes[unit].busiest <= rules_per_bucket:
-            return _by_bucket(events, rules, tier, ts, rule, missing, unit, length, sizes.get(unit))
+    busiest = {r.unit: r.busiest for r in found}
+    for unit in UNITS:
+        if busiest.get(unit, 0) <= rules_per_bucket:
+            return _by_bucket(events, rules, tier, ts, rule, missing, unit, max_rows)
     return _by_order(events, rules, tier, ts, rule, order, missing, max_rows)
 
 
-def _by_bucket(events, rules, tier, ts, rule, missing, unit, length, size):
+def _by_bucket(events, rules, tier, ts, rule, missing, unit, max_rows):
     """Equi-join on tier and time bucket; which of the bucket's rules holds their spans decide.
 
-    The rule table has one row per rule and one per tier and bucket, whatever the number of
-    events. It is broadcast if that is at most ``BROADCAST_RULES`` rows; otherwise Spark joins by
-    shuffle and splits large tiers and buckets.
+    Only tiers and buckets that events have are asked for. One merge of their starts with the rules, in time order per
+    tier, carries to each start the rule in force; large tiers are cut in chunks. So the table has a row per bucket of
+    events and per rule set in one of them. It is broadcast if that is at most ``BROADCAST_RULES`` rows; otherwise
+    Spark joins by shuffle and splits large tiers and buckets.
     """
-    ends = events.agg(
-        F.min(ts).cast("string").alias("oldest"), F.max(ts).cast("string").alias("newest"),
-        F.unix_micros(F.min(ts).cast("timestamp")).alias("first"),
-        F.unix_micros(F.max(ts).cast("timestamp")).alias("last"),
-    ).first()
-    oldest, newest = (F.lit(x).cast(events.schema[ts].dataType) for x in (ends.oldest, ends.newest))
-    ahead = Window.partitionBy(tier).orderBy(ts)
-    spans = rules.select(
-        F.col(tier).alias("_tier"), F.col(ts).alias("_from"), F.lead(ts).over(ahead).alias("_until"),
-        F.col(rule).alias(rule),
-    ).where((F.col("_from") <= newest) & (F.col("_until").isNull() | (F.col("_until") > oldest)))
-    # buckets before the first event and after the last one are never asked for
-    until = F.least(F.coalesce("_until", newest), newest)
-    buckets = F.sequence(
-        F.date_trunc(unit, F.greatest("_from", oldest)), F.date_trunc(unit, until), F.expr(f"INTERVAL 1 {unit}")
+    # rules and starts are compared as instants, whether events have a zone or not
+    start = F.date_trunc(unit, ts).cast("timestamp")
+    asked = events.where(F.col(tier).isNotNull() & F.col(ts).isNotNull())
+    starts = pin(asked.select(F.col(tier).alias("_tier"), start.alias("_bucket")).distinct(), "rule-buckets")
+    set_at = F.col(ts).cast("timestamp")
+    text = rules.schema[rule].dataType
+    marks = starts.select("_tier", F.col("_bucket").alias("_from"), F.lit(None).cast(text).alias("_rule"), F.lit(1).alias("_start"))
+    both = marks.unionByName(
+        rules.select(F.col(tier).alias("_tier"), set_at.alias("_from"), F.col(rule).alias("_rule"), F.lit(0).alias("_start"))
     )
-    placed = spans.withColumn("_bucket", F.explode(buckets))
-    if size and ends.last is not None:
-        spanned = (ends.last - ends.first) // (length * 1_000_000) + 1
-        if size.rules + size.tiers * spanned <= BROADCAST_RULES:
-            placed = F.broadcast(placed)
+    carried = running(cut(both, ["_tier"], ["_from", "_start"], max_rows), {rule: ("last", F.col("_rule"))}).result()
+    first = carried.where("_start = 1").select("_tier", F.col("_from").alias("_bucket"), "_from", rule)
+    inside = rules.select(
+        F.col(tier).alias("_tier"), start.alias("_bucket"), set_at.alias("_from"), F.col(rule).alias(rule)
+    ).where("_from > _bucket").join(starts, ["_tier", "_bucket"], "left_semi")
+    ahead = Window.partitionBy("_tier", "_bucket").orderBy("_from")
+    spans = pin(first.unionByName(inside).withColumn("_until", F.lead("_from").over(ahead)), "rule-spans").where(F.col(rule).isNotNull())
+    if spans.count() <= BROADCAST_RULES:
+        spans = F.broadcast(spans)
+    at = F.col(ts).cast("timestamp")
     valid = (
-        (F.col(tier) == F.col("_tier"))
-        & (F.date_trunc(unit, ts) == F.col("_bucket"))
-        & (F.col(ts) >= F.col("_from"))
-        & (F.col("_until").isNull() | (F.col(ts) < F.col("_until")))
+        (F.col(tier) == F.col("_tier")) & (start == F.col("_bucket")) & (at >= F.col("_from"))
+        & (F.col("_until").isNull() | (at < F.col("_until")))
     )
-    out = events.join(placed, valid, "left").drop("_tier", "_from", "_until", "_bucket")
+    out = events.join(spans, valid, "left").drop("_tier", "_bucket", "_from", "_until")
     return out if missing is None else out.withColumn(rule, F.coalesce(rule, F.lit(missing)))
 
 
