@@ -4,10 +4,11 @@ must equal those of the batch query."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streamlens import schemas
 from streamlens.functions.scalar import cents
-from streamlens.operators import aggregates, dedup, joins, late, monitor, windows
+from streamlens.operators import aggregates, dedup, joins, late, monitor, ranking, windows
 from streamlens.plans import metrics as M
 from streamlens.plans import relations, risk
 from streamlens.plans.basic import LATEST_SQL
@@ -15,7 +16,7 @@ from streamlens.plans.registry import query, table
 from streamlens.session import scratch
 from streamlens.sources import sinks
 from streamlens.sources.files import json_number, stream_files
-from streamlens.streaming import live, state
+from streamlens.streaming import in_order, live, state
 from streamlens.streaming.jobs import (
     FLUSH_TIME, EndOfInput, event_time, flush_row, in_slices, newest_changes, plain_time, replay, replay_changes,
     replay_slices, run_to_end,
@@ -357,6 +358,96 @@ def rising_amount_alert_stream(spark, folder):
     )
 
 
+# ---- keyed state in event-time order, from rows that arrive up to an hour late
+
+
+def unordered(spark, folder, label, job):
+    """What ``job`` gives for events that arrive out of order, in several micro-batches; none of them is late."""
+    path, out = scratch(spark, "arriving"), scratch(spark, label)
+
+    def rows():
+        found = late.with_event_time(arrived(spark, path), "ts", DELAY)
+        return job(found.select(
+            F.col("user_id").alias("key"), F.unix_micros("ts").alias("at"), F.unix_micros("ts").alias("_at"),
+            F.col("event_id").alias("_row"), F.col("c").alias("_x"), "event_type",
+        ))
+
+    def start():
+        return sinks.write_exactly_once(rows(), out, out + "-checkpoint")
+
+    replay_slices(arriving(spark, folder), path, start)
+    start().awaitTermination()  # timers fire behind the last row's watermark
+    return spark.read.schema(rows().schema).parquet(out).where("NOT late")
+
+
+@query(M.BASELINE_SQL)
+def baseline_jump_unordered_stream(spark, folder):
+    machine = ranking.baseline_machine(T.DoubleType(), T.LongType(), 10_000)
+
+    def job(rows):
+        return in_order.in_order(rows.withColumn("_x", F.col("_x").cast("double")), machine, ["_row"], needs=["_row", "_x"])
+
+    out = unordered(spark, folder, "baseline", job)
+    return out.select(F.col("key").alias("user_id"), F.col("_id").alias("event_id"), "baseline", F.col("_hit").alias("amount"))
+
+
+@query(risk.RISING_SQL)
+def rising_amount_unordered_stream(spark, folder):
+    wait = 12 * 3600 * 1_000_000
+    machine = monitor.rise_machine(T.LongType(), wait)
+    out = unordered(spark, folder, "rising", lambda rows: in_order.rising_amounts(rows, machine, ["_row"]))
+    return out.select(
+        F.col("key").alias("user_id"),
+        F.timestamp_micros(F.col("_deadline") - wait).cast("timestamp_ntz").alias("start_ts"),
+        F.timestamp_micros("_deadline").cast("timestamp_ntz").alias("alert_ts"),
+    )
+
+
+@query(M.COUNT_WINDOW_SQL)
+def count_window_unordered_stream(spark, folder):
+    out = unordered(spark, folder, "count-window",
+                    lambda rows: in_order.in_order(rows, in_order.count_windows(3), ["_row"], needs=["_row"]))
+    return out.select(F.col("key").alias("user_id"), "window_no", "total")
+
+
+@query(f"SELECT user_id, first_id, last_id, next_id FROM ({risk.times_sql(2)})")
+def pattern_times_unordered_stream(spark, folder):
+    """Two views, then a purchase directly after the second."""
+    def job(rows):
+        kind = F.col("event_type")
+        marked = rows.withColumns({"_start": kind == "view", "_follows": kind == "purchase"})
+        return in_order.in_order(marked, in_order.times_next(2, T.LongType()), ["_row"], needs=["_row", "_start"])
+
+    out = unordered(spark, folder, "pattern", job)
+    return out.select(F.col("key").alias("user_id"), "first_id", "last_id", "next_id")
+
+
+@query(relations.ASOF_SQL)
+def rules_live_stream(spark, folder):
+    """Events and rules are two streams; both arrive up to an hour late, in turn."""
+    events_at, rules_at, out = (scratch(spark, label) for label in ("arriving", "rules", "tagged"))
+    tier = F.element_at(F.array(*map(F.lit, ("high-risk", "medium-risk", "regular-trading"))), (F.col("event_id") % 3 + 1).cast("int"))
+
+    def tagged():
+        by_value = F.when(F.col("c") > 10_000, "high-risk").when(F.col("c") > 5_000, "medium-risk").otherwise("regular-trading")
+        rows = arrived(spark, events_at).withColumn("tier", by_value)
+        rules = event_time(stream_files(spark, rules_at, "ts TIMESTAMP_NTZ, tier STRING, rule STRING"))
+        return in_order.rules_asof(rows, rules, "tier", "ts", "rule", "event_id", DELAY)
+
+    def start():
+        return sinks.write_exactly_once(tagged(), out, out + "-checkpoint")
+
+    spark.createDataFrame([], "ts TIMESTAMP_NTZ, tier STRING, rule STRING").write.parquet(rules_at)
+    for part in arriving(spark, folder):
+        told = part.where("event_type = 'error'")
+        told.select("ts", tier.alias("tier"), F.concat(F.lit("rule "), F.col("event_id")).alias("rule")).write.mode("append").parquet(rules_at)
+        part.write.mode("append").parquet(events_at)
+        start().awaitTermination()
+    start().awaitTermination()
+    found = spark.read.schema(tagged().schema).parquet(out).where("NOT late")
+    return found.select(F.col("_id").alias("event_id"), "tier", "rule")
+
+
 # ---- patterns
 
 
