@@ -10,7 +10,8 @@ Training pages are made on the driver from a bounded sample (``SAMPLE`` pages):
 by semantic elements, and their texts put into many other layouts whose parts are known.
 
 A null or empty page gives an empty text. Pages cut off anywhere, unclosed and wrongly nested elements are read as
-far as they go. Repeated pages give repeated rows; other columns are kept unless they clash with ``text`` or ``n_chars``.
+far as they go: text of an unclosed head counts, a drawing or a selection list at the next block or with its
+parent, frames and the like without an end tag are empty; only code without an end tag ends the page. Repeated pages give repeated rows; other columns are kept unless they clash with ``text`` or ``n_chars``.
 """
 
 from __future__ import annotations
@@ -39,7 +40,13 @@ TOKEN = re.compile(
     r"""|<([a-zA-Z][^\s>/]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<([a-zA-Z][^\s>/]*)([^>]*)(?:>|\Z)""",
     re.S,
 )
-RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "math", "object", "select", "head"}
+# Elements without a place in the text. CODE holds no markup; the others end with their own end tag, and without one
+# anywhere after them they are empty. DRAWN holds no blocks: the next block ends it, as the end of its parent does.
+CODE = {"script", "style"}
+HIDDEN = {"noscript", "template", "iframe", "textarea", "title", "object", "annotation", "annotation-xml"}
+DRAWN = {"svg", "select"}
+# A head holds nothing but hidden elements and these, so its end, which need not be written, does not matter.
+IN_HEAD = {"head", "meta", "link", "base"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 TAGS = (
     "html body div p article main section nav header footer aside form ul ol li dl dt dd table tbody thead tr td th h1 h2 h3 h4 h5 h6 "
@@ -78,10 +85,12 @@ def read(source: str | None) -> Page:
     if not source:
         return page
     open_: list[tuple[str, int]] = []  # names of open elements and the block each belongs to
-    block, link, at = 0, 0, 0
+    block, link, at, drawn = 0, 0, 0, 0
+    ends: dict[str, int] = {}  # where the last end tag of a name stands
 
     def text(part: str) -> None:
-        nonlocal block
+        if drawn:
+            return
         if "&" in part:
             part = html.unescape(part)
         words = part.split()
@@ -95,11 +104,13 @@ def read(source: str | None) -> Page:
             own[3] += part.count(".") + part.count(",") + part.count("!") + part.count("?")
 
     def close(upto: int) -> None:
-        nonlocal block, link
+        nonlocal block, link, drawn
         while len(open_) > upto:
             name, _ = open_.pop()
             if name == "a":
                 link -= 1
+            if name in DRAWN:
+                drawn -= 1
             if name in NUMBER:
                 page.text.append((-1, " "))
         block = open_[-1][1] if open_ else 0
@@ -125,12 +136,31 @@ def read(source: str | None) -> Page:
         if not started:
             continue
         name, rest = started.lower(), m.group(3) or m.group(5) or ""
-        if name in RAW:
-            if not rest.endswith("/"):
-                end = re.compile(rf"</{name}[^>]*>|\Z" if name != "head" else r"</head[^>]*>|(?=<body)|\Z", re.I).search(source, at)
-                at = end.end()
+        if name in IN_HEAD:
+            continue
+        if name in CODE or name in HIDDEN:
+            if name not in ends:
+                ends[name] = max((m.start() for m in re.finditer(rf"</{name}(?=[\s/>])", source[at:], re.I)), default=-1) + at
+            if ends[name] > at or ends[name] == at and source.startswith("</", at):
+                at = re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(source, at).end()
+            elif name in CODE:
+                break
+            elif name in ("title", "textarea"):
+                at = source.find("<", at) if "<" in source[at:] else len(source)
             page.text.append((-1, " "))
             continue
+        if drawn and name in NUMBER and not any(n == "foreignobject" for n, _ in open_[-64:]):
+            for k in range(len(open_) - 1, -1, -1):
+                if open_[k][0] in DRAWN:
+                    close(k)
+                    if not drawn:
+                        break
+        if name in DRAWN:
+            page.text.append((-1, " "))
+            if not rest.endswith("/"):
+                drawn += 1
+                open_.append((name, block))
+            continue
         if name == "br" or name == "hr":
             page.text.append((-1, " "))
         page.own[block][5] += 1
@@ -176,6 +206,12 @@ class Nodes(NamedTuple):
     first: np.ndarray
 
 
+def by_depth(depth: np.ndarray) -> list[np.ndarray]:
+    """The blocks of each depth, from one sort."""
+    order = np.argsort(depth, kind="stable")
+    return np.split(order, np.searchsorted(depth[order], np.arange(1, int(depth.max()) + 1)))
+
+
 def features(pages: list[Page]) -> Nodes:
     size = np.array([len(p.tag) for p in pages])
     first = np.concatenate(([0], np.cumsum(size)))
@@ -185,7 +221,7 @@ def features(pages: list[Page]) -> Nodes:
     own = np.concatenate([np.array(p.own, float) for p in pages])
     stems = np.concatenate([np.array(p.stems, np.int64) for p in pages])
     n = len(tag)
-    levels = [np.flatnonzero(depth == d) for d in range(int(depth.max()) + 1)]
+    levels = by_depth(depth)
     whole = np.column_stack((own, np.ones(n)))
     around, tags_around = stems.copy(), np.where(tag >= 0, np.left_shift(1, np.maximum(tag, 0)), 0)
     for level in levels[1:]:
@@ -227,7 +263,7 @@ def decode(nodes: Nodes, logit: np.ndarray) -> np.ndarray:
     mass = 0.1 + np.sqrt(nodes.own[:, 0])
     keep = -np.logaddexp(0, -logit) * mass
     drop = -np.logaddexp(0, logit) * mass
-    levels = [np.flatnonzero(nodes.depth == d) for d in range(int(nodes.depth.max()) + 1)]
+    levels = by_depth(nodes.depth)
     for level in reversed(levels[1:]):
         np.add.at(keep, nodes.parent[level], np.maximum(keep[level], drop[level]))
         np.add.at(drop, nodes.parent[level], drop[level])
@@ -373,14 +409,16 @@ def by_layout(page: Page) -> np.ndarray | None:
 
 def fit(pages: DataFrame, column: str = "html", at_most: int = SAMPLE, layouts: int = LAYOUTS, most_letters: int = 20_000) -> trees.Trees:
     """Learn from at most ``at_most`` pages of up to ``most_letters`` letters, chosen by hash, and ``layouts`` made pages."""
-    rows = (
-        pages.where(F.col(column).isNotNull() & (F.char_length(column) <= most_letters))
-        .select(column, F.xxhash64(column).alias("h")).orderBy("h", column).limit(at_most).collect()
+    short = pages.where(F.col(column).isNotNull() & (F.char_length(column) <= most_letters)).select(
+        F.col(column).alias("page"), F.xxhash64(column).alias("h")
     )
+    # hashes first, so that tasks send numbers and not pages to the driver
+    chosen = [r.h for r in short.select("h").distinct().orderBy("h").limit(at_most).collect()]
+    rows = short.where(F.col("h").isin(chosen)).groupBy("h").agg(F.min("page").alias("page")).orderBy("h").collect() if chosen else []
     rng = random.Random(7)
     read_, labels, texts = [], [], []
     for row in rows:
-        page = read(row[0])
+        page = read(row.page)
         texts += [t for _, t in page.text if len(t.split()) > 2]
         label = by_layout(page)
         if label is not None:

@@ -485,3 +485,46 @@ def test_sql_gives_the_same_rows(spark, name):
     names = [c[0] for c in want.description]
     got = queries.queries()[name](spark, SF_SMALL).select(*names)
     assert sorted(tuple(r) for r in got.collect()) == sorted(want.fetchall())
+
+
+# ---- pages whose elements are not closed
+
+
+def whole(source):
+    page = html_text.read(source)
+    return html_text.joined(page, np.ones(len(page.tag), bool))
+
+
+@pytest.mark.parametrize("source, text", [
+    ("<html><head><title>T</title><meta charset=x><p>One two.<p>Three", "One two. Three"),
+    ("<head><link href=a><div>a b</div>", "a b"),
+    ("<p>The area is <math><mi>x</mi><mn>2</mn><annotation>tex</annotation></math> metres.</p>", "The area is x2 metres."),
+    ("<div><select><option>o1<option>o2</div><p>after</p>", "after"),
+    ("<div><select><option>o1<p>after</p>", "after"),
+    ("<body><svg><path d=1><p>p1</p><p>p2</p>", "p1 p2"),
+    ("<div><svg><text>no</text></svg>yes</div>", "yes"),
+    ("<p>x</p><iframe src=a><p>kept</p>", "x kept"),
+    ("<noscript><p>no</p></noscript><p>yes</p><template><p>no</p></template>", "yes"),
+    ("<title>T<p>kept", "kept"),
+    ("<p>a</p><object data=x>fall</object>b<object><p>c</p>", "a b c"),
+    ("<p>a</p><script>if (a < b) '<p>no</p>'", "a"),
+    ("<SCRIPT>x</SCRIPT ><P>u</P>", "u"),
+])
+def test_unclosed_elements_lose_no_text(source, text):
+    assert whole(source) == text
+
+
+def test_article_behind_an_unclosed_head_and_list(spark):
+    model = html_text.fit(spark.read.parquet(f"{SF_SMALL}/pages.parquet"))
+    for start in ("<html><head><title>t</title>", "<html><body><form><select><option>x</form>", "<html><body><svg><path d='1'>"):
+        assert html_text.extract([f"{start}<article><p>{BODY}</p><p>{BODY}</p></article>"], model) == [f"{BODY} {BODY}"]
+
+
+def test_deep_pages_take_one_sort(spark):
+    import time
+
+    start = time.perf_counter()
+    page = html_text.read("<div>" * 60_000 + "text" + "</div>" * 60_000)
+    nodes = html_text.features([page])
+    html_text.decode(nodes, np.zeros(len(page.tag)))
+    assert nodes.depth.max() == 60_000 and time.perf_counter() - start < 10
