@@ -2,18 +2,27 @@
 
 Words are compared: A-Z (and Latin-1 capitals) in lower case, other ASCII signs than letters and digits are blanks.
 In scripts that are written without blanks (Chinese, Japanese, Thai and others, ``LETTERS``) each letter is a word.
-From each word of a document, and from many words of each item, a random walk is taken: at step j it shows the word
-it stands on and moves on if bit j of that word's number is set. After an edit the two walks soon run together again,
-so a small edit distance becomes a small Hamming distance. Each table reads some steps of a walk; items of
-fewer than 16 words have short walks too. Walks can miss a hit, above all of items of up to 24 words. So items are also
-cut into one part more than edits are allowed; a hit leaves one part as it is, and looking up runs of the parts' sizes
-(4 or 5 words in items of 16 and more) misses none. A window of the item's size around each agreement is then compared
-with the item by the exact word edit distance (bit-parallel, best end in the window). A hit has at most ``EDITS`` edits
-per word of the item.
-
-The benchmark is collected in slices of at most ``ITEMS`` items, each slice a pass over the documents, so what a task
-holds is bounded whatever the benchmark holds. Items of fewer than ``LEAST_WORDS`` words, null items included, are too
-common to be searched; null and empty documents have no hits. Repeated rows give repeated decisions.
+
+A window of words is embedded by a random walk: at step j it shows the word it stands on and moves on if bit j of that
+word's number is set. After an edit the two walks soon run together again, so a small edit distance becomes a small
+Hamming distance of what the walks show. Items fall in size classes c (4, 6, 8, 12, 16 …, the largest not above their
+words). The walks of a class have 3c/2 steps, which pass over 3c/4 words on average: the window that is left of an item
+wherever in its first quarter it is entered. Documents are entered at every c/4-th word, items at all. Each of
+``2 c`` tables (16 at least) reads ``READ`` steps of a walk (bit sampling); a window agrees with an item if one table's reading is the
+same. With these numbers at least ``RECALL`` of the hits with all edits allowed are found by walks alone; ``tests/llm``
+measures it for each length from 8 to 64. What agrees is compared by the exact word edit distance (bit-parallel, best
+end in the window around it). A hit has at most ``EDITS`` edits per word of the item.
+
+Beside the walks stands an exact lookup that makes recall whole: an item is cut into one part more than edits are
+allowed, a hit leaves one part as it is, and runs of the parts' sizes are looked up (``exact=False`` leaves it out).
+Items in which no edit is allowed (up to 4 words) have one part, and no walks.
+
+The benchmark's distinct texts are numbered and collected in slices of at most ``ITEMS``, each slice a pass over the
+documents, so what the driver and a task hold is bounded whatever the benchmark holds; equal items are searched once.
+Items of fewer than ``least_words`` words, null items included, are not searched: single words are too common to mean
+anything (default ``LEAST_WORDS``). Null and empty documents have no hits. Repeated rows give repeated decisions. Of
+several places of equal distance in a text the first that was compared counts. Very long texts are runs of their own.
+Other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -26,28 +35,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamlens.llm.words import Hasher, Words, pieces, split, window_hash
+from streamlens.llm.words import Hasher, Words, mix, pieces, split, window_hash
+from streamlens.operators.ordered import cut, running
+from streamlens.session import pin
 
-ITEMS = 5_000
+ITEMS = 2_000
 EDITS = 0.2
+RECALL = 0.95
+READ = 4
 LEAST_WORDS = 2
 PIECE = 1 << 19
+BROADCAST_DIGESTS = 100_000  # of 64 letters each
 
 
 class Walk(NamedTuple):
-    """``steps`` of a walk and the steps that each table reads."""
+    """Walks of a size class: how far apart documents are entered, the steps, and the steps that each table reads."""
 
+    stride: int
     steps: int
     tables: list[list[int]]
 
 
-def tables(steps: int, count: int, sampled: int, seed: int) -> Walk:
-    rng = np.random.default_rng(seed)
-    return Walk(steps, [sorted(rng.choice(steps, sampled, replace=False).tolist()) for _ in range(count)])
+def size_class(n: int) -> int:
+    """The largest of 4, 6, 8, 12, 16, 24 … that is not above n."""
+    power = 1 << (n.bit_length() - 1)
+    return power + power // 2 if n >= power + power // 2 else power
+
+
+def walk_of(size: int) -> Walk:
+    rng = np.random.default_rng(size)
+    steps = size + size // 2
+    return Walk(max(1, size // 4), steps, [sorted(rng.choice(steps, READ, replace=False).tolist()) for _ in range(max(16, 2 * size))])
 
 
-LONG = tables(24, 16, 6, 1)
-SHORT = tables(10, 8, 5, 2)
 #: Ranges of letters of scripts without blanks, and of their signs, which are blanks (first and last code point).
 LETTERS = (
     (0x0E00, 0x0EFF), (0x0F00, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x3005, 0x3007), (0x3021, 0x3029),
@@ -93,22 +113,30 @@ def _letters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(begins), np.concatenate(ends)
 
 
-def walk_hashes(numbers: np.ndarray, walk: Walk) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For a walk from each word: the number each table reads, and the place of the last step it reads."""
-    n = len(numbers)
-    padded = np.concatenate((numbers, np.zeros(walk.steps + 1, np.uint64)))
-    at = np.arange(n)
-    read = [np.full(n, k + 1, np.uint64) for k in range(len(walk.tables))]
+def walk_hashes(numbers: np.ndarray, starts: np.ndarray, walk: Walk) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For a walk from each start: the number each table reads, and the place of the last step it reads.
+
+    A zero ends a text: walks stay on it.
+    """
+    padded = np.append(numbers, np.uint64(0))
+    at = starts.copy()
+    read = [np.full(len(at), k + 1, np.uint64) for k in range(len(walk.tables))]
     last = [at] * len(walk.tables)
+    readers: list[list[int]] = [[] for _ in range(walk.steps)]
+    for k, steps in enumerate(walk.tables):
+        for j in steps:
+            readers[j].append(k)
+    bits = padded
     with np.errstate(over="ignore"):
         for j in range(walk.steps):
+            if j and j % 64 == 0:  # further bits of each word
+                bits = np.where(padded == 0, np.uint64(0), mix(padded + np.uint64(j)))
             here = padded[at]
-            for k, steps in enumerate(walk.tables):
-                if j in steps:
-                    read[k] = (read[k] ^ here) * np.uint64(0x9FB21C651E98DF25)
-                    read[k] ^= read[k] >> np.uint64(32)
-                    last[k] = at
-            at = at + ((here >> np.uint64(j)) & np.uint64(1)).astype(np.int64)
+            for k in readers[j]:
+                read[k] = (read[k] ^ here) * np.uint64(0x9FB21C651E98DF25)
+                read[k] ^= read[k] >> np.uint64(32)
+                last[k] = at
+            at = at + ((bits[at] >> np.uint64(j % 64)) & np.uint64(1)).astype(np.int64)
     return read, last
 
 
@@ -122,7 +150,7 @@ class Table(NamedTuple):
 
 
 class Index(NamedTuple):
-    """``parts``: for each size of parts of items the table of their numbers."""
+    """``tables``: the walks of each size class of items; ``parts``: for each size of parts the table of their numbers."""
 
     key: list
     words: list[np.ndarray]
@@ -131,12 +159,11 @@ class Index(NamedTuple):
     parts: list[tuple[int, Table]]
 
 
-def table(rows: list[tuple[int, int, int]]) -> Table:
-    rows.sort()
-    number = np.array([x[0] for x in rows], np.uint64)
+def table(number: np.ndarray, item: np.ndarray, offset: np.ndarray) -> Table:
+    order = np.lexsort((offset, item, number))
     bitmap = np.zeros(1 << 20, bool)
     bitmap[(number >> np.uint64(44)).astype(np.int64)] = True
-    return Table(number, np.array([x[1] for x in rows], np.int64), np.array([x[2] for x in rows], np.int64), bitmap)
+    return Table(number[order], item[order], offset[order], bitmap)
 
 
 def runs_of(numbers: np.ndarray, size: int) -> np.ndarray:
@@ -144,7 +171,7 @@ def runs_of(numbers: np.ndarray, size: int) -> np.ndarray:
     return window_hash(numbers, np.array([0, len(numbers)]), size)[0]
 
 
-def build(keys: list, texts: list[str | None], edits: float = EDITS) -> Index:
+def build(keys: list, texts: list[str | None], edits: float = EDITS, least_words: int = LEAST_WORDS, exact: bool = True) -> Index:
     hasher = Hasher(13)
     words = plain_words(pa.array(texts, pa.string()))
     numbers = hasher(words.data, words.start, words.end)
@@ -155,47 +182,57 @@ def build(keys: list, texts: list[str | None], edits: float = EDITS) -> Index:
         for i, w in enumerate(item.tolist()):
             mask[w] = mask.get(w, 0) | 1 << i
         masks.append(mask)
+    classes: dict[int, list[int]] = {}
+    for i, item in enumerate(own):
+        if int(edits * len(item)) and len(item) >= max(least_words, 4):
+            classes.setdefault(size_class(len(item)), []).append(i)
     found = []
-    for walk in (LONG, SHORT):
-        rows: list[list[tuple[int, int, int]]] = [[] for _ in walk.tables]
-        for i, item in enumerate(own):
-            if len(item) < LEAST_WORDS or (walk is SHORT and len(item) >= 16):
-                continue
-            read, last = walk_hashes(item, walk)
-            for k in range(len(walk.tables)):
-                for o in np.flatnonzero(last[k] < len(item)).tolist():
-                    rows[k].append((int(read[k][o]), i, o))
-        made = [table(r) for r in rows]
-        if any(len(m.number) for m in made):
-            found.append((walk, made))
+    for size, members in sorted(classes.items()):
+        walk = walk_of(size)
+        length = np.array([len(own[i]) for i in members])
+        begin = np.cumsum(length + 1) - length - 1
+        apart = np.concatenate([np.append(own[i], np.uint64(0)) for i in members])
+        starts = np.flatnonzero(apart)
+        which = np.searchsorted(begin, starts, "right") - 1
+        read, last = walk_hashes(apart, starts, walk)
+        made = []
+        for number, end in zip(read, last, strict=True):
+            whole = apart[end] != 0  # a reading of the item alone
+            made.append(table(number[whole], np.array(members)[which[whole]], (starts - begin[which])[whole]))
+        found.append((walk, made))
     parts: dict[int, list[tuple[int, int, int]]] = {}
     for i, item in enumerate(own):
         n = len(item)
-        if n >= LEAST_WORDS:
+        if n >= least_words and (exact or not int(edits * n)):
             count = min(int(edits * n) + 1, n)
             for a, b in ((n * k // count, n * (k + 1) // count) for k in range(count)):
                 parts.setdefault(b - a, []).append((int(runs_of(item[a:b], b - a)[0]), i, a))
-    return Index(keys, own, masks, found, [(size, table(rows)) for size, rows in parts.items()])
+    parted = [(size, table(*(np.array(c, k) for c, k in zip(zip(*rows), (np.uint64, np.int64, np.int64))))) for size, rows in parts.items()]
+    return Index(keys, own, masks, found, parted)
 
 
-def candidates(numbers: np.ndarray, index: Index, row_of: np.ndarray) -> set[tuple[int, int, int]]:
+def candidates(numbers: np.ndarray, index: Index, row_of: np.ndarray, first: np.ndarray) -> set[tuple[int, int, int]]:
     """(row of the agreement, item, place of its first word) for each agreement of a table. The place can lie outside the row."""
     out: set[tuple[int, int, int]] = set()
 
-    def agree(number: np.ndarray, known: Table) -> None:
+    def agree(number: np.ndarray, known: Table, place: np.ndarray) -> None:
         maybe = np.flatnonzero(known.bitmap[(number >> np.uint64(44)).astype(np.int64)])
         lo = np.searchsorted(known.number, number[maybe], "left")
         hi = np.searchsorted(known.number, number[maybe], "right")
         at = maybe[hi > lo]
+        at = place[at]
         for p, row, a, b in zip(at.tolist(), row_of[at].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist(), strict=True):
             out.update((row, i, p - o) for i, o in zip(known.item[a:b].tolist(), known.offset[a:b].tolist(), strict=True))
 
+    every = np.arange(len(numbers))
+    entry = every - first[row_of]
     for walk, made in index.tables:
-        read, _ = walk_hashes(numbers, walk)
+        starts = every[(entry % walk.stride == 0) & (numbers != 0)]
+        read, _ = walk_hashes(numbers, starts, walk)
         for number, known in zip(read, made, strict=True):
-            agree(number, known)
+            agree(number, known, starts)
     for size, known in index.parts:
-        agree(runs_of(numbers, size), known)
+        agree(runs_of(numbers, size), known, every)
     return out
 
 
@@ -240,7 +277,7 @@ def search(texts: pa.Array, index: Index, hasher: Hasher, edits: float) -> list[
     apart[np.arange(len(numbers)) + row_of] = numbers
     found: dict[tuple[int, int], Hit] = {}
     tried: set[tuple[int, int, int]] = set()
-    for row, item, place in sorted(candidates(apart, index, np.repeat(np.arange(len(first) - 1), np.diff(first)))):
+    for row, item, place in sorted(candidates(apart, index, np.repeat(np.arange(len(first) - 1), np.diff(first)), first)):
         n = len(index.words[item])
         slack = int(edits * n)
         begin, end = int(first[row]), int(first[row + 1]) - 1
@@ -256,25 +293,31 @@ def search(texts: pa.Array, index: Index, hasher: Hasher, edits: float) -> list[
     return list(found.values())
 
 
-def _slices(benchmark: DataFrame, item: str, text: str, edits: float) -> Iterator[Index]:
-    """The benchmark in slices of about ``ITEMS`` items, told apart by a hash of the text."""
-    count = -(-benchmark.count() // ITEMS)
-    for k in range(count):
-        rows = benchmark.where(F.pmod(F.xxhash64(text), F.lit(count)) == k).select(item, text).collect()
-        yield build([r[0] for r in rows], [r[1] for r in rows], edits)
+def _numbered(benchmark: DataFrame, item: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Distinct texts ``(no, text)`` and the items ``(no, item)`` that have them. Equal texts share a number."""
+    texts = benchmark.select(F.col(text).alias("text")).where("text IS NOT NULL").distinct()
+    numbered = running(cut(pin(texts, "benchmark-texts"), [], ["text"]), {"no": ("count", F.lit(1))}).result()
+    numbered = pin(numbered.select((F.col("no") - 1).cast("long").alias("no"), "text"), "benchmark")
+    items = benchmark.select(F.col(item).alias("_item"), F.col(text).alias("text")).join(numbered, "text").select("no", "_item")
+    return numbered, pin(items, "benchmark-items")
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", edits: float = EDITS) -> DataFrame:
-    """One row per document and item found in it: ``key``, ``item``, ``distance`` (words), ``similarity``,
-    ``start_word`` (among the document's words as compared) and ``item_words``."""
-    kind = benchmark.schema[item].dataType.simpleString()
-    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, `{item}` {kind}, distance long, similarity double, start_word long, item_words long"
+def _slices(numbered: DataFrame, edits: float, least_words: int) -> Iterator[Index]:
+    """The benchmark in slices of ``ITEMS`` texts, by their numbers."""
+    for k in range(-(-numbered.count() // ITEMS)):
+        rows = numbered.where((F.col("no") >= k * ITEMS) & (F.col("no") < (k + 1) * ITEMS)).collect()
+        yield build([r.no for r in rows], [r.text for r in rows], edits, least_words)
+
+
+def _found(docs: DataFrame, numbered: DataFrame, edits: float, least_words: int) -> DataFrame:
+    """``key``, ``no``, ``distance``, ``similarity``, ``start_word``, ``item_words`` for rows ``key``, ``text``."""
+    schema = f"key {docs.schema['key'].dataType.simpleString()}, no long, distance long, similarity double, start_word long, item_words long"
     out = docs.sparkSession.createDataFrame([], schema)
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    for index in _slices(benchmark, item, item_text, edits):
+    for index in _slices(numbered, edits, least_words):
+        shared = docs.sparkSession.sparkContext.broadcast(index)  # at most ITEMS texts; one copy for all tasks of an executor
 
-        def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            hasher = Hasher(13)
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            hasher, index = Hasher(13), shared.value
             for batch in pieces(batches, "text", PIECE):
                 got = sorted(search(batch.column("text"), index, hasher, edits))
                 if got:
@@ -282,28 +325,37 @@ def hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
                     distance = np.array([h.distance for h in got])
                     yield pa.RecordBatch.from_arrays(
                         [
-                            batch.column("key").take(pa.array([h.row for h in got])), pa.array([index.key[h.item] for h in got], item_type),
+                            batch.column("key").take(pa.array([h.row for h in got])), pa.array([index.key[h.item] for h in got], pa.int64()),
                             pa.array(distance, pa.int64()), pa.array(1 - distance / size), pa.array([h.start for h in got], pa.int64()),
                             pa.array(size, pa.int64()),
                         ],
-                        names=[key, item, "distance", "similarity", "start_word", "item_words"],
+                        names=["key", "no", "distance", "similarity", "start_word", "item_words"],
                     )
 
-        item_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-        out = out.unionByName(rows.mapInArrow(run, schema))
+        out = out.unionByName(docs.mapInArrow(run, schema))
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", edits: float = EDITS) -> DataFrame:
-    """``docs`` without those that hold an item of the benchmark."""
-    for index in _slices(benchmark, item, item_text, edits):
-
-        def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            hasher = Hasher(13)
-            for batch in pieces(batches, text, PIECE):
-                keep = np.ones(batch.num_rows, bool)
-                keep[[h.row for h in search(batch.column(text), index, hasher, edits)]] = False
-                yield batch.filter(pa.array(keep))
-
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+def hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
+         edits: float = EDITS, least_words: int = LEAST_WORDS) -> DataFrame:
+    """One row per document and item found in it: ``key``, ``item``, ``distance`` (words), ``similarity``,
+    ``start_word`` (among the document's words as compared) and ``item_words``. Keys and items may be of any type."""
+    numbered, items = _numbered(benchmark, item, item_text)
+    found = _found(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), numbered, edits, least_words)
+    return found.join(items, "no").select(
+        F.col("key").alias(key), F.col("_item").alias(item), "distance", "similarity", "start_word", "item_words"
+    )
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
+          edits: float = EDITS, least_words: int = LEAST_WORDS) -> DataFrame:
+    """``docs`` without those that hold an item of the benchmark. A decision depends on the text alone, so texts with
+    hits are left out by one anti-join, however many slices the benchmark has."""
+    numbered, _ = _numbered(benchmark, item, item_text)
+    digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+    found = _found(docs.select(digest.alias("key"), F.col(text).alias("text")), numbered, edits, least_words)
+    bad = pin(found.select(F.col("key").alias("_digest")).distinct(), "contaminated")
+    if bad.count() <= BROADCAST_DIGESTS:
+        bad = F.broadcast(bad)
+    kept = docs.withColumn("_digest", digest).join(bad, "_digest", "left_anti")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -189,6 +189,65 @@ def test_benchmark_finds_all_copies_of_short_items(n):
     assert {(k, k) for k in range(len(items))} <= found
 
 
+@pytest.mark.parametrize("n", [8, 9, 10, 11, 12, 14, 15, 16, 18, 20, 23, 24, 28, 31, 32, 40, 47, 48, 56, 64])
+def test_benchmark_recall_of_walks_alone(n):
+    """The random-walk embedding finds at least ``RECALL`` of the copies with all edits allowed, without the exact parts."""
+    items, made = edited_copies(n, random.Random(n), [f"w{k}" for k in range(5000)], 300)
+    index = decontaminate.build(list(range(len(items))), items, exact=False)
+    assert not index.parts
+    found = {(h.row, h.item) for h in decontaminate.search(pa.array(made), index, Hasher(13), 0.2)}
+    assert sum((k, k) in found for k in range(len(items))) >= decontaminate.RECALL * len(items)
+
+
+def least_distance(item, text):
+    """Least edit distance of ``item`` to any run of ``text``, by the plain table."""
+    text = np.array(text)
+    row = np.zeros(len(text) + 1, int)  # a run may start anywhere
+    for i, w in enumerate(item, 1):
+        best = np.minimum(row[1:] + 1, row[:-1] + (text != w))
+        best = np.concatenate(([i], best))
+        # insertions: a running least of the row less its place
+        row = np.minimum.accumulate(best - np.arange(len(best))) + np.arange(len(best))
+    return int(row.min())
+
+
+def test_benchmark_equals_all_pairs(spark, texts):
+    """Every document against every item by brute force; some documents hold edited items."""
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()}
+    rng = random.Random(5)
+    rows = dict(texts) | {10**6 + i: "A b " + " ".join(edited((t or "").split(), rng.choice((0.1, 0.2, 0.3)), rng, ["the", "of"])) for i, t in items.items()}
+
+    def cut_(text):
+        w = decontaminate.plain_words(pa.array([text or ""]))
+        return [w.data[a:b].tobytes() for a, b in zip(w.start, w.end)]
+
+    parts = {i: cut_(t) for i, t in items.items()}
+    want = set()
+    for d, text in rows.items():
+        words_ = cut_(text)
+        for i, item in parts.items():
+            if len(item) >= 2 and len(set(item) & set(words_)) >= 0.3 * len(set(item)):
+                distance = least_distance(item, words_)
+                if distance <= int(0.2 * len(item)):
+                    want.add((d, i, distance))
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.distance) for r in decontaminate.hits(docs, bench).collect()}
+    assert got == want and len(want) >= 30
+
+
+def test_benchmark_of_many_slices_and_equal_items(spark, odd, monkeypatch):
+    monkeypatch.setattr(decontaminate, "ITEMS", 2)
+    rows = [(f"i{k}", "three four five six") for k in range(50)] + [("b", "日本語"), ("c", "lorem ipsum lorem"), ("d", None), ("e", "one two three four five six seven")]
+    items = spark.createDataFrame(rows, "item_id string, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.hits(odd, items).collect()}
+    holders = {1, 6, None}
+    assert got == {(d, f"i{k}") for d in holders for k in range(50)} | {(7, "b"), (5, "c")} | {(d, "e") for d in holders}
+    kept = decontaminate.clean(odd.withColumn("_digest", F.lit("x")).withColumn("no", F.lit(1)), items)
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 8] and kept.columns[-2:] == ["_digest", "no"]
+    assert decontaminate.hits(odd, items, least_words=5).count() == 4
+
+
 def test_benchmark_in_scripts_without_blanks():
     items = ["光合作用是植物利用光能把二氧化碳和水转化为有机物的过程", "日本の首都は東京です", "กรุงเทพเป็นเมืองหลวงของประเทศไทย", "the answer"]
     rows = [f"前言。{items[0]}。后记", f"「{items[1]}」と言う", f"ก่อน{items[2]}หลัง", items[0].replace("植物", "动物"), "日本の首都", "Well, the answer: 42", "mixed日本の首都は東京ですtext"]
