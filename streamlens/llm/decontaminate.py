@@ -39,7 +39,7 @@ from streamlens.llm.words import Hasher, Words, mix, pieces, split, window_hash
 from streamlens.operators.ordered import cut, running
 from streamlens.session import pin
 
-ITEMS = 2_000
+ITEMS = 1_000
 EDITS = 0.2
 RECALL = 0.95
 READ = 4
@@ -141,12 +141,13 @@ def walk_hashes(numbers: np.ndarray, starts: np.ndarray, walk: Walk) -> tuple[li
 
 
 class Table(NamedTuple):
-    """Numbers of one table over all items, sorted, with the item and offset of each, and a bitmap of them."""
+    """Numbers of one table over all items, sorted, with the item and offset of each, and a bitmap of their first bits."""
 
     number: np.ndarray
     item: np.ndarray
     offset: np.ndarray
     bitmap: np.ndarray
+    shift: np.uint64
 
 
 class Index(NamedTuple):
@@ -161,9 +162,11 @@ class Index(NamedTuple):
 
 def table(number: np.ndarray, item: np.ndarray, offset: np.ndarray) -> Table:
     order = np.lexsort((offset, item, number))
-    bitmap = np.zeros(1 << 20, bool)
-    bitmap[(number >> np.uint64(44)).astype(np.int64)] = True
-    return Table(number[order], item[order], offset[order], bitmap)
+    bits = len(number).bit_length() + 3
+    shift = np.uint64(64 - bits)
+    bitmap = np.zeros(1 << bits, bool)
+    bitmap[(number >> shift).astype(np.int64)] = True
+    return Table(number[order], item[order].astype(np.int32), offset[order].astype(np.int32), bitmap, shift)
 
 
 def runs_of(numbers: np.ndarray, size: int) -> np.ndarray:
@@ -216,7 +219,7 @@ def candidates(numbers: np.ndarray, index: Index, row_of: np.ndarray, first: np.
     out: set[tuple[int, int, int]] = set()
 
     def agree(number: np.ndarray, known: Table, place: np.ndarray) -> None:
-        maybe = np.flatnonzero(known.bitmap[(number >> np.uint64(44)).astype(np.int64)])
+        maybe = np.flatnonzero(known.bitmap[(number >> known.shift).astype(np.int64)])
         lo = np.searchsorted(known.number, number[maybe], "left")
         hi = np.searchsorted(known.number, number[maybe], "right")
         at = maybe[hi > lo]
@@ -302,22 +305,25 @@ def _numbered(benchmark: DataFrame, item: str, text: str) -> tuple[DataFrame, Da
     return numbered, pin(items, "benchmark-items")
 
 
-def _slices(numbered: DataFrame, edits: float, least_words: int) -> Iterator[Index]:
+def _slices(numbered: DataFrame) -> Iterator[dict]:
     """The benchmark in slices of ``ITEMS`` texts, by their numbers."""
     for k in range(-(-numbered.count() // ITEMS)):
         rows = numbered.where((F.col("no") >= k * ITEMS) & (F.col("no") < (k + 1) * ITEMS)).collect()
-        yield build([r.no for r in rows], [r.text for r in rows], edits, least_words)
+        yield {"keys": [r.no for r in rows], "texts": [r.text for r in rows]}
 
 
 def _found(docs: DataFrame, numbered: DataFrame, edits: float, least_words: int) -> DataFrame:
     """``key``, ``no``, ``distance``, ``similarity``, ``start_word``, ``item_words`` for rows ``key``, ``text``."""
     schema = f"key {docs.schema['key'].dataType.simpleString()}, no long, distance long, similarity double, start_word long, item_words long"
     out = docs.sparkSession.createDataFrame([], schema)
-    for index in _slices(numbered, edits, least_words):
-        shared = docs.sparkSession.sparkContext.broadcast(index)  # at most ITEMS texts; one copy for all tasks of an executor
+    for part in _slices(numbered):
+        shared = docs.sparkSession.sparkContext.broadcast(part)  # at most ITEMS texts
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            hasher, index = Hasher(13), shared.value
+            hasher, held = Hasher(13), shared.value
+            if "index" not in held:  # a worker keeps it for its later tasks
+                held["index"] = build(held["keys"], held["texts"], edits, least_words)
+            index = held["index"]
             for batch in pieces(batches, "text", PIECE):
                 got = sorted(search(batch.column("text"), index, hasher, edits))
                 if got:
