@@ -8,7 +8,7 @@ word's number is set. After an edit the two walks soon run together again, so a
 Hamming distance of what the walks show. Items fall in size classes c (4, 6, 8, 12, 16 …, the largest not above their
 words). The walks of a class have 3c/2 steps, which pass over 3c/4 words on average: the window that is left of an item
 wherever in its first quarter it is entered. Documents are entered at every c/4-th word, items at all. Each of
-``2 c`` tables (16 at least) reads ``READ`` steps of a walk (bit sampling); a window agrees with an item if one table's reading is the
+``c + 16`` tables reads ``READ`` steps of a walk (bit sampling); a window agrees with an item if one table's reading is the
 same. With these numbers at least ``RECALL`` of the hits with all edits allowed are found by walks alone; ``tests/llm``
 measures it for each length from 8 to 64. What agrees is compared by the exact word edit distance (bit-parallel, best
 end in the window around it). A hit has at most ``EDITS`` edits per word of the item.
@@ -44,6 +44,7 @@ EDITS = 0.2
 RECALL = 0.95
 READ = 4
 LEAST_WORDS = 2
+FACTORS = [np.uint64(x) for x in (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]  # odd, one per step read
 PIECE = 1 << 19
 BROADCAST_DIGESTS = 100_000  # of 64 letters each
 
@@ -65,7 +66,7 @@ def size_class(n: int) -> int:
 def walk_of(size: int) -> Walk:
     rng = np.random.default_rng(size)
     steps = size + size // 2
-    return Walk(max(1, size // 4), steps, [sorted(rng.choice(steps, READ, replace=False).tolist()) for _ in range(max(16, 2 * size))])
+    return Walk(max(1, size // 4), steps, [sorted(rng.choice(steps, READ, replace=False).tolist()) for _ in range(size + 16)])
 
 
 #: Ranges of letters of scripts without blanks, and of their signs, which are blanks (first and last code point).
@@ -122,19 +123,19 @@ def walk_hashes(numbers: np.ndarray, starts: np.ndarray, walk: Walk) -> tuple[li
     at = starts.copy()
     read = [np.full(len(at), k + 1, np.uint64) for k in range(len(walk.tables))]
     last = [at] * len(walk.tables)
-    readers: list[list[int]] = [[] for _ in range(walk.steps)]
+    readers: list[list[tuple[int, np.uint64]]] = [[] for _ in range(walk.steps)]
     for k, steps in enumerate(walk.tables):
-        for j in steps:
-            readers[j].append(k)
-    bits = padded
+        for j, factor in zip(steps, FACTORS, strict=True):
+            readers[j].append((k, factor))
+    bits, term = padded, np.empty(len(at), np.uint64)
     with np.errstate(over="ignore"):
         for j in range(walk.steps):
             if j and j % 64 == 0:  # further bits of each word
                 bits = np.where(padded == 0, np.uint64(0), mix(padded + np.uint64(j)))
             here = padded[at]
-            for k in readers[j]:
-                read[k] = (read[k] ^ here) * np.uint64(0x9FB21C651E98DF25)
-                read[k] ^= read[k] >> np.uint64(32)
+            for k, factor in readers[j]:
+                np.multiply(here, factor, out=term)
+                np.add(read[k], term, out=read[k])
                 last[k] = at
             at = at + ((bits[at] >> np.uint64(j % 64)) & np.uint64(1)).astype(np.int64)
     return read, last
@@ -290,7 +291,10 @@ def search(texts: pa.Array, index: Index, hasher: Hasher, edits: float) -> list[
             continue
         tried.add((item, row, rough))
         a, b = max(begin, begin + rough * step - slack), min(end, begin + (rough + 1) * step + n + slack)
-        distance, stop = best_match(index.masks[item], n, apart[a:b].tolist())
+        run, mask = apart[a:b].tolist(), index.masks[item]
+        if sum(map(mask.__contains__, run)) < n - slack:  # too few words of the item for so few edits
+            continue
+        distance, stop = best_match(mask, n, run)
         if distance <= slack and (known := found.get((row, item))) is None or distance <= slack and distance < known.distance:
             found[row, item] = Hit(row, item, distance, max(0, a - begin + stop - n))
     return list(found.values())
