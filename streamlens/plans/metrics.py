@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from streamlens import schemas
 from streamlens.functions.scalar import cents
-from streamlens.operators import aggregates, ranking, windows
+from streamlens.operators import accumulate, aggregates, bitmaps, ranking, windows
 from streamlens.plans.registry import query, table
+from streamlens.session import pin
 from streamlens.sources.files import json_number, read_events
 
 ORDER = ["ts", "event_id"]
@@ -149,6 +150,24 @@ def custom_aggregate(spark, folder):
     return windows.windowed(rows, "ts", "6 hours", aggs, ["event_type"])
 
 
+DECAYED_SQL = f"""
+SELECT user_id, round(sum(c * w) / sum(w), 3) AS mean, any_value(newest) AS newest FROM (
+  SELECT user_id, c, max(ts) OVER (PARTITION BY user_id) AS newest,
+         pow(2.0, (epoch_us(ts) - epoch_us(max(ts) OVER (PARTITION BY user_id))) / 86400000000.0) AS w
+  FROM ({E}) WHERE c IS NOT NULL) GROUP BY user_id
+"""
+
+
+@query(DECAYED_SQL)
+def decayed_mean(spark, folder):
+    """Mean value per user, a day halving what a row counts."""
+    rows = events(spark, folder).select(
+        "user_id", F.col("c").cast("double").alias("_x"), F.unix_micros(F.col("ts").cast("timestamp")).alias("_at")
+    )
+    found = accumulate.accumulate(rows, ["user_id"], accumulate.DecayedMean(86_400_000_000))
+    return found.select("user_id", F.round("mean", 3).alias("mean"), F.timestamp_micros("newest").cast("timestamp_ntz").alias("newest"))
+
+
 TOP_PRODUCTS = f"""
 SELECT client, product, amount,
        CAST(row_number() OVER (PARTITION BY client ORDER BY amount DESC, product) AS INTEGER) AS rank
@@ -302,6 +321,23 @@ def windowed_uv(spark, folder):
     return windows.windowed_uv(views(spark, folder), "ts", "user_id")
 
 
+@query(UV_SQL)
+def windowed_uv_bitmap(spark, folder):
+    rows = views(spark, folder)
+    return bitmaps.users_counted(bitmaps.window_bitmaps(rows, "ts", "user_id", bitmaps.user_numbers(rows, "user_id")))
+
+
+@query(f"""
+SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS window_end,
+       count(DISTINCT user_id) AS uv FROM ({V}) GROUP BY ALL
+""")
+def daily_uv_bitmap(spark, folder):
+    """Days from the stored bitmaps of hours."""
+    rows = views(spark, folder)
+    hours = bitmaps.window_bitmaps(rows, "ts", "user_id", bitmaps.user_numbers(rows, "user_id"))
+    return bitmaps.users_counted(bitmaps.rolled_up(pin(hours, "hour-bitmaps"), "1 day"))
+
+
 @query()
 def windowed_uv_approx(spark, folder):
     return windows.windowed_uv_approx(views(spark, folder), "ts", "user_id")

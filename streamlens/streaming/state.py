@@ -224,6 +224,43 @@ class TopProducts(Typed):
             yield Row(key=key[0], rank=rank, product=product, x=x)
 
 
+class IdleTotals(Typed):
+    """Rows and sum of ``x`` per key, told once the key was silent for ``idle`` seconds of wall-clock time.
+
+    Each batch with rows of a key moves its timer; state and timer are in the checkpoint, so a timer that was set
+    before a restart fires after it. Use with ``time_mode="ProcessingTime"`` and a trigger that goes on: one that ends with
+    the available data never ends here, as a timer may always be due.
+    """
+
+    SCHEMA = "key {key}, n BIGINT, total DOUBLE"
+
+    def __init__(self, idle: float):
+        self.idle_ms = int(idle * 1000)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.sums = handle.getValueState("sums", "n BIGINT, total DOUBLE, timer BIGINT")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        n, total, timer = self.sums.get() or (0, 0.0, None)
+        for r in rows:
+            n += 1
+            total += 0.0 if r["x"] is None else float(r["x"])
+        due = timerValues.getCurrentProcessingTimeInMs() + self.idle_ms
+        if timer is not None and timer != due:
+            self.handle.deleteTimer(timer)
+        if timer != due:
+            self.handle.registerTimer(due)
+        self.sums.update((n, total, due))
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        stored = self.sums.get()
+        if stored is not None and expiredTimerInfo.getExpiryTimeInMs() >= stored[2]:
+            self.sums.clear()
+            yield Row(key=key[0], n=stored[0], total=stored[1])
+
+
 def keyed(stream: DataFrame, processor: Typed, time_mode: str = "None",
           mode: str = "Append") -> DataFrame:
     """Run a processor per ``key`` of the stream."""
