@@ -532,7 +532,7 @@ def test_pipeline_stages_on_odd_rows(spark, stage):
 
 
 def test_registration():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in Q) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in Q) == list(range(1, 14))
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
