@@ -14,7 +14,7 @@ from streamlens.plans import relations, risk
 from streamlens.plans.basic import LATEST_SQL
 from streamlens.plans.registry import query, table
 from streamlens.session import scratch
-from streamlens.sources import sinks
+from streamlens.sources import committed, sinks
 from streamlens.sources.files import json_number, stream_files
 from streamlens.streaming import in_order, live, state
 from streamlens.streaming.jobs import (
@@ -87,6 +87,26 @@ def write_exactly_once(spark, folder):
     return replay(raw(spark, folder), "copy")
 
 
+@query("""
+SELECT event_id, user_id, event_type, CAST(round(value * 100) AS BIGINT) AS c FROM events WHERE event_id >= 100
+""")
+def committed_files_stream(spark, folder):
+    """Through a source and sink of one's own: a stream into committed files, those as a stream into others."""
+    committed.register(spark)
+    first, second = scratch(spark, "committed"), scratch(spark, "committed")
+    rows = events(spark, folder).select("event_id", "user_id", "event_type", "c")
+
+    def copied(stream, path):
+        sinks.write_source(stream, "committed", path, path + "-checkpoint").awaitTermination()
+
+    def stored(reader, path):
+        return reader.format("committed").schema(rows.schema).load(path)
+
+    copied(rows, first)
+    copied(stored(spark.readStream, first), second)
+    return stored(spark.read, second).where("event_id >= 100")
+
+
 @query(LATEST_SQL)
 def latest_value_table_stream(spark, folder):
     rows = raw(spark, folder).select("user_id", "event_id", "ts", "event_type", "value")

@@ -80,6 +80,17 @@ def write_exactly_once(df: DataFrame, path: str, checkpoint: str, **trigger) ->
     )
 
 
+def write_source(df: DataFrame, fmt: str, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Stream into a registered data source, whose own commits make each row appear once."""
+    return (
+        df.writeStream.format(fmt)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(**(trigger or {"availableNow": True}))
+        .start(path)
+    )
+
+
 def write_batches(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
                   mode: str = "append", **trigger) -> StreamingQuery:
     """Stream through ``write(batch, batch_id)``.
