@@ -395,6 +395,32 @@ def test_pii_long_secrets_and_other_groups(spark):
     assert a and a.groups()[:3] == a.groups()[3:] != ("499", "555", "6503")
 
 
+def account_is_right(text):
+    moved = text.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in moved[4:] + moved[:4])) % 97 == 1
+
+
+def test_pii_leaves_what_only_looks_like_it(spark):
+    texts = [
+        "at 1700000000123 ms", "4111 1111 1111 1112 is no card", "GB12 ABCD EFGH IJKL 1234 is no account",
+        "commit b44e15e09fd311c3cf3163b66d5a9875b883d8ce", "DE88 3702 0044 0532 0130 00",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [(r.text, r.n_entities) for r in pii.replace(frame, "k").orderBy("doc_id").collect()] == [(t, 0) for t in texts]
+    mixed = spark.createDataFrame([(1, f"{texts[1]} GB82 WEST 1234 5698 7654 32 {texts[4]} x@y.com"), (2, ""), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.replace(mixed, "k").collect()}
+    m = re.fullmatch(re.escape(texts[1]) + r" (GB\d\d [A-Z]{4} \d{4} \d{4} \d{4} \d\d) " + texts[4] + r" (\S+)@\S+", got[1].text)
+    assert m and got[1].n_entities == 2 and account_is_right(m[1]) and m[1] != "GB82 WEST 1234 5698 7654 32" and m[2] != "x"
+    assert got[2].text == "" and got[3].text is None
+
+
+def test_pii_many_entities_in_one_text(spark):
+    text = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(39_999)), lambda i: F.concat(F.lit("a"), i.cast("string"), F.lit("@mail.com and Mr Smith,"))))
+    out = pii.replace(spark.range(1).select("id", text.alias("text")), "k").first()
+    mails = re.findall(r"(\S+@\S+) and Mr (\w+),", out.text)
+    assert out.n_entities == 80_000 and len({m for m, _ in mails}) == len(mails) == 40_000 and len({n for _, n in mails}) == 1
+
+
 def test_pii_surrogates_stay_distinct(spark):
     entities = spark.range(150).select(F.lit("ssn").alias("kind"), F.lpad(F.col("id").cast("string"), 3, "0").alias("canon"))
     got = pii.surrogates(entities, "k").collect()  # 150 of 1000 numbers: many collide at first
