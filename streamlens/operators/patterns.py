@@ -7,11 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streamlens.operators.dedup import union_streams
-from streamlens.operators.ordered import MAX_ROWS, Ordered, cut, nearby, running
+from streamlens.operators.ordered import MAX_ROWS, Machine, Ordered, cut, fold, nearby, running, wide
 
 
 def single(df: DataFrame, condition: Column) -> DataFrame:
@@ -124,3 +126,62 @@ def longest_loops(matches: DataFrame, key: str | Sequence[str] | None, order: Se
                      F.struct(*order))
     return matches.groupBy(*_keys(key), "stretch").agg(first.alias("_m")).select(*_keys(key), "stretch", "_m.*") \
         .withColumnRenamed(out, "length")
+
+
+def history_machine(id_kind: T.DataType, percent: int) -> Machine:
+    """Rows ``_row``, ``_x`` to those accepted, each with the number and sum of the rows accepted before it.
+
+    Each acceptance moves the bar, so acceptances are found one after the other, in growing blocks. A chunk whose
+    largest value is not above the bar accepts nothing and hands the history on as it is.
+    """
+    history = T.StructType([T.StructField("matches", T.LongType()), T.StructField("total", T.LongType())])
+    out = T.StructType([T.StructField("_id", id_kind), T.StructField("_hit", T.LongType()), *history])
+
+    def bar(state: dict) -> int | None:
+        return percent * state["total"] // (100 * state["matches"]) if state["matches"] else None
+
+    def step(columns: dict[str, np.ndarray], state: dict) -> tuple[dict[str, np.ndarray], dict]:
+        x = columns["_x"]
+        n, total, at = state["matches"], state["total"], 0
+        hits, counts, totals = [], [], []
+        while at < len(x):
+            limit, size = bar({"matches": n, "total": total}), 16
+            while at < len(x):
+                above = x[at:at + size] > limit if limit is not None else np.ones(1, bool)
+                if above.any():
+                    at += int(above.argmax())
+                    hits.append(at)
+                    counts.append(n)
+                    totals.append(total)
+                    n, total, at = n + 1, total + x[at].item(), at + 1
+                    break
+                at, size = at + size, size * 2
+        found = np.array(hits, int)
+        emitted = {"_id": columns["_row"][found], "_hit": x[found], "matches": np.array(counts, np.int64), "total": np.array(totals, np.int64)}
+        return emitted, {"matches": n, "total": total}
+
+    def finish(state: dict) -> dict[str, np.ndarray]:
+        return {c: np.array([]) for c in out.names}
+
+    def carry(given: dict, end: dict, facts: dict) -> dict:
+        limit = bar(given)
+        return given if limit is not None and facts["most"] <= limit else end
+
+    return Machine(("_row", "_x"), out, history, {"matches": 0, "total": 0}, step, finish, {"most": F.max("_x")}, carry)
+
+
+def above_history(df: DataFrame, key: str, value: str, row_id: str, order: Sequence[str], percent: int = 100,
+                  max_rows: int = MAX_ROWS) -> DataFrame:
+    """A condition over earlier matches: rows whose value is above ``percent`` per cent of the mean of those accepted so far.
+
+    ``value`` holds whole numbers. The first row of a key is accepted. Output: the key, ``row_id``, ``value``, and
+    ``matches`` and ``total``, the number and sum of the rows accepted before. Rows without a value or id are left out;
+    rows of equal order count in any order, so ``order`` should be unique. In a large key, chunks that accept nothing are
+    passed over; those that do run again once their history is known, at most once per chunk that accepts.
+    """
+    id_kind = wide(df, row_id, T.StringType())
+    rows = df.dropna(subset=[value, row_id]).select(
+        key, *order, F.col(row_id).cast(id_kind).alias("_row"), F.col(value).cast("long").alias("_x")
+    )
+    hits = fold(cut(rows, [key], order, max_rows), history_machine(id_kind, percent))
+    return hits.select(key, F.col("_id").alias(row_id), F.col("_hit").alias(value), "matches", "total")

@@ -106,6 +106,24 @@ def pattern_iterative_condition(spark, folder):
     return patterns.single(events(spark, folder), kinds & (F.col("k") > 30)).select("event_id")
 
 
+@query(f"""
+WITH RECURSIVE r AS (
+  SELECT user_id, event_id, c, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM ({E}) WHERE c IS NOT NULL
+), walk(user_id, event_id, c, i, accepted, matches, total) AS (
+  SELECT user_id, event_id, c, i, true, CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM r WHERE i = 1
+  UNION ALL
+  SELECT n.user_id, n.event_id, n.c, n.i,
+         100 * n.c * (w.matches + CAST(w.accepted AS BIGINT)) > 150 * (w.total + CASE WHEN w.accepted THEN w.c ELSE 0 END),
+         w.matches + CAST(w.accepted AS BIGINT), w.total + CASE WHEN w.accepted THEN w.c ELSE 0 END
+  FROM walk w JOIN r n ON n.user_id = w.user_id AND n.i = w.i + 1
+)
+SELECT user_id, event_id, c, matches, total FROM walk WHERE accepted
+""")
+def pattern_history_condition(spark, folder):
+    """Events worth more than one and a half times the mean of those accepted before."""
+    return patterns.above_history(events(spark, folder), "user_id", "c", "event_id", ORDER, 150)
+
+
 def times_sql(times: int) -> str:
     return f"""
 WITH a AS (SELECT *, lead(event_id) OVER w AS next_id, lead(event_type) OVER w AS next_type,

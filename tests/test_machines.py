@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from streamlens.operators import chains
 from streamlens.operators.monitor import rise_machine, rise_timers, rising_amount_alert
+from streamlens.operators.patterns import above_history
 from streamlens.operators.ranking import baseline_jump, baseline_machine, running_top
 
 
@@ -100,6 +101,33 @@ def test_running_top(rows, max_rows):
     assert got == want
 
 
+def accepted_by_loop(values, percent):
+    matches, total, out = 0, 0, []
+    for i, x in values:
+        if not matches or 100 * x * matches > percent * total:
+            out.append((i, x, matches, total))
+            matches, total = matches + 1, total + x
+    return out
+
+
+@pytest.mark.parametrize("percent", [50, 100, 180])
+@pytest.mark.parametrize("max_rows", [1_000_000, 50])
+def test_above_history(rows, max_rows, percent):
+    whole = rows.withColumn("x", F.round("x").cast("long"))
+    got = above_history(whole, "k", "x", "id", ["ts", "id"], percent, max_rows)
+    got = sorted((r.k, r.id, r.x, r.matches, r.total) for r in got.collect())
+    want = sorted((k, *hit) for k, v in by_key(whole, "id", "x").items() for hit in accepted_by_loop(v, percent))
+    assert got == want and len(got) > 5
+
+
+def test_chunks_that_accept_nothing_are_passed_over(spark, monkeypatch):
+    """One key of 50 chunks, accepted rows in the first and in one later chunk."""
+    rounds = rounds_of(monkeypatch)
+    df = spark.range(2000).selectExpr("1 AS k", "id", "CASE WHEN id = 1200 THEN 9000 ELSE 1000 + id % 7 END AS x")
+    got = above_history(df, "k", "x", "id", ["id"], 150, 40).collect()
+    assert [(r.id, r.matches) for r in sorted(got)] == [(0, 0), (1200, 1)] and rounds() <= 4
+
+
 def written_by(monkeypatch):
     """Labels of the tables a fold writes: ``fold`` per run over rows, ``fold-starts`` per round."""
     from streamlens.operators import ordered
