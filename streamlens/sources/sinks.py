@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -27,11 +28,18 @@ def search_payload(df: DataFrame, out: str = "payload") -> DataFrame:
     return df.select(F.to_json(F.struct(F.struct(*df.columns).alias("data"))).alias(out))
 
 
-def write_search_index(df: DataFrame, path: str, index: str) -> None:
-    """Bulk files for a search index: an action line followed by its document, as NDJSON."""
+def write_search_index(df: DataFrame, path: str, index: str, batch_id: int | None = None) -> None:
+    """Bulk files for a search index: an action line followed by its document, as NDJSON.
+
+    With a ``batch_id`` the documents lie in a folder of that batch, which a repeated batch replaces; without
+    one each call adds documents.
+    """
     action = F.to_json(F.struct(F.struct(F.lit(index).alias("_index")).alias("index")))
     lines = search_payload(df).select(F.concat_ws("\n", action, "payload").alias("value"))
-    lines.write.mode("append").text(path)
+    if batch_id is None:
+        lines.write.mode("append").text(path)
+    else:
+        lines.write.mode("overwrite").text(f"{path}/batch={batch_id}")
 
 
 def overwrite_table(df: DataFrame, table: str) -> None:
@@ -41,7 +49,8 @@ def overwrite_table(df: DataFrame, table: str) -> None:
     the table as it was, and a reader never sees an emptied or half-written table. A table without
     partitions is then pointed to the new folder, which lies beside the old one; the old folder
     stays for readers that still use it. A partitioned table is replaced by a new one of the same
-    definition under its name. A table that does not exist is created.
+    definition under its name, with a folder beside the old one, which dropping the table leaves; if that name
+    cannot be given, the old table gets it back. A table that does not exist is created.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
@@ -50,21 +59,27 @@ def overwrite_table(df: DataFrame, table: str) -> None:
     rows = df.select(*[F.col(f.name).cast(f.dataType) for f in spark.table(table).schema.fields])
     told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
     mark = uuid.uuid4().hex
+    path = re.sub("-[0-9a-f]{32}$", "", told["Location"].rstrip("/")) + f"-{mark}"  # beside the first folder
     if "# Partition Information" not in told:
-        path = f"{told['Location'].rstrip('/')}-{mark}"
         rows.write.format(told["Provider"]).save(path)
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
         spark.catalog.refreshTable(table)
         return
     staged, old = f"{table}_new_{mark}", f"{table}_old_{mark}"
-    spark.sql(f"CREATE TABLE {staged} LIKE {table}")
+    # a folder of its own stays where it is when the table is renamed, and so do the folders of partitions
+    spark.sql(f"CREATE TABLE {staged} LIKE {table} LOCATION '{path}'")
     try:
         rows.write.insertInto(staged)
     except BaseException:
         spark.sql(f"DROP TABLE {staged}")
         raise
     spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    try:
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    except BaseException:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        spark.sql(f"DROP TABLE {staged}")
+        raise
     spark.sql(f"DROP TABLE {old}")
 
 

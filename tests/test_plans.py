@@ -10,7 +10,7 @@ from streamlens.operators import late, windows
 from streamlens.plans import catalog
 
 QUERIES = catalog.queries()
-MACHINES = {"baseline_jump", "rising_amount_alert", "top3_transactions_running"}
+MACHINES = {"baseline_jump", "rising_amount_alert", "top3_transactions_running", "pattern_history_condition"}
 OWN_CODE = {"decayed_mean"}  # an accumulator is Python of the user's own; it runs in Arrow batches
 BATCH = sorted(n for n in QUERIES if not n.endswith("_stream") and n not in ("write_exactly_once",))
 

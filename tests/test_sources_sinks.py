@@ -95,6 +95,46 @@ def test_search_files(spark, tmp_path):
         {"index": {"_index": "i"}}, {"data": {"n": 1}}, {"index": {"_index": "i"}}, {"data": {"n": 2}}]))
 
 
+@pytest.mark.parametrize("by", [[], ["part"]])
+def test_a_table_is_overwritten_many_times(spark, by):
+    name = "many_times" + "_parts" * len(by)
+    make = lambda n: numbers(spark, n, n + 1).withColumn("part", F.col("n") % 2)
+    make(0).write.partitionBy(*by).saveAsTable(name)
+    for n in range(1, 10):
+        sinks.overwrite_table(make(n), name)
+        assert rows(spark.table(name).select("n")) == sorted([(n,), (n + 1,)], key=str)
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_repeated_batch_indexes_once(spark, tmp_path):
+    path = str(tmp_path / "index")
+    for first, batch in ((1, 0), (3, 1), (3, 1)):
+        sinks.write_search_index(numbers(spark, first, first + 1), path, "i", batch)
+    found = files.read_lines(spark, path).where("value LIKE '%data%'").select("value")
+    assert rows(found) == [(f'{{"data":{{"n":{n}}}}}',) for n in range(1, 5)]
+
+
+def test_an_overwrite_that_cannot_rename_keeps_the_old_table(spark, monkeypatch):
+    parts = numbers(spark, 1, 4).withColumn("part", F.col("n") % 2)
+    parts.write.partitionBy("part").saveAsTable("kept_parts")
+    sql = type(spark).sql
+
+    def failing(self, text, *args, **more):
+        if "_new_" in text and text.endswith("RENAME TO kept_parts"):
+            raise RuntimeError("catalog away")
+        return sql(self, text, *args, **more)
+
+    monkeypatch.setattr(type(spark), "sql", failing)
+    with pytest.raises(RuntimeError, match="catalog away"):
+        sinks.overwrite_table(parts.where("n > 2"), "kept_parts")
+    monkeypatch.undo()
+    assert rows(spark.table("kept_parts").select("n")) == [(1,), (2,), (3,), (4,)]
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("kept_parts")] == ["kept_parts"]
+    sinks.overwrite_table(parts.where("n > 2"), "kept_parts")
+    assert rows(spark.table("kept_parts").select("n")) == [(3,), (4,)]
+    spark.sql("DROP TABLE kept_parts")
+
+
 def test_set_and_latest(spark):
     df = spark.createDataFrame([(1, 1, "a"), (1, 3, "b"), (1, 2, "c"), (2, 1, "d")], "k long, t long, v string")
     assert rows(sinks.latest_value_table(df, ["k"], ["t"])) == [(1, 3, "b"), (2, 1, "d")]
