@@ -1,26 +1,30 @@
 """Keyed state in event-time order: rows wait in state until the watermark has passed them.
 
 A micro-batch brings rows of a key in any order, and later batches may bring older ones. ``in_order`` keeps them in a
-map state by slot of time and releases a slot when the watermark has passed its end: all its rows at once, sorted by
+map state by time and releases a slot when the watermark has passed its end: all its rows at once, sorted by
 time and id, through the step of a ``Machine`` - the very one that the batch operator folds, so a stream gives the
 batch's rows whatever the order of arrival and the cut into micro-batches.
 
 A row that comes after its slot was released cannot be put in order any more. It is given back under ``late``, and a
-machine may still take notice of it. One timer per key stands at the end of its oldest waiting slot, or where the
+machine may still take notice of it. One timer per bucket stands at the end of its oldest waiting slot, or where a
 machine's own deadline falls due.
 
-Rows of a slot are stored in chunks, one Arrow batch per micro-batch at most ``CHUNK`` rows long, so what is written
-grows with what arrives. The watermark's delay bounds what waits; ``slot`` only how finely it is released.
+Keys share the rows that wait by buckets of their hash, so that a micro-batch costs a key no access of state, and a release
+two. Few rows of a bucket wait as one Arrow batch beside its marks; more of them are sorted and stored in pieces of ``CHUNK``
+rows, and what a release leaves of a piece is stored again. The watermark's delay bounds what waits; ``slot`` only how finely
+it is released. Rows travel to a bucket, and emitted ones from it, as Arrow batches too (``pack``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import pickle
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +33,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from streamlens.operators.ordered import Machine
 
-CHUNK = 10_000
+CHUNK = 10_000  # rows of a stored piece, at most
+HELD = 256  # rows of a bucket that wait beside its marks, at most
+BUCKETS = 1024  # of keys; a state belongs to one number of them
 
 
 def _ddl(schema: T.StructType) -> str:
@@ -37,155 +43,294 @@ def _ddl(schema: T.StructType) -> str:
 
 
 class InOrder(StatefulProcessor):
-    """``machine`` over the rows of a key in the order of ``at`` (µs), then ``ties``.
+    """``machine`` over the rows of each key of a bucket in the order of ``at`` (µs), then ``ties``.
 
     ``due(state)`` is a time after which the end of the state's own wait may be told, or none; ``expire`` what it then
     emits, and the state after. ``notice(columns, state)`` is the state after late rows.
     """
 
-    def __init__(self, machine: Machine, keys: Sequence[str], kinds: pa.Schema, ties: Sequence[str], slot_us: int,
-                 due: Callable | None, expire: Callable | None, notice: Callable | None):
+    def __init__(self, machine: Machine, by: Sequence[str], keys: T.StructType, kinds: pa.Schema, out: pa.Schema, ties: Sequence[str],
+                 slot_us: int, due: Callable | None, expire: Callable | None, notice: Callable | None):
         self.step, self.initial, self.inputs = machine.step, machine.initial, machine.inputs
-        self.state_schema, self.emits, self.keys, self.kinds = _ddl(machine.state), machine.out.names, tuple(keys), kinds
-        self.names, self.ties, self.slot = machine.state.names, tuple(ties), slot_us
-        self.due, self.expire, self.notice = due, expire, notice
+        self.emits, self.by, self.kinds, self.out, self.keys = machine.out.names, tuple(by), kinds, out, tuple(keys.names)
+        self.key_schema = ", ".join(["part INT", *([_ddl(keys)] if keys else [])])
+        self.state_schema, self.names = "released BIGINT, " + _ddl(machine.state), machine.state.names
+        self.ties, self.slot, self.due, self.expire, self.notice = tuple(ties), slot_us, due, expire, notice
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getMapState("waiting", "slot BIGINT, chunk BIGINT", "rows BINARY")
-        self.state = handle.getValueState("state", self.state_schema)
-        # chunks written so far, the time up to which rows were released, the time of the timer in ms
-        self.marks = handle.getValueState("marks", "chunks BIGINT, done BIGINT, timer BIGINT")
+        # of each key the time up to which its rows were released, and the machine's state
+        self.states = handle.getMapState("states", self.key_schema, self.state_schema)
+        # of the bucket: pieces written so far, the time up to which rows were released, the time of the timer in ms,
+        # pieces that wait, the few rows that wait as one, the open deadlines by key
+        self.marks = handle.getValueState(
+            "marks", "chunks BIGINT, done BIGINT, timer BIGINT, pieces BIGINT, held BINARY, deadlines BINARY")
 
     def close(self) -> None:
         pass
 
-    def _state(self) -> dict:
-        stored = self.state.get()
-        return dict(zip(self.names, stored)) if stored else dict(self.initial)
-
-    def _frame(self, key, emitted: dict[str, np.ndarray], late: pa.Table | None = None) -> pd.DataFrame:
-        count = len(emitted[self.emits[0]]) if late is None else len(late)
-        columns = {k: [v] * count for k, v in zip(self.keys, key)}
-        columns["late"] = [late is not None] * count
-        for name in ("at", *self.ties):
-            columns["late_" + name.lstrip("_")] = [None] * count if late is None else late.column(name).to_pylist()
-        for name in self.emits:
-            columns[name] = emitted[name].tolist() if late is None else [None] * count
-        return pd.DataFrame({c: pd.Series(v, dtype=object) for c, v in columns.items()})
-
-    def _columns(self, rows: pa.Table) -> dict[str, np.ndarray]:
-        rows = rows.sort_by([("at", "ascending"), *[(t, "ascending") for t in self.ties]])
-        return {c: rows.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in self.inputs}
-
-    def _timer(self, marks: tuple, wanted: int | None) -> int | None:
-        """Move the key's timer to ``wanted`` (µs)."""
+    def _state(self, key: tuple) -> tuple[int | None, dict]:
+        stored = self.states.getValue((0, *key))
+        return (stored[0], dict(zip(self.names, stored[1:]))) if stored else (None, dict(self.initial))
+
+    def _keep(self, key: tuple, released: int | None, state: dict) -> None:
+        self.states.updateValue((0, *key), (released, *[state[n] for n in self.names]))
+
+    def _frame(self, group: tuple, told: dict[str, pa.Array], count: int) -> pd.DataFrame:
+        columns = [told[f.name] if f.name in told else pa.nulls(count, f.type) for f in self.out]
+        rows = _bytes(pa.record_batch(columns, schema=self.out))
+        return pd.DataFrame({c: pd.Series([v], dtype=object) for c, v in zip((*self.by, PACKED), (*group, rows))})
+
+    def _given(self, group: tuple, found: list[tuple[tuple, dict[str, np.ndarray]]]) -> Iterator[pd.DataFrame]:
+        counts = [len(f[self.emits[0]]) for _, f in found]
+        if not sum(counts):
+            return
+        told = {n: [v for _, f in found for v in f[n].tolist()] for n in self.emits}
+        for i, k in enumerate(self.keys):
+            told[k] = [v for (key, _), n in zip(found, counts) for v in [key[i]] * n]
+        told["late"] = [False] * sum(counts)
+        arrays = {n: pa.array(v, self.out.field(n).type, from_pandas=True) for n, v in told.items()}
+        yield self._frame(group, arrays, sum(counts))
+
+    def _late(self, group: tuple, late: pa.Table) -> pd.DataFrame:
+        told = {"late_" + n.lstrip("_"): late.column(n).combine_chunks() for n in ("at", *self.ties)}
+        told |= {k: late.column(k).combine_chunks() for k in self.keys} | {"late": pa.array([True] * len(late))}
+        return self._frame(group, told, len(late))
+
+    def _by_key(self, rows: pa.Table) -> Iterator[tuple[tuple, dict[str, np.ndarray]]]:
+        """Each key with its rows, in order."""
+        rows = rows.append_column("_code", pa.array(_codes(rows, self.keys)))
+        rows = rows.sort_by([("_code", "ascending"), ("at", "ascending"), *[(t, "ascending") for t in self.ties]])
+        heads = np.flatnonzero(np.diff(rows.column("_code").to_numpy(), prepend=-1))
+        named = rows.select(self.keys).take(pa.array(heads)).to_pydict()
+        keys = list(zip(*named.values())) if self.keys else [()]
+        columns = {c: _values(rows.column(c)) for c in self.inputs}
+        for key, a, z in zip(keys, heads, [*heads[1:], len(rows)]):
+            yield key, {c: v[a:z] for c, v in columns.items()}
+
+    def _timer(self, old: int | None, wanted: int | None) -> int | None:
+        """Move the bucket's timer to ``wanted`` (µs)."""
         at = None if wanted is None else -(-wanted // 1000)
-        if marks[2] is not None and marks[2] != at:
-            self.handle.deleteTimer(marks[2])
-        if at is not None and marks[2] != at:
+        if old is not None and old != at:
+            self.handle.deleteTimer(old)
+        if at is not None and old != at:
             self.handle.registerTimer(at)
         return at
 
-    def _next(self, slots: Sequence[int], state: dict) -> int | None:
-        """When this key has work next: the end of its oldest slot or of the slot its deadline is in."""
-        times = [(min(slots) + 1) * self.slot] if slots else []
-        deadline = self.due(state) if self.due else None
-        if deadline is not None:
-            times.append((deadline // self.slot + 1) * self.slot)
-        return min(times, default=None)
+    def _read(self, stored: bytes | None) -> pa.Table:
+        return pa.Table.from_batches([_batch(stored, self.kinds)] if stored else [], self.kinds)
+
+    def _store(self, rows: pa.Table, chunks: int, pieces: int) -> tuple[int, int, bytes | None]:
+        """Let ``rows`` wait; the pieces written and waiting afterwards, and the rows held beside the marks."""
+        if not len(rows):
+            return chunks, pieces, None
+        if len(rows) <= HELD:
+            return chunks, pieces, _bytes(rows.combine_chunks().to_batches()[0])
+        rows = rows.sort_by("at").combine_chunks()
+        for begin in range(0, len(rows), CHUNK):
+            part = rows.slice(begin, CHUNK).to_batches()[0]
+            self.waiting.updateValue((part.column("at")[0].as_py() // self.slot, chunks), (_bytes(part),))
+            chunks, pieces = chunks + 1, pieces + 1
+        return chunks, pieces, None
+
+    def _behind(self, batch: pa.Table, done: int) -> np.ndarray:
+        """Which rows come after their own key has been released beyond them."""
+        at = batch.column("at").to_numpy()
+        old = np.flatnonzero(at < done)
+        late = np.zeros(len(at), bool)
+        if len(old):
+            some = batch.take(pa.array(old))
+            codes = _codes(some, self.keys)
+            for code in np.unique(codes):
+                mine = codes == code
+                first = int(mine.argmax())
+                released, _ = self._state(tuple(some.column(k)[first].as_py() for k in self.keys))
+                if released is not None:
+                    late[old[mine]] = at[old[mine]] < released
+        return late
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # pandas frames of a state processor lose columns whose names start with an underscore, so they come numbered
-        names = [f"c{i}" for i in range(len(self.kinds))]
-        parts = [
-            pa.Table.from_pandas(r[names].set_axis(self.kinds.names, axis=1), self.kinds, preserve_index=False)
-            for r in rows if len(r)
-        ]
-        if not parts:
-            return
-        batch = pa.concat_tables(parts)
-        chunks, done, timer = self.marks.get() or (0, None, None)
-        at = batch.column("at").to_numpy()
-        if done is not None and (at < done).any():
-            late = batch.filter(pa.array(at < done))
-            if self.notice:
-                self.state.update(tuple(self.notice(self._columns(late), self._state())[n] for n in self.names))
-            yield self._frame(key, {}, late)
-            batch = batch.filter(pa.array(at >= done))
-            at = at[at >= done]
-        if not len(at):
+        batches = [_batch(b, self.kinds) for frame in rows for b in frame[PACKED]]
+        batch = pa.Table.from_batches(batches, self.kinds)
+        chunks, done, timer, pieces, held, deadlines = self.marks.get() or (0, None, None, 0, None, None)
+        if done is not None:
+            behind = self._behind(batch, done)
+            if behind.any():
+                late = batch.filter(pa.array(behind))
+                for one, columns in self._by_key(late) if self.notice else ():
+                    released, state = self._state(one)
+                    self._keep(one, released, self.notice(columns, state))
+                yield self._late(key, late)
+                batch = batch.filter(pa.array(~behind))
+        if not len(batch):
             return
-        slots = at // self.slot
-        order = np.argsort(slots, kind="stable")
-        batch, slots = batch.take(pa.array(order)), slots[order]
-        heads = [0, *(np.flatnonzero(slots[1:] != slots[:-1]) + 1), len(slots)]
-        for head, tail in zip(heads, heads[1:]):
-            for begin in range(head, tail, CHUNK):
-                part = batch.slice(begin, min(CHUNK, tail - begin)).combine_chunks()
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, part.schema) as writer:
-                    writer.write_table(part)
-                self.waiting.updateValue((int(slots[head]), chunks), (sink.getvalue().to_pybytes(),))
-                chunks += 1
-        first = (int(slots[0]) + 1) * self.slot
+        first = (pc.min(batch.column("at")).as_py() // self.slot + 1) * self.slot
+        if held:
+            batch = pa.concat_tables([self._read(held), batch])
+        chunks, pieces, held = self._store(batch, chunks, pieces)
         if timer is None or -(-first // 1000) < timer:
-            timer = self._timer((chunks, done, timer), first)
-        self.marks.update((chunks, done, timer))
+            timer = self._timer(timer, first)
+        self.marks.update((chunks, done, timer, pieces, held, deadlines))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        chunks, done, timer = self.marks.get() or (0, None, None)
+        chunks, done, timer, pieces, held, stored = self.marks.get() or (0, None, None, 0, None, None)
+        deadlines = pickle.loads(stored) if stored else {}
         end = timerValues.getCurrentWatermarkInMs() * 1000 // self.slot  # slots before it have ended
-        names = [tuple(k) for k in self.waiting.keys()]
-        state = self._state()
-        # a slot at a time, so that what is in memory is one slot of one key
-        for slot in sorted({s for s, _ in names if s < end}):
-            for emitted in self._overdue(state, slot * self.slot):
-                state = emitted[1]
-                yield self._frame(key, emitted[0])
-            mine = sorted(k for k in names if k[0] == slot)
-            parts = [pa.ipc.open_stream(self.waiting.getValue(k)[0]).read_all() for k in mine]
-            found, state = self.step(self._columns(pa.concat_tables(parts)), state)
-            if len(found[self.emits[0]]):
-                yield self._frame(key, found)
-            for k in mine:
-                self.waiting.removeKey(k)
-        for emitted in self._overdue(state, end * self.slot):
-            state = emitted[1]
-            yield self._frame(key, emitted[0])
-        self.state.update(tuple(state[n] for n in self.names))
+        names = sorted(tuple(k) for k in self.waiting.keys()) if pieces else []
+        ripe = [k for k in names if k[0] < end]
+        rows, most = self._read(held), CHUNK
+        # pieces in the order of their first slots; rows before the next piece go when many are in memory
+        for piece in [*ripe, None]:
+            if piece is None or len(rows) >= most:
+                until = (end if piece is None else piece[0]) * self.slot
+                early = pc.less(rows.column("at"), until)
+                before, rows = rows.filter(early), rows.filter(pc.invert(early))
+                most = max(CHUNK, 2 * len(rows))
+                yield from self._given(key, self._release(before, until, deadlines))
+            if piece is not None:
+                rows = pa.concat_tables([rows, self._read(self.waiting.getValue(piece)[0])])
+                self.waiting.removeKey(piece)
+        slots = [k[0] for k in names if k[0] >= end]
+        if len(rows):
+            slots.append(pc.min(rows.column("at")).as_py() // self.slot)
+        slots += [d // self.slot for d in deadlines.values()]
         done = max(done or end * self.slot, end * self.slot)
         # the timer that called has been used up
-        timer = self._timer((chunks, done, None), self._next([s for s, _ in names if s >= end], state))
-        self.marks.update((chunks, done, timer))
-
-    def _overdue(self, state: dict, until: int):
-        """What the state's own deadline gives, if it lies before ``until`` and no row up to it is to come."""
-        deadline = self.due(state) if self.due else None
+        timer = self._timer(None, (min(slots) + 1) * self.slot if slots else None)
+        chunks, pieces, held = self._store(rows, chunks, pieces - len(ripe))
+        self.marks.update((chunks, done, timer, pieces, held, pickle.dumps(deadlines) if deadlines else None))
+
+    def _release(self, rows: pa.Table, until: int, deadlines: dict) -> list[tuple[tuple, dict[str, np.ndarray]]]:
+        """What all rows before ``until`` (µs) and the deadlines before it give; ``deadlines`` are brought up to date."""
+        found = []
+        overdue = {k for k, d in deadlines.items() if d < until}
+        for key, columns in self._by_key(rows) if len(rows) else ():
+            overdue.discard(key)
+            released, state = self._state(key)
+            emitted, state = self.step(columns, state)
+            found += [(key, emitted), *self._settled(key, released, state, until, deadlines)]
+        for key in overdue:
+            found += self._settled(key, *self._state(key), until, deadlines)
+        return found
+
+    def _settled(self, key: tuple, released: int | None, state: dict, until: int, deadlines: dict) -> Iterable[tuple[tuple, dict]]:
+        """What the key's own deadline gives, if it lies before ``until``: no row up to it is to come."""
+        found, deadline = [], self.due(state) if self.due else None
         if deadline is not None and deadline < until:
-            yield self.expire(state)
+            emitted, state = self.expire(state)
+            found.append((key, emitted))
+            deadline = self.due(state)
+        if deadline is not None:
+            deadlines[key] = deadline
+        else:
+            deadlines.pop(key, None)
+        self._keep(key, max(released or until, until), state)
+        return found
+
+
+BUCKET, PACKED = "bucket_of_keys", "packed_rows"
+
+
+def _bytes(batch: pa.RecordBatch) -> bytes:
+    return batch.serialize().to_pybytes()
+
+
+def _batch(stored: bytes, kinds: pa.Schema) -> pa.RecordBatch:
+    return pa.ipc.read_record_batch(pa.py_buffer(stored), kinds)
+
+
+def _values(column: pa.ChunkedArray) -> np.ndarray:
+    """A column as an array; whole numbers among nulls stay whole."""
+    if column.null_count and pa.types.is_integer(column.type):
+        return np.array(column.to_pylist(), object)
+    return column.combine_chunks().to_numpy(zero_copy_only=False)
+
+
+def _codes(rows: pa.Table, keys: Sequence[str]) -> np.ndarray:
+    """A number per row, the same for rows of the same keys; null is a key like others."""
+    codes = np.zeros(len(rows), "int64")
+    for k in keys:
+        encoded = rows.column(k).combine_chunks().dictionary_encode(null_encoding="encode")
+        codes = codes * len(encoded.dictionary) + encoded.indices.to_numpy()
+        codes = np.unique(codes, return_inverse=True)[1]
+    return codes
+
+
+def pack(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows as one Arrow batch per key and batch of input: ``keys`` and the other columns in ``PACKED``."""
+    rest = [c for c in rows.columns if c not in keys]
+    kinds = to_arrow_schema(T.StructType([rows.schema[c] for c in rest]))
+    keys = list(keys)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            table = pa.Table.from_batches([batch])
+            group = _codes(table, keys)
+            order = np.argsort(group, kind="stable")
+            heads = np.flatnonzero(np.diff(group[order], prepend=-1))
+            table = table.take(pa.array(order)).combine_chunks()
+            data = table.select(rest).cast(kinds).to_batches()[0]
+            blobs = [_bytes(data.slice(a, z - a)) for a, z in zip(heads, [*heads[1:], len(data)])]
+            named = table.select(keys).take(pa.array(heads))
+            yield named.append_column(PACKED, pa.array(blobs, pa.binary())).combine_chunks().to_batches()[0]
+
+    schema = T.StructType([*[rows.schema[k] for k in keys], T.StructField(PACKED, T.BinaryType())])
+    return rows.select(*keys, *rest).mapInArrow(packed, schema)
+
+
+def unpack(packed: DataFrame, keys: Sequence[str], schema: T.StructType) -> DataFrame:
+    """The reverse of ``pack``: ``keys`` and the columns of ``schema``."""
+    kinds = to_arrow_schema(schema)
+    keys = list(keys)
+
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            begin, waiting = 0, []
+            for at, stored in enumerate(batch.column(PACKED)):
+                waiting.append(_batch(stored.as_py(), kinds))
+                if at + 1 == len(batch) or sum(map(len, waiting)) >= CHUNK:
+                    data = pa.Table.from_batches(waiting, kinds)
+                    copies = np.repeat(np.arange(begin, at + 1), [len(w) for w in waiting])
+                    named = pa.Table.from_batches([batch]).select(keys).take(pa.array(copies))
+                    whole = pa.Table.from_arrays([*named.columns, *data.columns], [*keys, *kinds.names])
+                    yield from whole.combine_chunks().to_batches()
+                    begin, waiting = at + 1, []
+
+    return packed.mapInArrow(unpacked, T.StructType([*[packed.schema[k] for k in keys], *schema.fields]))
 
 
 def in_order(stream: DataFrame, machine: Machine, ties: Sequence[str] = (), slot: float = 60, due: Callable | None = None,
              expire: Callable | None = None, notice: Callable | None = None, needs: Sequence[str] = (),
-             keys: Sequence[str] = ("key",)) -> DataFrame:
+             keys: Sequence[str] = ("key",), copies: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Run ``machine`` per ``keys`` of a stream with a watermark, in the order of ``at`` (µs, BIGINT) and ``ties``.
 
     Columns: the keys, what the machine emits, ``late`` and, of a late row, ``late_at`` and its ties (``late_row`` for
-    ``_row``). Rows in which ``at`` or one of ``needs`` is null are left out. ``slot`` is in seconds.
+    ``_row``). Rows in which ``at`` or one of ``needs`` is null are left out. ``slot`` is in seconds. A machine with a
+    deadline takes notice of it in its own step too, when a row comes after it. Keys are dealt to ``BUCKETS``; few large
+    keys have a bucket each if ``copies`` is given: it gets their packed rows and may copy them to other keys.
     """
     columns = list(dict.fromkeys(["at", *ties, *machine.inputs]))
     rows = stream.dropna(subset=["at", *needs]).select(*keys, *columns)
-    kinds = to_arrow_schema(T.StructType([rows.schema[c] for c in columns]))
+    if copies:
+        by, inside = list(keys), []
+    else:
+        by, inside = [BUCKET], list(keys)
+        rows = rows.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int"))
+    head = T.StructType([T.StructField(k, rows.schema[k].dataType) for k in inside])
+    kinds = to_arrow_schema(T.StructType([rows.schema[c] for c in (*inside, *columns)]))
     late = [T.StructField("late_" + c.lstrip("_"), rows.schema[c].dataType) for c in ("at", *ties)]
-    head = [T.StructField(k, rows.schema[k].dataType) for k in keys]
-    out = T.StructType([*head, T.StructField("late", T.BooleanType()), *late, *machine.out.fields])
+    out = T.StructType([*head.fields, T.StructField("late", T.BooleanType()), *late, *machine.out.fields])
     plain = replace(machine, summary={}, carry=None, moves=None)  # columns cannot be sent to workers
-    processor = InOrder(plain, keys, kinds, ties, int(slot * 1_000_000), due, expire, notice)
-    numbered = rows.select(*keys, *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])
-    return numbered.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=out, outputMode="Append", timeMode="EventTime",
+    processor = InOrder(plain, by, head, kinds, to_arrow_schema(out), ties, int(slot * 1_000_000), due, expire, notice)
+    packed = copies(pack(rows, by)) if copies else pack(rows, by)
+    given = packed.groupBy(*by).transformWithStateInPandas(
+        statefulProcessor=processor, outputMode="Append", timeMode="EventTime",
+        outputStructType=T.StructType([*[packed.schema[k] for k in by], T.StructField(PACKED, T.BinaryType())]),
     )
+    return unpack(given, by, out).select(*keys, *[f.name for f in out if f.name not in keys])
 
 
 def rising_amounts(stream: DataFrame, machine: Machine, ties: Sequence[str], slot: float = 60) -> DataFrame:
@@ -203,11 +348,16 @@ def count_windows(size: int) -> Machine:
     out = T.StructType([T.StructField("window_no", T.LongType()), T.StructField("total", T.LongType())])
 
     def step(columns: dict[str, np.ndarray], state: dict) -> tuple[dict[str, np.ndarray], dict]:
-        x = pd.to_numeric(pd.Series(columns["_x"]), errors="coerce").astype("Float64" if columns["_x"].dtype.kind == "f" else "Int64")
-        place = state["n"] + np.arange(len(x))
-        sums = x.groupby(place // size).sum(min_count=1)
-        totals = [None if pd.isna(v) else int(v) for v in sums]
-        if state["total"] is not None and totals:
+        x = columns["_x"]
+        if x.dtype.kind == "O":  # whole numbers among nulls
+            known = np.array([v is not None for v in x], bool)
+            x = np.array([0 if v is None else int(v) for v in x], "int64")
+        else:
+            known = ~np.isnan(x)
+            x = np.where(known, x, 0)
+        heads = np.concatenate([[0], np.arange(size - state["n"], len(x), size)])
+        totals = [int(v) if k else None for v, k in zip(np.add.reduceat(x, heads).tolist(), np.logical_or.reduceat(known, heads))]
+        if state["total"] is not None:
             totals[0] = state["total"] + (totals[0] or 0)
         whole = (state["n"] + len(x)) // size
         open_total = totals[whole] if whole < len(totals) else None
@@ -277,7 +427,7 @@ def rules_asof(events: DataFrame, rules: DataFrame, tier: str, ts: str, rule: st
 
     Both are one stream of tagged rows with one watermark, so a rule may come up to ``delay`` after later events and
     still applies to them. A tier's events are dealt to ``salts`` keys by their id, its rules go to all of them: rules
-    are few, and no state holds all events of a tier. Rules wait in state until the watermark passes; then the newest
+    are few, and no state holds all events of a tier. Both travel packed, rules once per tier up to the copies. Rules wait in state until the watermark passes; then the newest
     one stays. Of rules set at one time the largest text counts. Columns: ``tier``, ``salt``, ``_id``, ``rule``
     and those of late rows (``in_order``): late events have no rule, a late rule applies from then on if none is newer.
     """
@@ -287,9 +437,8 @@ def rules_asof(events: DataFrame, rules: DataFrame, tier: str, ts: str, rule: st
         F.col(tier).alias("tier"), salt.alias("salt"), F.col(ts).alias("ts"), F.col(row_id).alias("_row"),
         F.lit(None).cast("string").alias("_rule"), F.lit(1).alias("_kind"),
     )
-    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
     told = rules.where(F.col(rule).isNotNull()).select(
-        F.col(tier).alias("tier"), every, F.col(ts).alias("ts"), F.lit(None).cast(ids).alias("_row"),
+        F.col(tier).alias("tier"), F.lit(None).cast("int").alias("salt"), F.col(ts).alias("ts"), F.lit(None).cast(ids).alias("_row"),
         F.col(rule).cast("string").alias("_rule"), F.lit(0).alias("_kind"),
     )
     both = tagged.unionByName(told).withWatermark("ts", delay)
@@ -302,4 +451,8 @@ def rules_asof(events: DataFrame, rules: DataFrame, tier: str, ts: str, rule: st
                 state = {"set_at": int(at), "rule": text}
         return state
 
-    return in_order(rows, rule_in_force(ids, missing), ["_kind", "_rule", "_row"], slot, notice=notice, keys=["tier", "salt"])
+    def spread(packed: DataFrame) -> DataFrame:
+        every = F.sequence(F.lit(0), F.lit(salts - 1))
+        return packed.withColumn("salt", F.explode(F.when(F.col("salt").isNull(), every).otherwise(F.array("salt"))))
+
+    return in_order(rows, rule_in_force(ids, missing), ["_kind", "_rule", "_row"], slot, notice=notice, keys=["tier", "salt"], copies=spread)
