@@ -79,7 +79,7 @@ class InOrder(StatefulProcessor):
 
     def _frame(self, group: tuple, told: dict[str, pa.Array], count: int) -> pd.DataFrame:
         columns = [told[f.name] if f.name in told else pa.nulls(count, f.type) for f in self.out]
-        rows = _bytes(pa.record_batch(columns, schema=self.out))
+        rows = as_bytes(pa.record_batch(columns, schema=self.out))
         return pd.DataFrame({c: pd.Series([v], dtype=object) for c, v in zip((*self.by, PACKED), (*group, rows))})
 
     def _given(self, group: tuple, found: list[tuple[tuple, dict[str, np.ndarray]]]) -> Iterator[pd.DataFrame]:
@@ -100,7 +100,7 @@ class InOrder(StatefulProcessor):
 
     def _by_key(self, rows: pa.Table) -> Iterator[tuple[tuple, dict[str, np.ndarray]]]:
         """Each key with its rows, in order."""
-        rows = rows.append_column("_code", pa.array(_codes(rows, self.keys)))
+        rows = rows.append_column("_code", pa.array(codes(rows, self.keys)))
         rows = rows.sort_by([("_code", "ascending"), ("at", "ascending"), *[(t, "ascending") for t in self.ties]])
         heads = np.flatnonzero(np.diff(rows.column("_code").to_numpy(), prepend=-1))
         named = rows.select(self.keys).take(pa.array(heads)).to_pydict()
@@ -119,18 +119,18 @@ class InOrder(StatefulProcessor):
         return at
 
     def _read(self, stored: bytes | None) -> pa.Table:
-        return pa.Table.from_batches([_batch(stored, self.kinds)] if stored else [], self.kinds)
+        return pa.Table.from_batches([as_batch(stored, self.kinds)] if stored else [], self.kinds)
 
     def _store(self, rows: pa.Table, chunks: int, pieces: int) -> tuple[int, int, bytes | None]:
         """Let ``rows`` wait; the pieces written and waiting afterwards, and the rows held beside the marks."""
         if not len(rows):
             return chunks, pieces, None
         if len(rows) <= HELD:
-            return chunks, pieces, _bytes(rows.combine_chunks().to_batches()[0])
+            return chunks, pieces, as_bytes(rows.combine_chunks().to_batches()[0])
         rows = rows.sort_by("at").combine_chunks()
         for begin in range(0, len(rows), CHUNK):
             part = rows.slice(begin, CHUNK).to_batches()[0]
-            self.waiting.updateValue((part.column("at")[0].as_py() // self.slot, chunks), (_bytes(part),))
+            self.waiting.updateValue((part.column("at")[0].as_py() // self.slot, chunks), (as_bytes(part),))
             chunks, pieces = chunks + 1, pieces + 1
         return chunks, pieces, None
 
@@ -141,9 +141,9 @@ class InOrder(StatefulProcessor):
         late = np.zeros(len(at), bool)
         if len(old):
             some = batch.take(pa.array(old))
-            codes = _codes(some, self.keys)
-            for code in np.unique(codes):
-                mine = codes == code
+            numbers = codes(some, self.keys)
+            for number in np.unique(numbers):
+                mine = numbers == number
                 first = int(mine.argmax())
                 released, _ = self._state(tuple(some.column(k)[first].as_py() for k in self.keys))
                 if released is not None:
@@ -151,7 +151,7 @@ class InOrder(StatefulProcessor):
         return late
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batches = [_batch(b, self.kinds) for frame in rows for b in frame[PACKED]]
+        batches = [as_batch(b, self.kinds) for frame in rows for b in frame[PACKED]]
         batch = pa.Table.from_batches(batches, self.kinds)
         chunks, done, timer, pieces, held, deadlines = self.marks.get() or (0, None, None, 0, None, None)
         if done is not None:
@@ -232,11 +232,11 @@ class InOrder(StatefulProcessor):
 BUCKET, PACKED = "bucket_of_keys", "packed_rows"
 
 
-def _bytes(batch: pa.RecordBatch) -> bytes:
+def as_bytes(batch: pa.RecordBatch) -> bytes:
     return batch.serialize().to_pybytes()
 
 
-def _batch(stored: bytes, kinds: pa.Schema) -> pa.RecordBatch:
+def as_batch(stored: bytes, kinds: pa.Schema) -> pa.RecordBatch:
     return pa.ipc.read_record_batch(pa.py_buffer(stored), kinds)
 
 
@@ -247,14 +247,21 @@ def _values(column: pa.ChunkedArray) -> np.ndarray:
     return column.combine_chunks().to_numpy(zero_copy_only=False)
 
 
-def _codes(rows: pa.Table, keys: Sequence[str]) -> np.ndarray:
+def codes(rows: pa.Table, keys: Sequence[str]) -> np.ndarray:
     """A number per row, the same for rows of the same keys; null is a key like others."""
-    codes = np.zeros(len(rows), "int64")
+    found = np.zeros(len(rows), "int64")
     for k in keys:
         encoded = rows.column(k).combine_chunks().dictionary_encode(null_encoding="encode")
-        codes = codes * len(encoded.dictionary) + encoded.indices.to_numpy()
-        codes = np.unique(codes, return_inverse=True)[1]
-    return codes
+        found = found * len(encoded.dictionary) + encoded.indices.to_numpy()
+        found = np.unique(found, return_inverse=True)[1]
+    return found
+
+
+def dealt(rows: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """``rows`` with the bucket of their keys; a negative zero is the other one, as when Spark groups."""
+    real = [k for k in keys if isinstance(rows.schema[k].dataType, (T.DoubleType, T.FloatType))]
+    same = rows.withColumns({k: F.col(k) + F.lit(0.0).cast(rows.schema[k].dataType) for k in real}) if real else rows
+    return same.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
 
 
 def pack(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -268,12 +275,12 @@ def pack(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
             if not len(batch):
                 continue
             table = pa.Table.from_batches([batch])
-            group = _codes(table, keys)
+            group = codes(table, keys)
             order = np.argsort(group, kind="stable")
             heads = np.flatnonzero(np.diff(group[order], prepend=-1))
             table = table.take(pa.array(order)).combine_chunks()
             data = table.select(rest).cast(kinds).to_batches()[0]
-            blobs = [_bytes(data.slice(a, z - a)) for a, z in zip(heads, [*heads[1:], len(data)])]
+            blobs = [as_bytes(data.slice(a, z - a)) for a, z in zip(heads, [*heads[1:], len(data)])]
             named = table.select(keys).take(pa.array(heads))
             yield named.append_column(PACKED, pa.array(blobs, pa.binary())).combine_chunks().to_batches()[0]
 
@@ -290,7 +297,7 @@ def unpack(packed: DataFrame, keys: Sequence[str], schema: T.StructType) -> Data
         for batch in batches:
             begin, waiting = 0, []
             for at, stored in enumerate(batch.column(PACKED)):
-                waiting.append(_batch(stored.as_py(), kinds))
+                waiting.append(as_batch(stored.as_py(), kinds))
                 if at + 1 == len(batch) or sum(map(len, waiting)) >= CHUNK:
                     data = pa.Table.from_batches(waiting, kinds)
                     copies = np.repeat(np.arange(begin, at + 1), [len(w) for w in waiting])
@@ -318,7 +325,7 @@ def in_order(stream: DataFrame, machine: Machine, ties: Sequence[str] = (), slot
         by, inside = list(keys), []
     else:
         by, inside = [BUCKET], list(keys)
-        rows = rows.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int"))
+        rows = dealt(rows, keys, BUCKETS)
     head = T.StructType([T.StructField(k, rows.schema[k].dataType) for k in inside])
     kinds = to_arrow_schema(T.StructType([rows.schema[c] for c in (*inside, *columns)]))
     late = [T.StructField("late_" + c.lstrip("_"), rows.schema[c].dataType) for c in ("at", *ties)]

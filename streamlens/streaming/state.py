@@ -10,15 +10,27 @@ are left out, as are rows without an amount; a count window counts the latter an
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
+from functools import partial
+from itertools import islice
+from zlib import crc32
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo
 
 from streamlens.operators.monitor import rise_timers
+from streamlens.streaming.in_order import BUCKET, CHUNK, PACKED, as_batch, as_bytes, codes, dealt, pack, unpack
 
 MICROS = 1_000_000
+BUCKETS = 1024  # of keys; a state belongs to one number of them
+PARTS = 16  # of a bucket's states
 
 
 def _in_order(rows: Iterator[Row]) -> list[Row]:
@@ -261,11 +273,183 @@ class IdleTotals(Typed):
             yield Row(key=key[0], n=stored[0], total=stored[1])
 
 
+class Local:
+    """The states of one key, held in memory while it is worked on: what a processor asks of a handle, of a value, a list
+    and a map state. ``found`` is a dict by name, to be stored whole."""
+
+    def __init__(self, name: str | None = None):
+        self.name, self.found, self.timers, self.parts = name, {}, set(), []
+
+    def getValueState(self, name: str, schema, ttl=None) -> Local:
+        self.parts.append(Local(name))
+        return self.parts[-1]
+
+    getListState = getValueState
+
+    def getMapState(self, name: str, key_schema, schema, ttl=None) -> Local:
+        return self.getValueState(name, schema)
+
+    def turn(self, found: dict, timers: set) -> None:
+        self.found, self.timers = found, timers
+        for part in self.parts:
+            part.found = found
+
+    def registerTimer(self, at: int) -> None:
+        self.timers.add(at)
+
+    def deleteTimer(self, at: int) -> None:
+        self.timers.discard(at)
+
+    def exists(self) -> bool:
+        return self.name in self.found
+
+    def clear(self) -> None:
+        self.found.pop(self.name, None)
+
+    def get(self):  # a value, or the rows of a list
+        return self.found.get(self.name, None)
+
+    def update(self, value: tuple) -> None:
+        self.found[self.name] = value
+
+    def put(self, rows: list) -> None:
+        self.found[self.name] = list(rows)
+
+    def getValue(self, key: tuple):
+        return self.found.get(self.name, {}).get(key)
+
+    def containsKey(self, key: tuple) -> bool:
+        return key in self.found.get(self.name, {})
+
+    def updateValue(self, key: tuple, value: tuple) -> None:
+        self.found.setdefault(self.name, {})[key] = value
+
+    def removeKey(self, key: tuple) -> None:
+        self.found.get(self.name, {}).pop(key, None)
+
+    def iterator(self) -> Iterator:
+        return iter(list(self.found.get(self.name, {}).items()))
+
+
+class LocalList(Local):
+    def get(self):
+        return iter(self.found.get(self.name, ()))
+
+
+class Buckets(StatefulProcessor):
+    """``inner`` for each key of a bucket of keys.
+
+    States of a bucket's keys are stored in ``PARTS`` entries by their hash, of which a micro-batch reads and writes those
+    it has keys of, once. One timer stands where the first of the keys' timers does.
+    """
+
+    def __init__(self, inner: Typed, kinds: pa.Schema, out: pa.Schema):
+        self.inner, self.kinds, self.out = inner, kinds, out
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.states = handle.getMapState("states", "part INT", "states BINARY")
+        self.marks = handle.getValueState("marks", "timer BIGINT, timers BINARY")
+        self.local = Local()
+        self.local.getListState = self._list
+        self.inner.init(self.local)
+
+    def _list(self, name: str, schema, ttl=None) -> Local:
+        self.local.parts.append(LocalList(name))
+        return self.local.parts[-1]
+
+    def close(self) -> None:
+        self.inner.close()
+
+    def _rows(self, columns: list, a: int, z: int) -> Iterator[Row]:
+        row = Row(*self.kinds.names)
+        for begin in range(a, z, CHUNK):
+            values = [c.slice(begin, min(CHUNK, z - begin)).to_pylist() for c in columns]
+            yield from (row(*v) for v in zip(*values))
+
+    def _frames(self, bucket: tuple, rows: Iterator[Row]) -> Iterator[pd.DataFrame]:
+        while block := [r.asDict(True) for r in islice(rows, CHUNK)]:
+            packed = as_bytes(pa.RecordBatch.from_pylist(block, schema=self.out))
+            yield pd.DataFrame({BUCKET: [bucket[0]], PACKED: pd.Series([packed], dtype=object)})
+
+    def _work(self, timers: dict, turns: dict[int, list[tuple[tuple, Callable]]]) -> Iterator[Row]:
+        """The turns of keys, by part: each a key and what calls the processor for it."""
+        for part, mine in turns.items():
+            stored = self.states.getValue((part,))
+            states = pickle.loads(stored[0]) if stored else {}
+            for key, call in mine:
+                self.local.turn(states.setdefault(key, {}), timers.setdefault(key, set()))
+                yield from call()
+                if not timers[key]:
+                    del timers[key]
+                if not states[key]:
+                    del states[key]
+            self.states.updateValue((part,), (pickle.dumps(states),))
+
+    def _done(self, old: int | None, timers: dict) -> None:
+        first = min((t for own in timers.values() for t in own), default=None)
+        if old is not None and old != first:
+            self.handle.deleteTimer(old)
+        if first is not None and old != first:
+            self.handle.registerTimer(first)
+        self.marks.update((first, pickle.dumps(timers)))
+
+    def _timers(self) -> tuple[int | None, dict]:
+        timer, stored = self.marks.get() or (None, None)
+        return timer, pickle.loads(stored) if stored else {}
+
+    @staticmethod
+    def _part(key: tuple) -> int:
+        return crc32(repr(key).encode()) % PARTS
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        table = pa.Table.from_batches([as_batch(b, self.kinds) for frame in rows for b in frame[PACKED]], self.kinds)
+        group = codes(table, ["key"])
+        order = np.argsort(group, kind="stable")
+        heads = np.flatnonzero(np.diff(group[order], prepend=-1)).tolist()
+        columns = [c.combine_chunks() for c in table.take(pa.array(order)).columns]
+        keys = columns[self.kinds.names.index("key")].take(pa.array(heads)).to_pylist()
+        turns: dict[int, list] = {}
+        for one, a, z in zip(keys, heads, [*heads[1:], len(table)]):
+            call = partial(lambda k, a, z: self.inner.handleInputRows(k, self._rows(columns, a, z), timerValues), (one,), a, z)
+            turns.setdefault(self._part((one,)), []).append(((one,), call))
+        timer, timers = self._timers()
+        yield from self._frames(key, self._work(timers, turns))
+        if timers or timer is not None:
+            self._done(timer, timers)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        _, timers = self._timers()
+        now, called = timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()
+        turns: dict[int, list] = {}
+        for one, own in timers.items():
+            if due := sorted(t for t in own if t < now or t <= called):
+                turns.setdefault(self._part(one), []).append((one, partial(self._expire, one, due, timerValues)))
+        yield from self._frames(key, self._work(timers, turns))
+        self._done(None, timers)  # the timer that called has been used up
+
+    def _expire(self, key: tuple, due: list[int], timerValues) -> Iterator[Row]:
+        for at in due:
+            self.local.deleteTimer(at)
+            yield from self.inner.handleExpiredTimer(key, timerValues, ExpiredTimerInfo(at))
+
+
 def keyed(stream: DataFrame, processor: Typed, time_mode: str = "None",
           mode: str = "Append") -> DataFrame:
-    """Run a processor per ``key`` of the stream."""
+    """Run a processor per ``key`` of the stream.
+
+    Keys are dealt to ``BUCKETS``, so that many keys with few rows each cost few accesses of state. States that expire, and
+    timers of the wall clock, are kept key by key.
+    """
     processor.types = dict(stream.dtypes)
-    return stream.groupBy("key").transformWithState(
-        statefulProcessor=processor, outputStructType=processor.typed(processor.SCHEMA), outputMode=mode,
-        timeMode=time_mode,
+    schema = T.StructType.fromDDL(processor.typed(processor.SCHEMA))
+    if time_mode == "ProcessingTime" or getattr(processor, "ttl", None) is not None:
+        return stream.groupBy("key").transformWithState(
+            statefulProcessor=processor, outputStructType=schema, outputMode=mode, timeMode=time_mode,
+        )
+    packed = pack(dealt(stream, ["key"], BUCKETS), [BUCKET])
+    given = packed.groupBy(BUCKET).transformWithStateInPandas(
+        statefulProcessor=Buckets(processor, to_arrow_schema(stream.schema), to_arrow_schema(schema)),
+        outputStructType=packed.schema, outputMode=mode, timeMode=time_mode,
     )
+    return unpack(given, [BUCKET], schema).drop(BUCKET)

@@ -1,6 +1,8 @@
+import glob
 import time
 from datetime import datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +10,7 @@ from helpers import rows
 from streamlens.operators import aggregates, dedup, late, windows
 from streamlens.sources import sinks
 from streamlens.sources.files import read_rules_stream, stream_files
-from streamlens.streaming import live, state
+from streamlens.streaming import jobs, live, state
 from streamlens.streaming.jobs import (
     StreamJobConfig, event_time, newest_changes, replay_slices, run_with_restarts,
 )
@@ -248,3 +250,27 @@ def test_text_keys_whole_amounts_and_nulls(spark, tmp_path, processor, mode, wan
     found = state.keyed(stream.withWatermark("ts", "0 seconds"), processor, time_mode, mode)
     sinks.write_batches(found, sinks.batch_files(out), out + "-c", mode.lower()).awaitTermination()
     assert rows(spark.read.parquet(out).select(*found.columns)) == want
+
+
+def test_many_keys_share_entries_of_state(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(state, "BUCKETS", 2, raising=False)
+    monkeypatch.setattr(state, "PARTS", 3, raising=False)
+    rows = spark.range(400).selectExpr("concat('k', id % 200) AS key", "id", "id AS at", "id AS x")
+    rows.write.parquet(f"{tmp_path}/in")
+    stream = stream_files(spark, f"{tmp_path}/in", "key string, id long, at long, x long")
+    query = sinks.write_exactly_once(state.keyed(stream, state.CountWindow(3)), f"{tmp_path}/out", f"{tmp_path}/c")
+    query.awaitTermination()
+    # an entry per key would be 200
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 20
+    spark.range(1).selectExpr("'k7' AS key", "9L AS id", "500L AS at", "100L AS x").write.mode("append").parquet(f"{tmp_path}/in")
+    sinks.write_exactly_once(state.keyed(stream, state.CountWindow(3)), f"{tmp_path}/out", f"{tmp_path}/c").awaitTermination()
+    assert [tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").collect()] == [("k7", 0, 7 + 207 + 100)]
+
+
+def test_a_slice_of_a_log_is_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "GROUP_BYTES", 64 << 10, raising=False)
+    stored = spark.range(200_000).select(F.timestamp_micros(F.col("id") * 1000).alias("ts"), F.rand(1).alias("x"))
+    log = jobs.in_slices(stored, "ts", 100_000)
+    files = sorted(glob.glob(f"{log}/*.parquet"))
+    assert len(files) == 2 and all(pq.ParquetFile(f).metadata.num_row_groups > 1 for f in files)
+    assert spark.read.parquet(log).count() == 200_000
