@@ -15,6 +15,7 @@ from streamlens.session import ROCKSDB, pin, scratch
 from streamlens.sources.sinks import batch_files, write_batches, write_exactly_once
 
 FLUSH_TIME = "2200-01-01 00:00:00"
+GROUP_BYTES = 4 << 20  # of a row group in a log, so that the one file of a slice is read by several tasks
 
 
 @dataclass(frozen=True)
@@ -135,7 +136,7 @@ def in_slices(stored: DataFrame, ts: str, rows: int) -> str | None:
         if k < len(at):
             inside = F.col(ts) <= at[k]
             part = part.where(inside if k else inside | F.col(ts).isNull())
-        part.coalesce(1).write.mode("append").parquet(log)
+        part.coalesce(1).write.mode("append").option("parquet.block.size", GROUP_BYTES).parquet(log)
     return log
 
 
